@@ -28,7 +28,7 @@ BLOCK = frozenset(
     "footer form h1 h2 h3 h4 h5 h6 head header hr html li main nav ol p pre section summary table "
     "tbody td tfoot th thead title tr ul".split()
 )
-RAW = frozenset(("script", "style"))
+RAW = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in ("script", "style")}
 # An opening tag ends these open elements, up to the nearest of the containers.
 ENDS = {
     "li": (("li",), ("ul", "ol")),
@@ -38,7 +38,9 @@ ENDS = {
     "td": (("td", "th"), ("tr",)),
     "th": (("td", "th"), ("tr",)),
 }
+PARAGRAPH = (("p",), ("table",))  # any other block ends an open paragraph
 LINE = "\x00"
+NONE: dict = {}
 
 # A comment, or a tag with its name and attributes; quotes may hold ">".
 TOKEN = re.compile(
@@ -80,72 +82,89 @@ def visible(pieces: list[str]) -> str:
     return "\n".join(line for line in lines if line)
 
 
+class Layout:
+    """What to collect, indexed for the walk: built once per task."""
+
+    def __init__(self, spec: list) -> None:
+        self.names = [name for name, *_ in spec]
+        entries = [(name, path, attr, fields and by_last_tag(fields)) for name, path, attr, fields in spec]
+        self.at_tag = by_last_tag([(entry[1], entry) for entry in entries])
+        inner = [pair for *_, fields in spec for pair in fields or ()]
+        paths = [(path, attr) for _, path, attr, _ in spec] + inner
+        # Attributes are read only where a step tests them or a value is one.
+        self.tested = {step[1] for path, _ in paths for step in path if step[2]}
+        self.tested |= {path[-1][1] for path, attr in paths if attr}
+
+
+def by_last_tag(pairs: list) -> dict:
+    """``(path, what)`` pairs as tag -> [(position, path, what)]; "*" fits any tag."""
+    numbered = [(i, path, what) for i, (path, what) in enumerate(pairs)]
+    tags = {path[-1][1] for path, _ in pairs} | {"*"}
+    found = {tag: [entry for entry in numbered if entry[1][-1][1] in (tag, "*")] for tag in tags}
+    found["#"] = numbered  # all of them, for their number
+    return found
+
+
 class Collector:
     """Collects the selected values of one page while its tags stream by."""
 
-    def __init__(self, spec: list) -> None:
-        self.spec = spec
+    def __init__(self, layout: Layout) -> None:
+        self.layout = layout
         self.stack: list = []  # [tag, attributes, [(slot list, position, text start)], groups opened]
         self.pieces: list[str] = []
         self.reading = 0  # how many open elements want their text
-        self.found = {name: [] for name, *_ in spec}
-        self.groups: list = []  # (stack index, [(path, attr)], values per field)
-        paths = [path for _, path, _, _ in spec] + [path for *_, f in spec for path, _ in f or ()]
-        # Attributes are read only where some step tests them or some value is one.
-        self.tested = {step[1] for path in paths for step in path if step[2]}
-        self.tested |= {path[-1][1] for _, path, attr, _ in spec if attr}
-        self.tested |= {path[-1][1] for *_, f in spec for path, attr in f or () if attr}
+        self.found = {name: [] for name in layout.names}
+        self.groups: list = []  # (stack index, fields by tag, values per field)
 
     def read(self, html: str) -> dict:
-        at, size = 0, len(html)
+        at, size, search = 0, len(html), TOKEN.search
         while at < size:
-            token = TOKEN.search(html, at)
+            token = search(html, at)
+            begin = size if token is None else token.start()
+            if begin > at and self.reading:
+                self.pieces.append(unescape(html[at:begin]))
             if token is None:
-                self.text(html[at:])
                 break
-            if token.start() > at:
-                self.text(html[at : token.start()])
             at = token.end()
-            slash, tag = token.group(1), token.group(2)
+            slash, tag, attributes = token.groups()
             if tag is None:
                 continue
             tag = tag.lower()
             if slash:
                 self.end(tag)
-            else:
-                self.start(tag, token.group(3))
-                if tag in RAW:  # its content is not markup
-                    shut = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(html, at)
-                    at = shut.start() if shut else size
+                continue
+            self.start(tag, attributes)
+            if tag in RAW:  # its content is not markup
+                shut = RAW[tag].search(html, at)
+                at = size if shut is None else shut.start()
         self.close_to(0)
         return self.found
 
-    def text(self, data: str) -> None:
-        if self.reading:
-            self.pieces.append(unescape(data))
-
     def start(self, tag: str, attributes: str) -> None:
-        self.imply_ends(tag)
-        attrs = {}
-        if attributes and (tag in self.tested or "*" in self.tested):
+        layout, stack = self.layout, self.stack
+        if stack and (tag in BLOCK):
+            self.imply_ends(tag)
+        attrs = NONE
+        if attributes and (tag in layout.tested or "*" in layout.tested):
+            attrs = {}
             for name, quoted, single, bare in ATTRIBUTE.findall(attributes):
                 attrs.setdefault(name.lower(), unescape(quoted or single or bare))
-        entry = [tag, attrs, [], 0]
-        self.stack.append(entry)
+        entry = [tag, attrs, None, 0]
+        stack.append(entry)
         if self.reading and (tag in BLOCK or tag == "br"):
             self.pieces.append(LINE)
-        top = len(self.stack) - 1
+        top = len(stack) - 1
         for root, fields, values in self.groups:
-            for (path, attr), slots in zip(fields, values):
-                if path[-1][1] in ("*", tag) and fits(self.stack, top, root, path, len(path) - 1):
-                    self.take(entry, slots, attr)
-        for name, path, attr, fields in self.spec:
-            if path[-1][1] not in ("*", tag) or not fits(self.stack, top, -1, path, len(path) - 1):
+            for i, path, attr in fields.get(tag) or fields["*"]:
+                if fits(stack, top, root, path, len(path) - 1):
+                    self.take(entry, values[i], attr)
+        for _, path, (name, _, attr, fields) in layout.at_tag.get(tag) or layout.at_tag["*"]:
+            if not fits(stack, top, -1, path, len(path) - 1):
                 continue
             if fields is None:
                 self.take(entry, self.found[name], attr)
             else:
-                values = [[] for _ in fields]
+                values = [[] for _ in fields["#"]]
                 self.found[name].append(values)
                 self.groups.append((top, fields, values))
                 entry[3] += 1
@@ -153,52 +172,51 @@ class Collector:
             self.close_to(top)
 
     def end(self, tag: str) -> None:
-        for at in range(len(self.stack) - 1, -1, -1):
-            if self.stack[at][0] == tag:
+        stack = self.stack
+        for at in range(len(stack) - 1, -1, -1):
+            if stack[at][0] == tag:
                 self.close_to(at)
                 return
-            if tag not in BLOCK and self.stack[at][0] in BLOCK:
+            if tag not in BLOCK and stack[at][0] in BLOCK:
                 return
 
     def take(self, entry: list, slots: list, attr: str | None) -> None:
-        if attr is None:
-            slots.append("")
-            entry[2].append((slots, len(slots) - 1, len(self.pieces)))
-            self.reading += 1
-        else:
+        if attr is not None:
             slots.append(entry[1].get(attr))
+            return
+        slots.append("")
+        entry[2] = entry[2] or []
+        entry[2].append((slots, len(slots) - 1, len(self.pieces)))
+        self.reading += 1
 
     def imply_ends(self, tag: str) -> None:
-        if tag in ENDS:
-            ended, containers = ENDS[tag]
-        elif tag in BLOCK:
-            ended, containers = ("p",), ("table",)
-        else:
-            return
+        ended, containers = ENDS.get(tag, PARAGRAPH)
         for at in range(len(self.stack) - 1, -1, -1):
             name = self.stack[at][0]
             if name in ended:
                 self.close_to(at)
                 return
-            if name in containers or (tag not in ENDS and name in BLOCK):
+            if name in containers or (ended is PARAGRAPH[0] and name in BLOCK):
                 return
 
     def close_to(self, at: int) -> None:
-        while len(self.stack) > at:
-            tag, _, texts, groups = self.stack.pop()
-            for slots, position, start in texts:
-                slots[position] = visible(self.pieces[start:])
-            self.reading -= len(texts)
-            if not self.reading:
-                self.pieces.clear()
+        stack = self.stack
+        while len(stack) > at:
+            tag, _, texts, groups = stack.pop()
+            if texts:
+                for slots, position, start in texts:
+                    slots[position] = visible(self.pieces[start:])
+                self.reading -= len(texts)
+                if not self.reading:
+                    self.pieces.clear()
             if groups:
                 del self.groups[-groups:]
             if self.reading and tag in BLOCK:
                 self.pieces.append(LINE)
 
 
-def collect(html: str | None, spec: list) -> dict:
-    return Collector(spec).read(html or "")
+def collect(html: str | None, layout: Layout) -> dict:
+    return Collector(layout).read(html or "")
 
 
 def nth(values: list, n: int):
@@ -224,7 +242,7 @@ def extract_blocks(html: Column | str, blocks: Blocks) -> Column:
             arrow.append((name, pa.list_(pa.string()) if every else pa.string()))
             spark.append(T.StructField(name, T.ArrayType(T.StringType()) if every else T.StringType()))
     wanted = dict(blocks)
-    arrow_type = pa.struct(arrow)
+    arrow_type, layout = pa.struct(arrow), Layout(spec)
 
     def shape(found: dict) -> dict:
         row = {}
@@ -241,7 +259,9 @@ def extract_blocks(html: Column | str, blocks: Blocks) -> Column:
         return row
 
     def parse(pages: pa.Array) -> pa.Array:
-        return pa.array([shape(collect(page.as_py(), spec)) for page in pages], type=arrow_type)
+        return pa.array([shape(collect(page, layout)) for page in pages.to_pylist()], type=arrow_type)
 
-    udf = F.arrow_udf(parse, returnType=T.StructType(spark))
+    # Declared non-deterministic so that the optimizer keeps one evaluation per
+    # page: it would otherwise copy the call into every filter on its result.
+    udf = F.arrow_udf(parse, returnType=T.StructType(spark)).asNondeterministic()
     return udf(F.col(html) if isinstance(html, str) else html)

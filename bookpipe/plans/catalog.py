@@ -227,8 +227,8 @@ def listing_links(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "page_title",
     """
-select page_id, trim(regexp_replace(replace(regexp_extract(html, '<title>(.*?)</title>', 1, 's'),
-  '&amp;', '&'), '\\s+', ' ', 'g')) as title from pages
+select page_id, trim(regexp_replace(regexp_replace(regexp_extract(html, '<title>(.*?)</title>', 1, 's'),
+  '&amp;?', '&', 'g'), '\\s+', ' ', 'g')) as title from pages
 """,
 )
 def page_title(spark: SparkSession, d: str) -> DataFrame:
