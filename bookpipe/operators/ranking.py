@@ -95,7 +95,7 @@ def total_before(
     position: str,
     by: Sequence[str] = (),
     name: str = "before",
-    width: int = 1024,
+    width: int = 65_536,
 ) -> DataFrame:
     """Sum of ``value`` over all earlier positions; NULL at the first one.
 

@@ -227,8 +227,10 @@ def listing_links(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "page_title",
     """
-select page_id, trim(regexp_replace(regexp_replace(regexp_extract(html, '<title>(.*?)</title>', 1, 's'),
-  '&amp;?', '&', 'g'), '\\s+', ' ', 'g')) as title from pages
+with raw as (select page_id, regexp_extract(html, '<title>(.*?)</title>', 1, 's') t from pages),
+quotes as (select page_id, regexp_replace(regexp_replace(t, '&quot;?', '"', 'g'), '&#(x27|39);?', '''', 'g') t from raw),
+angles as (select page_id, regexp_replace(regexp_replace(t, '&lt;?', '<', 'g'), '&gt;?', '>', 'g') t from quotes)
+select page_id, trim(regexp_replace(regexp_replace(t, '&amp;?', '&', 'g'), '\\s+', ' ', 'g')) as title from angles
 """,
 )
 def page_title(spark: SparkSession, d: str) -> DataFrame:

@@ -146,7 +146,7 @@ def review_pages(lineitem: DataFrame) -> DataFrame:
 
 def captures(spark: SparkSession, sf_dir: str) -> Captures:
     """Listing and book pages of all parts, review pages of lines after the cut-off."""
-    part, lines = table(spark, sf_dir, "part"), table(spark, sf_dir, "lineitem")
+    part, lines = table(spark, sf_dir, "part"), spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
     fresh = lines.where(~shipped_before_cutoff())
     return Captures(listing_pages(part), book_pages(part), review_pages(fresh))
 

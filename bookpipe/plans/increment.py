@@ -13,7 +13,7 @@ from bookpipe.config import RunConfig
 from bookpipe.functions.urls import normalize_url
 from bookpipe.operators.books import parse_books
 from bookpipe.operators.counts import reviews_per_book, satisfied_urls, split_lookup, work_target
-from bookpipe.operators.joins import narrow, unseen
+from bookpipe.operators.joins import BROADCAST_ROWS, narrow, unseen
 from bookpipe.operators.listing import frontier, listing_links
 from bookpipe.operators.reviews import extract_reviews, fill_reviews
 from bookpipe.operators.validate import split_by_verdict
@@ -37,7 +37,7 @@ class Progress(NamedTuple):
 
 
 class Increment(NamedTuple):
-    """What a run adds. ``attributes`` and ``reviews`` are materialised once."""
+    """What a run adds; computed when it is published."""
 
     attributes: DataFrame
     reviews: DataFrame
@@ -51,11 +51,12 @@ def run_increment(
     config: RunConfig = RunConfig(),
     profile: SiteProfile = SHOP,
     batch: str | None = None,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> Increment:
     """The books and reviews that are still missing, nothing else.
 
-    Only pages of frontier books are parsed. Three small tables are written to
-    the shared folder on the way, each at most one row per book: the satisfied
+    Only pages of frontier books are parsed. Three tables are written to the
+    shared folder on the way, each at most one row per book: the satisfied
     books, the frontier, and the parsed books (without their HTML).
     """
     captures = captures if isinstance(captures, Captures) else Captures.of(captures)
@@ -71,7 +72,7 @@ def run_increment(
     books_due = checkpointed(listed.groupBy("url").agg(F.min("rank").alias("rank")))
 
     landed = captures.books.withColumn("url", normalize_url(F.col("url")))
-    pages = latest(narrow(landed, books_due, "url", bound=target), ["url"]).join(books_due, "url")
+    pages = pages_of(landed, books_due, "url", ["url"], target, broadcast_rows)
     seen = Observation("books")
     parsed = checkpointed(
         parse_books(pages, config, profile, keep=("rank",)).observe(
@@ -90,10 +91,10 @@ def run_increment(
 
     review_pages = captures.reviews.withColumn("book_url", normalize_url(F.col("book_url")))
     valid = good.select("book_url", "isbn", "rank")
-    review_pages = latest(narrow(review_pages, valid, "book_url", bound=target), ["book_url", "page_no"])
-    found = extract_reviews(review_pages.join(valid, "book_url"), profile, keep=("isbn", "rank", "page_no"))
-    saved_here = narrow(saved.select("isbn", "user"), valid, "isbn", bound=target)
-    counts_here = narrow(counts, valid, "isbn", bound=target)
+    review_pages = pages_of(review_pages, valid, "book_url", ["book_url", "page_no"], target, broadcast_rows)
+    found = extract_reviews(review_pages, profile, keep=("isbn", "rank", "page_no"))
+    saved_here = narrow(saved.select("isbn", "user"), valid, "isbn", bound=target, limit=broadcast_rows)
+    counts_here = narrow(counts, valid, "isbn", bound=target, limit=broadcast_rows)
     new_reviews = fill_reviews(
         found,
         saved_here,
@@ -107,18 +108,41 @@ def run_increment(
 
     outcome = seen.get
     return Increment(
-        checkpointed(new_attributes),
-        checkpointed(new_reviews.select("isbn", "text", "rating", "user", "position")),
+        new_attributes,
+        new_reviews.select("isbn", "text", "rating", "user", "position"),
         conform(rejected.unionByName(orphans).unionByName(absent), QUARANTINE),
         Progress(target, outcome["accepted"], outcome["rejected"]),
     )
 
 
+def pages_of(
+    pages: DataFrame,
+    books: DataFrame,
+    on: str,
+    page_key: Sequence[str],
+    bound: int,
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """The newest capture of each page of the given books, with the books' columns.
+
+    Few books are broadcast, and page bodies stay where they are. Otherwise the
+    wanted pages are worked out on keys alone, and bodies move once, by a key that
+    holds their page id, so that a book with very many pages is spread evenly.
+    """
+    if bound <= broadcast_rows:
+        return latest(pages.join(F.broadcast(books), on), page_key)
+    newest = pages.groupBy(*page_key).agg(F.max("page_id").alias("page_id"))
+    return pages.join(newest.join(books, on), [*page_key, "page_id"])
+
+
 def publish(increment: Increment, stores: Sequence[Store], batch: str | None = None) -> None:
     """The same rows to every store."""
     batch = batch or f"run-{uuid.uuid4().hex}"
+    attributes, reviews = increment.attributes, increment.reviews
+    if len(stores) > 1:
+        attributes, reviews = checkpointed(attributes), checkpointed(reviews)
     for store in stores:
-        store.write(increment.attributes, increment.reviews, batch)
+        store.write(attributes, reviews, batch)
 
 
 def run_and_publish(
@@ -131,6 +155,7 @@ def run_and_publish(
 ) -> Increment:
     """A whole run: saved state from the relational store if there is one."""
     state = raw if relational is None else relational
+    batch = batch or f"run-{uuid.uuid4().hex}"
     increment = run_increment(captures, state, config, profile, batch)
     publish(increment, [raw] if relational is None else [raw, relational], batch)
     return increment
