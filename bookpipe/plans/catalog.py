@@ -38,6 +38,7 @@ from bookpipe.sinks.stores import FileStore, image_manifest
 from bookpipe.sinks.upsert import last_write, read_bucketed, upsert
 from bookpipe.sources.pages import read_pages
 from bookpipe.sources.tables import saved_users
+from bookpipe.streaming.increment import fill_reviews_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1047,3 +1048,25 @@ def store_round_trip(spark: SparkSession, d: str) -> DataFrame:
     )
     store.write(books, lines.withColumn("position", place), "run-1")
     return members(store.reviews(), store.attributes(), "isbn")
+
+
+@query(
+    "stream_increment",
+    """
+with placed as (select l_partkey isbn, l_suppkey usr, l_quantity rating, l_orderkey, l_linenumber,
+    row_number() over (partition by l_partkey order by l_orderkey, l_linenumber, l_suppkey, l_quantity) pos from lineitem),
+kept as (select *, row_number() over (partition by isbn, usr order by pos desc) rn from placed where pos <= 16)
+select 'ISBN-13-978-' || isbn as isbn, 'order ' || l_orderkey || ' ' || l_linenumber as text,
+  cast(rating as integer) as rating, 'user-' || usr as "user" from kept where rn = 1
+""",
+)
+def stream_increment(spark: SparkSession, d: str) -> DataFrame:
+    """A stream over the line files, refilling quotas batch by batch."""
+    schema = P.table(spark, d, "lineitem").schema
+    # A stream source takes a folder or a pattern; this one fits one file or a folder.
+    lines = spark.readStream.schema(schema).parquet(f"{d}/lineitem[.]parquet")
+    reviews = review_rows(line_reviews(lines)).withColumn("supplier", F.regexp_extract("user", r"(\d+)$", 1).cast("bigint"))
+    store = FileStore(spark, scratch(spark, "stream"))
+    order = ["l_orderkey", "l_linenumber", "supplier", "rating"]
+    fill_reviews_stream(reviews, store, 16, order, scratch(spark, "stream-state")).awaitTermination()
+    return store.reviews()

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from bookpipe.config import RunConfig
+from bookpipe.operators.reviews import fill_reviews
 from bookpipe.plans.increment import run_and_publish
 from bookpipe.profile import SHOP, SiteProfile
 from bookpipe.schema import CAPTURE, nullable
@@ -43,3 +46,25 @@ def run_increment_stream(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def fill_reviews_stream(
+    reviews: DataFrame, store: Store, num_reviews: int, order: Sequence[str], checkpoint: str
+) -> StreamingQuery:
+    """Keep the first ``num_reviews`` reviews of each book of a review stream.
+
+    ``reviews`` is a stream of ``(isbn, user, text, rating)`` and the ``order``
+    columns. The quota is refilled against the store in every batch (J3, J5, O1).
+    """
+
+    def work(batch: DataFrame, batch_id: int) -> None:
+        name = f"stream-{batch_id:012d}"
+        new = fill_reviews(batch, store.reviews(name), num_reviews, order)
+        store.write(store.attributes().limit(0), new, name)
+
+    return (
+        reviews.writeStream.foreachBatch(work)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
