@@ -18,7 +18,8 @@ def isbn_of_path(path: Column) -> Column:
 
 def user_of_path(path: Column) -> Column:
     """The file name without its extension."""
-    return F.regexp_extract(path, r"([^/]+)\.json$", 1)
+    name = F.substring_index(path, "/", -1)
+    return F.when(name.endswith(".json"), F.left(name, F.length(name) - 5)).otherwise("")
 
 
 def is_review_path(path: Column) -> Column:

@@ -40,7 +40,7 @@ ENDS = {
 }
 PARAGRAPH = (("p",), ("table",))  # any other block ends an open paragraph
 LINE = "\x00"
-NONE: dict = {}
+MISSING = object()
 
 # A comment, or a tag with its name and attributes; quotes may hold ">".
 TOKEN = re.compile(
@@ -64,11 +64,16 @@ def steps(selector: str) -> list[tuple[bool, str, str | None, str | None]]:
 def fits(stack: list, at: int, root: int, path: list, k: int) -> bool:
     """Does open element ``at`` satisfy step ``k``, and its ancestors the rest?"""
     direct, tag, attr, value = path[k]
-    name, attrs = stack[at][0], stack[at][1]
-    if tag not in ("*", name):
-        return False
-    if attr is not None and (attr not in attrs or (value is not None and attrs[attr] != value)):
+    entry = stack[at]
+    if tag != entry[0] and tag != "*":
         return False
+    if attr is not None:
+        raw = entry[1]
+        if value is not None and type(raw) is str and value not in raw and "&" not in raw:
+            return False
+        found = attributes_of(entry).get(attr, MISSING)
+        if found is MISSING or (value is not None and found != value):
+            return False
     if k == 0:
         return not direct or at == root + 1
     if path[k][0]:
@@ -76,6 +81,16 @@ def fits(stack: list, at: int, root: int, path: list, k: int) -> bool:
     return any(fits(stack, up, root, path, k - 1) for up in range(at - 1, root, -1))
 
 
+def attributes_of(entry: list) -> dict:
+    """Attributes of an open element, read from its tag the first time."""
+    if type(entry[1]) is str:
+        attrs: dict = {}
+        for name, quoted, single, bare in ATTRIBUTE.findall(entry[1]):
+            attrs.setdefault(name.lower(), unescape(quoted or single or bare))
+        entry[1] = attrs
+    return entry[1]
+
+
 def visible(pieces: list[str]) -> str:
     """Text as a reader sees it: one line per block, runs of blanks as one."""
     lines = (" ".join(line.split()) for line in "".join(pieces).split(LINE))
@@ -89,11 +104,6 @@ class Layout:
         self.names = [name for name, *_ in spec]
         entries = [(name, path, attr, fields and by_last_tag(fields)) for name, path, attr, fields in spec]
         self.at_tag = by_last_tag([(entry[1], entry) for entry in entries])
-        inner = [pair for *_, fields in spec for pair in fields or ()]
-        paths = [(path, attr) for _, path, attr, _ in spec] + inner
-        # Attributes are read only where a step tests them or a value is one.
-        self.tested = {step[1] for path, _ in paths for step in path if step[2]}
-        self.tested |= {path[-1][1] for path, attr in paths if attr}
 
 
 def by_last_tag(pairs: list) -> dict:
@@ -117,7 +127,7 @@ class Collector:
         self.groups: list = []  # (stack index, fields by tag, values per field)
 
     def read(self, html: str) -> dict:
-        at, size, search = 0, len(html), TOKEN.search
+        at, size, search, stack = 0, len(html), TOKEN.search, self.stack
         while at < size:
             token = search(html, at)
             begin = size if token is None else token.start()
@@ -131,7 +141,12 @@ class Collector:
                 continue
             tag = tag.lower()
             if slash:
-                self.end(tag)
+                if stack and stack[-1][0] == tag and not stack[-1][2] and not stack[-1][3]:
+                    stack.pop()  # what nearly all end tags come to
+                    if self.reading and tag in BLOCK:
+                        self.pieces.append(LINE)
+                else:
+                    self.end(tag)
                 continue
             self.start(tag, attributes)
             if tag in RAW:  # its content is not markup
@@ -142,17 +157,15 @@ class Collector:
 
     def start(self, tag: str, attributes: str) -> None:
         layout, stack = self.layout, self.stack
-        if stack and (tag in BLOCK):
-            self.imply_ends(tag)
-        attrs = NONE
-        if attributes and (tag in layout.tested or "*" in layout.tested):
-            attrs = {}
-            for name, quoted, single, bare in ATTRIBUTE.findall(attributes):
-                attrs.setdefault(name.lower(), unescape(quoted or single or bare))
-        entry = [tag, attrs, None, 0]
-        stack.append(entry)
-        if self.reading and (tag in BLOCK or tag == "br"):
+        if tag in BLOCK:
+            if stack and (tag in ENDS or stack[-1][0] not in BLOCK or stack[-1][0] == "p"):
+                self.imply_ends(tag)
+            if self.reading:
+                self.pieces.append(LINE)
+        elif tag == "br" and self.reading:
             self.pieces.append(LINE)
+        entry = [tag, attributes, None, 0]
+        stack.append(entry)
         top = len(stack) - 1
         for root, fields, values in self.groups:
             for i, path, attr in fields.get(tag) or fields["*"]:
@@ -182,7 +195,7 @@ class Collector:
 
     def take(self, entry: list, slots: list, attr: str | None) -> None:
         if attr is not None:
-            slots.append(entry[1].get(attr))
+            slots.append(attributes_of(entry).get(attr))
             return
         slots.append("")
         entry[2] = entry[2] or []
