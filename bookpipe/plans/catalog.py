@@ -30,7 +30,7 @@ from bookpipe.operators.ranking import global_rank
 from bookpipe.operators.reviews import complete_reviews, extract_reviews, fill_reviews, nest_reviews
 from bookpipe.plans import derived_pages as P
 from bookpipe.plans.flagship import ARRIVAL, flagship, line_reviews
-from bookpipe.plans.increment import run_increment
+from bookpipe.plans.increment import run_and_publish, run_increment
 from bookpipe.profile import ARTICLES, SHOP
 from bookpipe.schema import BOOK, REVIEW
 from bookpipe.session import shared_dir, spread
@@ -38,7 +38,7 @@ from bookpipe.sinks.stores import FileStore, image_manifest
 from bookpipe.sinks.upsert import last_write, read_bucketed, upsert
 from bookpipe.sources.pages import read_pages
 from bookpipe.sources.tables import saved_users
-from bookpipe.streaming.increment import fill_reviews_stream
+from bookpipe.streaming.increment import fill_reviews_stream, run_increment_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1070,3 +1070,52 @@ def stream_increment(spark: SparkSession, d: str) -> DataFrame:
     order = ["l_orderkey", "l_linenumber", "supplier", "rating"]
     fill_reviews_stream(reviews, store, 16, order, scratch(spark, "stream-state")).awaitTermination()
     return store.reviews()
+
+
+SQL_FIRST_RUN = f"""
+with want as (select count(*) // 2 n from part),
+tgt as (select n + cast(floor(n * 0.05) as bigint) k from want),
+pick as (select *, row_number() over (order by p_partkey) rk from part qualify rk <= (select k from tgt)),
+valid as (select * from pick where ({SQL_VERDICT}) is null)
+"""
+
+
+def first_run_config(spark: SparkSession, d: str) -> RunConfig:
+    return RunConfig(P.table(spark, d, "part").count() // 2, 4, ("gizmo",))
+
+
+@query(
+    "first_run_attributes",
+    SQL_FIRST_RUN
+    + """
+select 'ISBN-13-978-' || p_partkey as isbn, p_name as title, p_size * 10 as pages,
+  cast(printf('%.2f', p_retailprice) as double) as price, 'https://shop.example/dp/' || p_partkey || '/' as book_url
+from valid
+""",
+)
+def first_run_attributes(spark: SparkSession, d: str) -> DataFrame:
+    """A run into two empty stores, read back from the JSON one."""
+    parquet, json = (FileStore(spark, scratch(spark, "first"), kind) for kind in ("parquet", "json"))
+    run_and_publish(P.captures(spark, d), parquet, json, first_run_config(spark, d))
+    return json.attributes().select("isbn", "title", "pages", "price", "book_url")
+
+
+@query(
+    "run_increment_stream",
+    SQL_FIRST_RUN
+    + f"""
+, placed as (select isbn, usr, l_orderkey, l_linenumber,
+    row_number() over (partition by isbn order by l_orderkey, l_linenumber, usr, rating) pos
+  from ({SQL_FRESH}) f join valid on p_partkey = isbn),
+kept as (select *, row_number() over (partition by isbn, usr order by pos desc) rn from placed where pos <= 4)
+select 'ISBN-13-978-' || isbn as isbn, 'user-' || usr as "user",
+  'Lot ' || l_linenumber || chr(10) || 'of order ' || l_orderkey as text from kept where rn = 1
+""",
+)
+def run_increment_stream_query(spark: SparkSession, d: str) -> DataFrame:
+    """The same run over a stream of landed captures."""
+    landing, store = scratch(spark, "landing"), FileStore(spark, scratch(spark, "streamed"))
+    P.landed(P.captures(spark, d)).write.parquet(landing)
+    state = scratch(spark, "stream-state")
+    run_increment_stream(spark, landing, state, store, config=first_run_config(spark, d)).awaitTermination()
+    return store.reviews().select("isbn", "user", "text")

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bookpipe.schema import CAPTURE
 from bookpipe.session import spread
 from bookpipe.sources.pages import Captures
 
@@ -151,6 +152,15 @@ def captures(spark: SparkSession, sf_dir: str) -> Captures:
     return Captures(listing_pages(part), book_pages(part), review_pages(fresh))
 
 
+def landed(pages: Captures) -> DataFrame:
+    """The three kinds as one table, the way a crawler lands them."""
+    none = F.lit(None)
+    listing = pages.listing.withColumns({"kind": F.lit("listing"), "book_url": none.cast("string")})
+    books = pages.books.withColumns({"kind": F.lit("book"), "book_url": none.cast("string"), "page_no": none.cast("bigint")})
+    reviews = pages.reviews.withColumn("kind", F.lit("review"))
+    return listing.unionByName(books).unionByName(reviews).select(*CAPTURE.names)
+
+
 class SavedLines:
     """Saved state: the books of all parts, the reviews of lines before the cut-off."""
 
