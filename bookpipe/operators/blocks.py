@@ -69,7 +69,7 @@ def fits(stack: list, at: int, root: int, path: list, k: int) -> bool:
         return False
     if attr is not None:
         raw = entry[1]
-        if value is not None and type(raw) is str and value not in raw and "&" not in raw:
+        if type(raw) is str and value is not None and value not in raw and "&" not in raw:
             return False
         found = attributes_of(entry).get(attr, MISSING)
         if found is MISSING or (value is not None and found != value):
@@ -107,8 +107,11 @@ class Layout:
 
 
 def by_last_tag(pairs: list) -> dict:
-    """``(path, what)`` pairs as tag -> [(position, path, what)]; "*" fits any tag."""
-    numbered = [(i, path, what) for i, (path, what) in enumerate(pairs)]
+    """``(path, what)`` pairs as tag -> [(position, path, what, value)]; "*" fits any tag.
+
+    ``value`` is what the attributes of the last step must hold, if it tests any.
+    """
+    numbered = [(i, path, what, path[-1][3] or "") for i, (path, what) in enumerate(pairs)]
     tags = {path[-1][1] for path, _ in pairs} | {"*"}
     found = {tag: [entry for entry in numbered if entry[1][-1][1] in (tag, "*")] for tag in tags}
     found["#"] = numbered  # all of them, for their number
@@ -127,31 +130,33 @@ class Collector:
         self.groups: list = []  # (stack index, fields by tag, values per field)
 
     def read(self, html: str) -> dict:
-        at, size, search, stack = 0, len(html), TOKEN.search, self.stack
+        at, size, stack = 0, len(html), self.stack
         while at < size:
-            token = search(html, at)
-            begin = size if token is None else token.start()
-            if begin > at and self.reading:
-                self.pieces.append(unescape(html[at:begin]))
-            if token is None:
-                break
-            at = token.end()
-            slash, tag, attributes = token.groups()
-            if tag is None:
-                continue
-            tag = tag.lower()
-            if slash:
-                if stack and stack[-1][0] == tag and not stack[-1][2] and not stack[-1][3]:
+            for token in TOKEN.finditer(html, at):
+                begin = token.start()
+                if begin > at and self.reading:
+                    self.pieces.append(unescape(html[at:begin]))
+                at = token.end()
+                slash, tag, attributes = token.groups()
+                if tag is None:
+                    continue
+                tag = tag.lower()
+                if not slash:
+                    self.start(tag, attributes)
+                    if tag in RAW:  # its content is not markup
+                        shut = RAW[tag].search(html, at)
+                        at = size if shut is None else shut.start()
+                        break
+                elif stack and stack[-1][0] == tag and not stack[-1][2] and not stack[-1][3]:
                     stack.pop()  # what nearly all end tags come to
                     if self.reading and tag in BLOCK:
                         self.pieces.append(LINE)
                 else:
                     self.end(tag)
-                continue
-            self.start(tag, attributes)
-            if tag in RAW:  # its content is not markup
-                shut = RAW[tag].search(html, at)
-                at = size if shut is None else shut.start()
+            else:
+                if self.reading:
+                    self.pieces.append(unescape(html[at:]))
+                break
         self.close_to(0)
         return self.found
 
@@ -168,10 +173,13 @@ class Collector:
         stack.append(entry)
         top = len(stack) - 1
         for root, fields, values in self.groups:
-            for i, path, attr in fields.get(tag) or fields["*"]:
-                if fits(stack, top, root, path, len(path) - 1):
-                    self.take(entry, values[i], attr)
-        for _, path, (name, _, attr, fields) in layout.at_tag.get(tag) or layout.at_tag["*"]:
+            for i, path, attr, value in fields.get(tag) or fields["*"]:
+                if value in attributes or "&" in attributes:
+                    if fits(stack, top, root, path, len(path) - 1):
+                        self.take(entry, values[i], attr)
+        for _, path, (name, _, attr, fields), value in layout.at_tag.get(tag) or layout.at_tag["*"]:
+            if value not in attributes and "&" not in attributes:
+                continue
             if not fits(stack, top, -1, path, len(path) - 1):
                 continue
             if fields is None:

@@ -16,6 +16,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "12g")
+        # Pages cost far more time than bytes: do not merge them into few tasks.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
