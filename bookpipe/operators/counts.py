@@ -7,6 +7,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bookpipe.operators.joins import without
+
 
 def reviews_per_book(reviews: DataFrame, mode: str = "rows", isbns: DataFrame | None = None) -> DataFrame:
     """A1: ``(isbn, n)``.
@@ -36,24 +38,19 @@ def satisfied_books(counts: DataFrame, num_reviews: int) -> DataFrame:
 
 
 def satisfied_urls(counts: DataFrame, attributes: DataFrame, num_reviews: int) -> DataFrame:
-    """``(isbn, book_url, n)`` of satisfied books.
-
-    A satisfied isbn without attributes has a NULL ``book_url``: see
-    :func:`split_lookup`. Duplicate attribute rows multiply.
-    """
-    urls = attributes.select("isbn", "book_url")
-    return satisfied_books(counts, num_reviews).join(urls, "isbn", "left").select("isbn", "book_url", "n")
+    """``(isbn, book_url, n)`` of satisfied books; duplicate attribute rows multiply."""
+    enough = satisfied_books(counts, num_reviews).select("isbn", "n")
+    return attributes.select("isbn", "book_url").join(enough, "isbn")
 
 
-def split_lookup(urls: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows with a URL, quarantine rows of isbns that have no attributes)."""
-    missing = urls.where("book_url is null").select(
+def orphans(counts: DataFrame, attributes: DataFrame, num_reviews: int) -> DataFrame:
+    """Satisfied isbns that have no attributes, as quarantine rows."""
+    return without(satisfied_books(counts, num_reviews), attributes, "isbn").select(
         F.lit(None).cast("bigint").alias("page_id"),
         F.lit(None).cast("string").alias("url"),
         F.lit("isbn").alias("field"),
-        F.concat(F.lit("reviews without attributes: "), "isbn").alias("reason"),
+        F.concat(F.lit("reviews without attributes: "), F.col("isbn").cast("string")).alias("reason"),
     )
-    return urls.where("book_url is not null"), missing
 
 
 def by_popularity(counts: DataFrame) -> DataFrame:

@@ -733,7 +733,7 @@ from ({SQL_SAVED}) s join part on p_partkey = isbn group by isbn having count(*)
 def satisfied_books_rows(spark: SparkSession, d: str) -> DataFrame:
     """A3 J4 O6."""
     urls = C.satisfied_urls(C.reviews_per_book(saved_lines(spark, d)), part_books(spark, d), 12)
-    return C.by_popularity(C.split_lookup(urls)[0])
+    return C.by_popularity(urls)
 
 
 @query(
@@ -746,7 +746,7 @@ from ({SQL_SAVED}) s join part on p_partkey = isbn group by isbn having count(di
 def satisfied_books_users(spark: SparkSession, d: str) -> DataFrame:
     """A3 J4 O6 by distinct user."""
     counts = C.reviews_per_book(saved_lines(spark, d), "users", part_books(spark, d))
-    return C.by_popularity(C.split_lookup(C.satisfied_urls(counts, part_books(spark, d), 12))[0])
+    return C.by_popularity(C.satisfied_urls(counts, part_books(spark, d), 12))
 
 
 @query(
@@ -763,7 +763,7 @@ def orphan_lookup(spark: SparkSession, d: str) -> DataFrame:
     books = P.table(spark, d, "part").where("p_type <> 'SMALL'")
     books = books.select(F.col("p_partkey").alias("isbn"), P.book_url(F.col("p_partkey")).alias("book_url"))
     counts = C.reviews_per_book(all_lines(spark, d))
-    return C.split_lookup(C.satisfied_urls(counts, books, 20))[1]
+    return C.orphans(counts, books, 20)
 
 
 @query("distinct_isbns", "select distinct l_partkey as isbn from lineitem")

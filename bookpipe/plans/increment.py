@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from bookpipe.config import RunConfig
 from bookpipe.functions.urls import normalize_url
 from bookpipe.operators.books import parse_books
-from bookpipe.operators.counts import reviews_per_book, satisfied_urls, split_lookup, work_target
+from bookpipe.operators.counts import orphans, reviews_per_book, satisfied_urls, work_target
 from bookpipe.operators.joins import BROADCAST_ROWS, narrow, unseen
 from bookpipe.operators.listing import frontier, listing_links
 from bookpipe.operators.reviews import extract_reviews, fill_reviews
@@ -63,7 +63,7 @@ def run_increment(
     attributes, saved = store.attributes(batch), store.reviews(batch)
 
     counts = reviews_per_book(saved, config.count_mode, attributes)
-    satisfied, orphans = split_lookup(checkpointed(satisfied_urls(counts, attributes, config.num_reviews)))
+    satisfied = checkpointed(satisfied_urls(counts, attributes, config.num_reviews))
     target = work_target(satisfied.count(), config.num_books, config.surplus)
 
     links = listing_links(latest(captures.listing, ["page_no"]), profile)
@@ -106,11 +106,12 @@ def run_increment(
     )
     new_attributes = conform(unseen(good, attributes, "isbn", ["rank"]), BOOK)
 
+    unknown = orphans(counts, attributes, config.num_reviews)
     outcome = seen.get
     return Increment(
         new_attributes,
         new_reviews.select("isbn", "text", "rating", "user", "position"),
-        conform(rejected.unionByName(orphans).unionByName(absent), QUARANTINE),
+        conform(rejected.unionByName(unknown).unionByName(absent), QUARANTINE),
         Progress(target, outcome["accepted"], outcome["rejected"]),
     )
 

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from bookpipe.config import RunConfig
 from bookpipe.operators.reviews import fill_reviews
-from bookpipe.plans.increment import run_and_publish
+from bookpipe.plans.increment import Progress, run_and_publish
 from bookpipe.profile import SHOP, SiteProfile
 from bookpipe.schema import CAPTURE, nullable
 from bookpipe.sinks.stores import Store
@@ -24,17 +24,21 @@ def run_increment_stream(
     config: RunConfig = RunConfig(),
     profile: SiteProfile = SHOP,
     files_per_batch: int | None = None,
+    report: Callable[[int, Progress], None] | None = None,
 ) -> StreamingQuery:
     """Work every capture file that has landed since the last call, then stop.
 
     What is already saved is found by the anti joins of a run, not kept as stream
     state, so state does not grow. A batch that is repeated after a failure has
     the same id and replaces what it wrote. The pages of a book (its listing
-    entry, its own page, its review pages) must land in the same batch.
+    entry, its own page, its review pages) must land in the same batch. ``report``
+    is told the progress of each batch (P7).
     """
 
     def work(captures: DataFrame, batch_id: int) -> None:
-        run_and_publish(captures, raw, relational, config, profile, batch=f"stream-{batch_id:012d}")
+        run = run_and_publish(captures, raw, relational, config, profile, batch=f"stream-{batch_id:012d}")
+        if report is not None:
+            report(batch_id, run.progress)
 
     source = spark.readStream.schema(nullable(CAPTURE))
     if files_per_batch is not None:

@@ -156,11 +156,16 @@ def test_stream_equals_batch(spark, tmp_path, shop):
     store = FileStore(spark, str(tmp_path / "stream"))
     shop.coalesce(1).write.mode("append").parquet(landing)
 
+    seen = []
+
     def drain():
-        run_increment_stream(spark, landing, str(tmp_path / "cp"), store, config=config).awaitTermination()
+        run_increment_stream(
+            spark, landing, str(tmp_path / "cp"), store, config=config, report=lambda i, p: seen.append((i, p.target, p.accepted))
+        ).awaitTermination()
 
     drain()
     assert stored(store) == stored(whole)
+    assert seen == [(0, 10, 4)]
     drain()  # nothing has landed: nothing happens
     assert stored(store) == stored(whole)
     shop.coalesce(1).write.mode("append").parquet(landing)

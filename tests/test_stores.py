@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from bookpipe.functions.records import book_url_of, from_json_records, to_json_records
-from bookpipe.operators.counts import reviews_per_book, satisfied_urls, split_lookup
+from bookpipe.operators.counts import orphans, reviews_per_book, satisfied_urls
 from bookpipe.schema import BOOK, REVIEW, conform, nullable
 from bookpipe.sinks.stores import FileStore, JdbcStore, TableStore, image_manifest, saved_state
 from bookpipe.sinks.upsert import last_write, read_bucketed, upsert
@@ -73,9 +73,9 @@ def test_satisfied_with_no_reviews_wanted(spark, tree):
 def test_lookup_without_attributes(spark):
     counts = spark.createDataFrame([("a", 5), ("b", 5)], "isbn string, n long")
     books = spark.createDataFrame([("a", "u1"), ("a", "u2")], "isbn string, book_url string")
-    good, missing = split_lookup(satisfied_urls(counts, books, 1))
-    assert {r.book_url for r in good.collect()} == {"u1", "u2"}
-    assert [r.reason for r in missing.collect()] == ["reviews without attributes: b"]
+    assert {r.book_url for r in satisfied_urls(counts, books, 1).collect()} == {"u1", "u2"}
+    assert [r.reason for r in orphans(counts, books, 1).collect()] == ["reviews without attributes: b"]
+    assert orphans(counts, books, 6).count() == 0
 
 
 def test_saved_users(spark, tree):
