@@ -12,6 +12,7 @@ from bookpipe.operators.blocks import extract_blocks
 from bookpipe.operators.joins import without
 from bookpipe.operators.ranking import SMALL_PREFIX, first_k, total_before
 from bookpipe.profile import SHOP, SiteProfile
+from bookpipe.session import checkpointed
 
 
 def listing_blocks(pages: DataFrame, profile: SiteProfile = SHOP) -> DataFrame:
@@ -56,6 +57,26 @@ def frontier(
     return first_k(without(links, satisfied, "url"), order, k, small=small)
 
 
+def unsatisfied_links(
+    pages: DataFrame, satisfied: DataFrame, k: int, profile: SiteProfile = SHOP, first_slice: int = 1_000
+) -> DataFrame:
+    """Links of the first listing pages that hold ``k`` unsatisfied URLs.
+
+    Pages are read in growing slices of page numbers until enough is found, so a
+    small target does not parse a long listing. Each slice is one distributed pass
+    and is kept; the slices grow fourfold, so there are few of them.
+    """
+    ends = pages.agg(F.min("page_no").alias("first"), F.max("page_no").alias("last")).first()
+    found, n, start, width = None, 0, ends["first"] or 0, max(k, first_slice)
+    while True:
+        part = pages.where((F.col("page_no") >= start) & (F.col("page_no") < start + width))
+        links = checkpointed(without(listing_links(part, profile), satisfied, "url"))
+        found = links if found is None else found.unionByName(links)
+        n, start, width = n + links.count(), start + width, width * 4
+        if n >= k or ends["last"] is None or start > ends["last"]:
+            return found
+
+
 def pages_needed(page_counts: DataFrame, k: int | Column, by: Sequence[str] = ()) -> DataFrame:
     """Pages to read until ``k`` new entries are found.
 

@@ -14,7 +14,8 @@ from bookpipe.functions.urls import normalize_url
 from bookpipe.operators.books import parse_books
 from bookpipe.operators.counts import orphans, reviews_per_book, satisfied_urls, work_target
 from bookpipe.operators.joins import BROADCAST_ROWS, narrow, unseen
-from bookpipe.operators.listing import frontier, listing_links
+from bookpipe.operators.listing import unsatisfied_links
+from bookpipe.operators.ranking import first_k
 from bookpipe.operators.reviews import extract_reviews, fill_reviews
 from bookpipe.operators.validate import split_by_verdict
 from bookpipe.profile import SHOP, SiteProfile
@@ -66,8 +67,9 @@ def run_increment(
     satisfied = checkpointed(satisfied_urls(counts, attributes, config.num_reviews))
     target = work_target(satisfied.count(), config.num_books, config.surplus)
 
-    links = listing_links(latest(captures.listing, ["page_no"]), profile)
-    listed = frontier(links, satisfied.withColumnRenamed("book_url", "url"), target)
+    listing = latest(captures.listing, ["page_no"])
+    links = unsatisfied_links(listing, satisfied.withColumnRenamed("book_url", "url"), target, profile)
+    listed = first_k(links, ["page_no", "pos"], target)
     # A book listed twice is worked once, at its first place.
     books_due = checkpointed(listed.groupBy("url").agg(F.min("rank").alias("rank")))
 

@@ -3,11 +3,12 @@ from collections import defaultdict
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pages import SITE, listing_page, url
 from pyspark.sql import functions as F
 
 from bookpipe.operators import ranking as R
 from bookpipe.operators.counts import work_target
-from bookpipe.operators.listing import frontier, pages_needed
+from bookpipe.operators.listing import frontier, listing_links, pages_needed, unsatisfied_links
 
 SETTINGS = dict(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -73,6 +74,18 @@ def test_frontier_keeps_order_and_repeats(spark):
         assert [(r.url, r["rank"]) for r in got] == [("b", 1), ("b", 2)]
 
 
+@pytest.mark.parametrize("k", [0, 1, 3, 9, 99])
+def test_listing_is_read_in_slices(spark, k):
+    rows = [(p, f"{SITE}/s?page={p}", listing_page([2 * p, 2 * p + 1])) for p in range(10, 18)]
+    listing = spark.createDataFrame(rows, "page_no long, url string, html string")
+    done = spark.createDataFrame([(url(20),), (url(21),), (url(22),)], "url string")
+    got = unsatisfied_links(listing, done, k, first_slice=1)
+    whole = sorted((r.page_no, r.pos, r.url) for r in frontier(listing_links(listing), done, 10**6).collect())
+    read = sorted((r.page_no, r.pos, r.url) for r in got.collect())
+    assert read == whole[: len(read)] and len(read) >= min(k, len(whole))
+    assert unsatisfied_links(listing.limit(0), done, k).count() == 0
+
+
 @pytest.mark.parametrize("need, target", [(0, 0), (19, 19), (20, 21), (100, 105)])
 def test_work_target(need, target):
     assert work_target(7, 7 + need) == target
