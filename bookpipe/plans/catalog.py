@@ -30,7 +30,7 @@ from bookpipe.operators.ranking import global_rank
 from bookpipe.operators.reviews import complete_reviews, extract_reviews, fill_reviews, nest_reviews
 from bookpipe.plans import derived_pages as P
 from bookpipe.plans.flagship import ARRIVAL, flagship, line_reviews
-from bookpipe.plans.increment import run_and_publish, run_increment
+from bookpipe.plans.increment import due_books, run_and_publish, run_increment
 from bookpipe.profile import ARTICLES, SHOP
 from bookpipe.schema import BOOK, REVIEW
 from bookpipe.session import shared_dir, spread
@@ -179,8 +179,8 @@ from judged where verdict is not null
 )
 def run_increment_quarantine(spark: SparkSession, d: str) -> DataFrame:
     """The books a run sets aside."""
-    run = run_increment(P.captures(spark, d), P.SavedLines(spark, d), run_config(spark, d))
-    return run.quarantine.select("url", "field", "reason")
+    due = due_books(P.captures(spark, d), P.SavedLines(spark, d), run_config(spark, d))
+    return due.quarantine.select("url", "field", "reason")
 
 
 @query(
@@ -194,7 +194,7 @@ from judged
 )
 def progress(spark: SparkSession, d: str) -> DataFrame:
     """The gauge of a run."""
-    p = run_increment(P.captures(spark, d), P.SavedLines(spark, d), run_config(spark, d)).progress
+    p = due_books(P.captures(spark, d), P.SavedLines(spark, d), run_config(spark, d)).progress
     row = (p.target, p.accepted, p.rejected, p.remaining)
     return spark.createDataFrame([row], "target bigint, accepted bigint, rejected bigint, remaining bigint")
 

@@ -13,9 +13,9 @@ from bookpipe.config import RunConfig
 from bookpipe.functions.urls import normalize_url
 from bookpipe.operators.books import parse_books
 from bookpipe.operators.counts import orphans, reviews_per_book, satisfied_urls, work_target
-from bookpipe.operators.joins import BROADCAST_ROWS, narrow, unseen
+from bookpipe.operators.joins import BROADCAST_ROWS, members, narrow, unseen, with_saved_count, without
 from bookpipe.operators.listing import unsatisfied_links
-from bookpipe.operators.ranking import first_k
+from bookpipe.operators.ranking import first_k, top_per_group
 from bookpipe.operators.reviews import extract_reviews, fill_reviews
 from bookpipe.operators.validate import split_by_verdict
 from bookpipe.profile import SHOP, SiteProfile
@@ -38,7 +38,7 @@ class Progress(NamedTuple):
 
 
 class Increment(NamedTuple):
-    """What a run adds; computed when it is published."""
+    """What a run adds."""
 
     attributes: DataFrame
     reviews: DataFrame
@@ -46,21 +46,31 @@ class Increment(NamedTuple):
     progress: Progress
 
 
-def run_increment(
-    captures: Captures | DataFrame,
+class DueBooks(NamedTuple):
+    """The books of a run: valid ones, set-aside ones, and what is saved so far."""
+
+    valid: DataFrame
+    attributes: DataFrame
+    quarantine: DataFrame
+    progress: Progress
+    saved: DataFrame
+    counts: DataFrame
+
+
+def due_books(
+    captures: Captures,
     store: Store,
     config: RunConfig = RunConfig(),
     profile: SiteProfile = SHOP,
     batch: str | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
-) -> Increment:
-    """The books and reviews that are still missing, nothing else.
+) -> DueBooks:
+    """The frontier, parsed and judged.
 
-    Only pages of frontier books are parsed. Three tables are written to the
-    shared folder on the way, each at most one row per book: the satisfied
-    books, the frontier, and the parsed books (without their HTML).
+    Only pages of frontier books are parsed. What later steps share is written to
+    the shared folder on the way: satisfied books, links, the frontier and the
+    parsed books, all without page bodies.
     """
-    captures = captures if isinstance(captures, Captures) else Captures.of(captures)
     attributes, saved = store.attributes(batch), store.reviews(batch)
 
     counts = reviews_per_book(saved, config.count_mode, attributes)
@@ -91,33 +101,36 @@ def run_increment(
         F.lit("not captured").alias("reason"),
     )
 
-    review_pages = captures.reviews.withColumn("book_url", normalize_url(F.col("book_url")))
-    valid = good.select("book_url", "isbn", "rank")
-    review_pages = pages_of(review_pages, valid, "book_url", ["book_url", "page_no"], target, broadcast_rows)
-    found = extract_reviews(review_pages, profile, keep=("isbn", "rank", "page_no"))
-    saved_here = narrow(saved.select("isbn", "user"), valid, "isbn", bound=target, limit=broadcast_rows)
-    counts_here = narrow(counts, valid, "isbn", bound=target, limit=broadcast_rows)
-    new_reviews = fill_reviews(
-        found,
-        saved_here,
-        config.num_reviews,
-        ("rank", "page_no", "pos"),
-        counts_here,
-        config.dedup_first,
-        visit="rank",
-    )
-    new_attributes = conform(unseen(good, attributes, "isbn", ["rank"]), BOOK)
-
     unknown = orphans(counts, attributes, config.num_reviews)
     outcome = seen.get
-    return Increment(
-        new_attributes,
-        new_reviews.select("isbn", "text", "rating", "user", "position"),
+    return DueBooks(
+        good,
+        conform(unseen(good, attributes, "isbn", ["rank"]), BOOK),
         conform(rejected.unionByName(unknown).unionByName(absent), QUARANTINE),
         Progress(target, outcome["accepted"], outcome["rejected"]),
+        saved,
+        counts,
     )
 
 
+def run_increment(
+    captures: Captures | DataFrame,
+    store: Store,
+    config: RunConfig = RunConfig(),
+    profile: SiteProfile = SHOP,
+    batch: str | None = None,
+    broadcast_rows: int = BROADCAST_ROWS,
+    pages_first: int | None = None,
+) -> Increment:
+    """The books and reviews that are still missing, nothing else."""
+    captures = captures if isinstance(captures, Captures) else Captures.of(captures)
+    due = due_books(captures, store, config, profile, batch, broadcast_rows)
+    review_pages = captures.reviews.withColumn("book_url", normalize_url(F.col("book_url")))
+    reviews = missing_reviews(review_pages, due, config, profile, broadcast_rows, pages_first)
+    kept = reviews.select("isbn", "text", "rating", "user", "position")
+    return Increment(due.attributes, kept, due.quarantine, due.progress)
+
+
 def pages_of(
     pages: DataFrame,
     books: DataFrame,
@@ -138,14 +151,61 @@ def pages_of(
     return pages.join(newest.join(books, on), [*page_key, "page_id"])
 
 
-def publish(increment: Increment, stores: Sequence[Store], batch: str | None = None) -> None:
-    """The same rows to every store."""
+def missing_reviews(
+    pages: DataFrame,
+    due: DueBooks,
+    config: RunConfig = RunConfig(),
+    profile: SiteProfile = SHOP,
+    broadcast_rows: int = BROADCAST_ROWS,
+    pages_first: int | None = None,
+) -> DataFrame:
+    """The new reviews of the given books, without reading what is not needed.
+
+    The first pages of every book are read, as many as it wants reviews. Only
+    books that are still short and have further pages are then read to the end, so
+    a book with very many pages costs no more than others once its quota is met.
+    """
+    n, first, bound = config.num_reviews, max(pages_first or config.num_reviews, 1), due.progress.target
+    books = due.valid.select("book_url", "isbn", "rank")
+    saved = narrow(due.saved.select("isbn", "user"), books, "isbn", bound, broadcast_rows)
+    counts = narrow(due.counts, books, "isbn", bound, broadcast_rows)
+    page_key, order = ["book_url", "page_no"], ("rank", "page_no", "pos")
+    near = narrow(pages.select(*page_key, "page_id"), books, "book_url", bound, broadcast_rows)
+    keys = near.groupBy(*page_key).agg(F.max("page_id").alias("page_id")).join(books, "book_url")
+    head = top_per_group(keys, ["isbn"], ["rank", "page_no"], first, "_place").drop("_place")
+
+    def read(wanted: DataFrame, small: bool) -> DataFrame:
+        bodies = pages.join(F.broadcast(wanted) if small else wanted, [*page_key, "page_id"])
+        return extract_reviews(bodies, profile, keep=("isbn", "rank", "page_no"))
+
+    def fill(found: DataFrame) -> DataFrame:
+        return fill_reviews(found, saved, n, order, counts, config.dedup_first, visit="rank")
+
+    found = checkpointed(read(head, small=bound * first <= broadcast_rows))
+    filled = checkpointed(fill(found))
+    got = filled.groupBy("isbn").agg(F.count("*").alias("got"))
+    longer = keys.groupBy("isbn").agg(F.count("*").alias("pages")).where(F.col("pages") > first)
+    lacking = with_saved_count(longer.join(got, "isbn", "left"), counts)
+    short = checkpointed(lacking.where(F.coalesce("got", F.lit(0)) < n - F.col("saved")).select("isbn"))
+    if short.isEmpty():
+        return filled
+    rest = members(keys, short, "isbn").join(head.select(*page_key), page_key, "left_anti")
+    again = fill(members(found, short, "isbn").unionByName(read(rest, small=False)))
+    return without(filled, short, "isbn").unionByName(again)
+
+
+def publish(increment: Increment, stores: Sequence[Store], batch: str | None = None) -> Increment:
+    """The same rows to every store; returns the increment as written.
+
+    The rows are fixed before the first store changes what counts as saved.
+    """
     batch = batch or f"run-{uuid.uuid4().hex}"
-    attributes, reviews = increment.attributes, increment.reviews
-    if len(stores) > 1:
-        attributes, reviews = checkpointed(attributes), checkpointed(reviews)
+    fixed = increment._replace(
+        attributes=checkpointed(increment.attributes), reviews=checkpointed(increment.reviews)
+    )
     for store in stores:
-        store.write(attributes, reviews, batch)
+        store.write(fixed.attributes, fixed.reviews, batch)
+    return fixed
 
 
 def run_and_publish(
@@ -160,5 +220,4 @@ def run_and_publish(
     state = raw if relational is None else relational
     batch = batch or f"run-{uuid.uuid4().hex}"
     increment = run_increment(captures, state, config, profile, batch)
-    publish(increment, [raw] if relational is None else [raw, relational], batch)
-    return increment
+    return publish(increment, [raw] if relational is None else [raw, relational], batch)

@@ -90,8 +90,22 @@ def test_forms_agree(spark, tmp_path, shop):
     store = FileStore(spark, str(tmp_path / "s"))
     small = run_increment(shop, store, config)
     large = run_increment(shop.repartition(7, "page_id"), store, config, broadcast_rows=-1)
-    for a, b in zip(small[:3], large[:3]):
-        assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    sliced = run_increment(shop, store, config, pages_first=1)  # books fill up in the second reading
+    for other in (large, sliced):
+        for a, b in zip(small[:3], other[:3]):
+            assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+
+def test_reading_stops_at_the_quota(spark, tmp_path):
+    """Pages beyond the quota are not parsed; books that are short are read on."""
+    pages = {n: [[review(f"u{p}")] for p in range(6)] for n in (1, 2)}
+    pages[2][:4] = [[review(None)]] * 4  # nothing usable on the first four pages
+    df = captures(spark, [[1, 2]], {1: book_page(1), 2: book_page(2)}, pages)
+    store = FileStore(spark, str(tmp_path / "s"))
+    run_and_publish(df, store, config=RunConfig(2, 2))
+    assert [(i[-1], u) for i, u, _ in stored(store)] == [("1", "u0"), ("1", "u1"), ("2", "u4"), ("2", "u5")]
+    run_and_publish(df, store, config=RunConfig(2, 3))
+    assert len([1 for i, _, _ in stored(store) if i.endswith("1")]) == 3
 
 
 def test_two_stores(spark, tmp_path, shop):
@@ -101,8 +115,11 @@ def test_two_stores(spark, tmp_path, shop):
     # The relation has no key, so both reviews of one user stay.
     assert tables.reviews().count() == raw.reviews().count() + 1
     assert tables.attributes().count() == raw.attributes().count()
+    # Five books were set aside, so the next run reaches one more; then there is none.
     again = run_and_publish(shop, raw, tables, config)
-    assert again.attributes.count() == 0 and again.reviews.count() == 0
+    assert again.attributes.count() == 1 and again.reviews.count() == 5
+    last = run_and_publish(shop, raw, tables, config)
+    assert last.attributes.count() == 0 and last.reviews.count() == 0
 
 
 def test_strict_run_stops(spark, tmp_path, shop):
