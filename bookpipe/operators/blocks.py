@@ -16,7 +16,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bookpipe.profile import Blocks, Every, Group, Pick
+from bookpipe.profile import Blocks, Every, Group
 
 # Executors need no installed copy: the functions below travel with the task.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -262,21 +262,22 @@ def extract_blocks(html: Column | str, blocks: Blocks) -> Column:
             every = isinstance(want, Every)
             arrow.append((name, pa.list_(pa.string()) if every else pa.string()))
             spark.append(T.StructField(name, T.ArrayType(T.StringType()) if every else T.StringType()))
-    wanted = dict(blocks)
+    # Plain values only from here on: the closure must not need this package.
+    shapes = []
+    for name, want in blocks.items():
+        group = [(f, pick.nth) for f, pick in want.fields.items()] if isinstance(want, Group) else None
+        shapes.append((name, group, None if isinstance(want, (Every, Group)) else want.nth))
     arrow_type, layout = pa.struct(arrow), Layout(spec)
 
     def shape(found: dict) -> dict:
         row = {}
-        for name, want in wanted.items():
-            if isinstance(want, Group):
-                picks = list(want.fields.items())
+        for name, group, n in shapes:
+            if group is not None:
                 row[name] = [
-                    {f: nth(values[i], pick.nth) for i, (f, pick) in enumerate(picks)} for values in found[name]
+                    {f: nth(values[i], place) for i, (f, place) in enumerate(group)} for values in found[name]
                 ]
-            elif isinstance(want, Every):
-                row[name] = found[name]
             else:
-                row[name] = nth(found[name], want.nth)
+                row[name] = found[name] if n is None else nth(found[name], n)
         return row
 
     def parse(pages: pa.Array) -> pa.Array:
