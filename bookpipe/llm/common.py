@@ -25,8 +25,21 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+#: Documents go to Python in small batches, since texts may be long. Only defaults are replaced.
+BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"),
+    "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "8m"),
+}
+
+
 def ship(spark: SparkSession) -> None:
-    """Give the workers this package, once per Spark context, as --py-files would."""
+    """Give the workers this package, once per Spark context, as --py-files would.
+
+    Also lowers the session's Arrow batch sizes where they are at their defaults.
+    """
+    for key, (default, small) in BATCHES.items():
+        if spark.conf.get(key, default).rstrip("Bb") == default.rstrip("b"):
+            spark.conf.set(key, small)
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return

@@ -5,13 +5,50 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from bookpipe.llm import bpe, fingerprints, language_id, minhash, quality, sharding, token_counts, token_files
+from bookpipe.llm import bpe, decontaminate, fingerprints, html_text, language_id, minhash, quality, sharding, token_counts, token_files
 from bookpipe.llm.common import shared_path, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 PATTERN = public_tokenizers.PATTERN
 
+#: Every item-sized window that sets a shared shingle at its place in the item, compared exactly.
+LEAKS_SQL = r"""
+with item as (
+  select item_id, ws, len(ws) n, least(len(ws), 5) k from (
+    select item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') ws from benchmark) where len(ws) > 0),
+doc as (
+  select distinct doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') ws from documents),
+ish as (
+  select item_id, n, k, p, array_to_string(ws[p + 1:p + k], ' ') s
+  from (select *, unnest(range(n - k + 1)) p from item)),
+ic as (select item_id, s, count(*) c, any_value(n - k + 1) total from ish group by item_id, s),
+dsh as (
+  select doc_id, ws, p, k, array_to_string(ws[p + 1:p + k], ' ') s
+  from (select doc_id, ws, k, unnest(range(len(ws) - k + 1)) p from doc, (select distinct k from item) where len(ws) >= k)),
+win as (
+  select distinct doc_id, item_id, d.k, least(n, len(ws)) n, ws[st + 1:st + n] w, st from (
+    select d.*, item_id, n, greatest(0, least(d.p - i.p, greatest(len(ws) - n, 0))) st
+    from dsh d join ish i on d.s = i.s and d.k = i.k) d),
+wc as (
+  select doc_id, item_id, st, s, count(*) c, any_value(len(w) - k + 1) total from (
+    select doc_id, item_id, st, w, k, array_to_string(w[p + 1:p + k], ' ') s
+    from (select *, unnest(range(len(w) - k + 1)) p from win))
+  group by doc_id, item_id, st, s),
+sim as (
+  select wc.doc_id, wc.item_id, st, sum(least(wc.c, ic.c)) b, any_value(wc.total) x, any_value(ic.total) y
+  from wc join ic on wc.item_id = ic.item_id and wc.s = ic.s group by wc.doc_id, wc.item_id, st),
+best as (
+  select doc_id, item_id, st, b / (x + y - b) similarity,
+    row_number() over (partition by doc_id, item_id order by b / (x + y - b) desc, st) r
+  from sim where 100 * b >= 80 * (x + y - b))
+select doc_id, item_id, cast(st as integer) as start, similarity from best where r = 1
+"""
+
+
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
+
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.held_out_predictions(table(spark, sf_dir, "documents"))
@@ -41,6 +78,10 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80).drop("text_key")
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), RANKS, PATTERN)
 
@@ -48,6 +89,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_decontamination,
         op2_language_id,
         op3_token_files,
         op4_byte_bpe,
@@ -55,7 +97,8 @@ QUERIES = {
         op6_quality,
         op7_sharding,
         op8_minhash,
+        op9_html_text,
         op10_token_counts,
     )
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op1_decontamination": LEAKS_SQL}

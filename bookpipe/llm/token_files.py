@@ -15,6 +15,7 @@ Equal doc_ids are ordered by text. Extra columns are not written.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -44,6 +45,7 @@ class WordEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are parallel already
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.memo: dict[str, bytes] = {}
@@ -60,15 +62,16 @@ class WordEncoder:
         for word, found in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
             self.memo[word] = np.array(found.ids, dtype="<u4").tobytes()
 
-    def __call__(self, text: str) -> bytes:
-        words = text.replace("\n", " ").split(" ")
-        new = set(words) - self.memo.keys()
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        split = [text.replace("\n", " ").split(" ") for text in texts]
+        words = set().union(*split)
+        new = words - self.memo.keys()
         if new:
             if len(self.memo) + len(new) > MEMO_WORDS:
                 self.memo.clear()
-                new = set(words)
+                new = words
             self.learn(new)
-        return b"".join(map(self.memo.__getitem__, words))
+        return [b"".join(map(self.memo.__getitem__, own)) for own in split]
 
 
 @lru_cache(maxsize=2)
@@ -83,7 +86,7 @@ def _encode_part(tokenizer_path: str, end_id: int):
         encode, at, part = word_encoder(tokenizer_path), 0, TaskContext.get().partitionId()
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
-            ids = [np.frombuffer(encode(text) + end, dtype="<i4") for text in batch["text"]]
+            ids = [np.frombuffer(raw + end, dtype="<i4") for raw in encode(batch["text"].tolist())]
             sizes = np.array([len(x) for x in ids], dtype="int64")
             starts = at + np.cumsum(sizes) - sizes
             at += int(sizes.sum())
