@@ -9,9 +9,10 @@ sets that agree on a whole band are candidates.
 Texts with the same words are one node, so copies never meet each other. In a bucket
 every node is compared with one pivot, another one in each band, and confirmed links
 are joined into components. What a bucket still holds of different components is then
-compared across them, after a filter on sizes and on one bit of each coordinate. So
-every candidate pair is either confirmed on full sets, refuted, or already connected,
-without emitting the pairs within a group.
+compared across them: in small buckets after a filter on sizes and on one bit of each
+coordinate, in large ones by products of membership matrices over pairs of blocks,
+which give links only. So every candidate pair is either confirmed on full sets,
+refuted, or already connected, without emitting the pairs within a group.
 
 With 30 bands of 5 coordinates a pair at similarity 0.8 is no candidate with
 probability 7e-6; the bit filter is set 5 standard deviations away from it.
@@ -41,6 +42,9 @@ BITS = BANDS * ROWS
 #: Differing bits at similarity 0.8: a tenth on average, plus five deviations.
 MOST_BITS = int(BITS * 0.1 + 5 * (BITS * 0.1 * 0.9) ** 0.5)
 BLOCK_BYTES = 1 << 20
+#: Open buckets of up to so many nodes are compared by a join, larger ones by pairs of blocks.
+SMALL = 48
+BLOCK_NODES = 256
 
 U = np.uint64
 
@@ -200,9 +204,13 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.where(common * 100 >= union * percent).select("a", "b")
 
 
-def candidate_sets(docs: DataFrame, signed: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
-    """(node, shingles) of every node in ``pairs``, from one document of each."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+def nodes_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("node"))
+
+
+def candidate_sets(docs: DataFrame, signed: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+    """(node, shingles) of every node in ``nodes``, from one document of each."""
+    wanted = nodes.distinct()
     first = signed.groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("_first"))
     reps = first.join(wanted, "node").select("_first.*")
     texts = keyed(docs).join(reps, ["doc_id", "text_key"], "left_semi").dropDuplicates(["doc_id", "text_key"])
@@ -235,27 +243,22 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     buckets.join(pivots, "band").write.parquet(shared_path_)
     shared = spark.read.parquet(shared_path_)
 
-    def near_size(x: str, y: str):
-        return F.least(x, y) * 100 >= F.greatest(x, y) * percent
-
-    stars = shared.where((F.col("node") != F.col("_pivot")) & near_size("n_shingles", "_size"))
+    stars = shared.where((F.col("node") != F.col("_pivot")) & _near_size("n_shingles", "_size", percent))
     stars = stars.select(F.least("node", "_pivot").alias("a"), F.greatest("node", "_pivot").alias("b")).distinct()
-    links = _confirm_in(spark, docs, signed, stars, size, percent)
+    stars = _written(spark, "pairs", stars)
+    links = _written(spark, "links", confirmed(stars, candidate_sets(docs, signed, nodes_of(stars), size), percent))
     roots = components(links)
     # Across the components that a bucket still holds.
     rest = shared.select("band", "node", "n_shingles").join(roots, "node", "left")
     rest = rest.select("band", "node", "n_shingles", F.coalesce("root", "node").alias("root"))
-    open_bands = rest.groupBy("band").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where("_low <> _high").select("band")
-    sketch = signed.select("node", "bits").dropDuplicates(["node"])
-    rest = rest.join(open_bands, "band").join(sketch, "node")
-    x = rest.select("band", F.col("node").alias("a"), F.col("root").alias("_ra"), F.col("n_shingles").alias("_na"), F.col("bits").alias("_ba"))
-    y = rest.select("band", F.col("node").alias("b"), F.col("root").alias("_rb"), F.col("n_shingles").alias("_nb"), F.col("bits").alias("_bb"))
-    words = (BITS + 63) // 64
-    differing = sum((F.bit_count(F.col("_ba")[i].bitwiseXOR(F.col("_bb")[i])) for i in range(words)), F.lit(0))
-    across = (F.col("a") < F.col("b")) & (F.col("_ra") != F.col("_rb")) & near_size("_na", "_nb") & (differing <= MOST_BITS)
-    more = x.join(y, "band").where(across).select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
-    links = links.unionByName(_confirm_in(spark, docs, signed, more, size, percent))
-    roots = components(links)
+    held = rest.groupBy("band").agg(F.min("root").alias("_low"), F.max("root").alias("_high"), F.count("*").alias("_n"))
+    rest = _written(spark, "open", rest.join(held.where("_low <> _high").select("band", "_n"), "band"))
+    more = _pairs_across(rest.where(F.col("_n") <= SMALL), signed, percent).join(stars, ["a", "b"], "left_anti")
+    more = _written(spark, "pairs", more)
+    large = rest.where(F.col("_n") > SMALL)
+    sets = candidate_sets(docs, signed, nodes_of(more).unionByName(large.select("node")), size)
+    found = confirmed(more, sets, percent).unionByName(_links_in_blocks(large, sets, percent))
+    roots = components(links.unionByName(_written(spark, "links", found)))
     heads = signed.groupBy("node").agg(F.min("doc_id").alias("_own")).join(roots, "node", "left")
     least = heads.groupBy("root").agg(F.min("_own").alias("_least")).where("root is not null")
     names = heads.join(least, "root", "left").select("node", F.coalesce("_least", "_own").alias("_name"))
@@ -265,16 +268,77 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     return out.select("doc_id", "text_key", "n_shingles", "component_id", kept.alias("kept"))
 
 
-def _confirm_in(spark, docs: DataFrame, signed: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Write the pairs, then their confirmed part, in the shared folder."""
-    path = shared_path(spark, "pairs")
-    pairs.write.parquet(path)
-    pairs = spark.read.parquet(path)
-    path = shared_path(spark, "links")
-    confirmed(pairs, candidate_sets(docs, signed, pairs, size), percent).write.parquet(path)
+def _written(spark, name: str, rows: DataFrame) -> DataFrame:
+    """The rows as a table in the shared folder."""
+    path = shared_path(spark, name)
+    rows.write.parquet(path)
     return spark.read.parquet(path)
 
 
+def _near_size(x: str, y: str, percent: int):
+    return F.least(x, y) * 100 >= F.greatest(x, y) * percent
+
+
+def _pairs_across(rest: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of a bucket's nodes in different components, near enough in size and bits."""
+    rest = rest.join(signed.select("node", "bits").dropDuplicates(["node"]), "node")
+    x = rest.select("band", F.col("node").alias("a"), F.col("root").alias("_ra"), F.col("n_shingles").alias("_na"), F.col("bits").alias("_ba"))
+    y = rest.select("band", F.col("node").alias("b"), F.col("root").alias("_rb"), F.col("n_shingles").alias("_nb"), F.col("bits").alias("_bb"))
+    differing = sum((F.bit_count(F.col("_ba")[i].bitwiseXOR(F.col("_bb")[i])) for i in range((BITS + 63) // 64)), F.lit(0))
+    across = (F.col("a") < F.col("b")) & (F.col("_ra") != F.col("_rb")) & _near_size("_na", "_nb", percent) & (differing <= MOST_BITS)
+    return x.join(y, "band").where(across).select("a", "b").distinct()
+
+
+def block_links(roots: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links between different roots, one for each pair of roots.
+
+    The nodes outside the most frequent root are compared with all, by products of
+    membership matrices over runs of shingles that more than one node holds.
+    """
+    names, root, counts = np.unique(roots, return_inverse=True, return_counts=True)
+    rows = np.flatnonzero(root != counts.argmax())
+    if not len(rows):
+        return []
+    lengths = np.array([len(s) for s in sets])
+    shingles, place = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), lengths)
+    common = np.bincount(place)[place] > 1
+    _, place = np.unique(place[common], return_inverse=True)
+    owner, both = owner[common], np.zeros((len(rows), len(sets)), dtype="float32")
+    for low in range(0, int(place.max(initial=-1)) + 1, 8_192):
+        here = (place >= low) & (place < low + 8_192)
+        member = np.zeros((len(sets), 8_192), dtype="float32")
+        member[owner[here], place[here] - low] = 1
+        both += member[rows] @ member.T
+    union = lengths[rows][:, None] + lengths[None, :] - both
+    linked = (both * 100 >= union * percent) & (root[rows][:, None] != root[None, :])
+    found: dict[tuple[int, int], tuple[int, int]] = {}
+    for i, j in zip(*np.nonzero(linked), strict=True):
+        pair = sorted((root[rows[i]], root[j]))
+        found.setdefault((pair[0], pair[1]), (int(rows[i]), int(j)))
+    return list(found.values())
+
+
+def _links_in_blocks(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links across components in large buckets, without emitting their pairs.
+
+    A bucket is cut into blocks of about BLOCK_NODES nodes, and each pair of blocks is a
+    group of its own, so no group grows with the bucket.
+    """
+    cut = F.ceil(F.col("_n") / BLOCK_NODES).cast("int")
+    blocked = rest.withColumn("_cut", cut).withColumn("_own", F.pmod(F.xxhash64("node"), F.col("_cut")).cast("int"))
+    pairs = blocked.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_cut") - 1)))
+    placed = pairs.select("band", F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"), "node", "root").join(sets, "node")
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        nodes = group["node"].tolist()
+        roots = np.array([r.hex() for r in map(bytes, group["root"])])
+        links = block_links(roots, group["shingles"].tolist(), percent)
+        return pd.DataFrame({"a": [nodes[i] for i, _ in links], "b": [nodes[j] for _, j in links]}, columns=["a", "b"])
+
+    return placed.groupBy("band", "_i", "_j").applyInPandas(compare, "a binary, b binary")
+
+
 def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that are the first of their component, unchanged; one of repeated rows."""
     kept = near_duplicates(docs, size, percent).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_text_key")).distinct()
