@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from bookpipe.functions.text import soft_double
 
 # Fixed value: how a star rating is written; more text may follow.
-STARS = r"(?s)^([^ ]*) out of 5 stars( .*)?$"
+STARS = r"(?s)^([^ ]*) out of 5 stars( .*)?\z"
 
 
 def star_rating(text: Column) -> Column:

@@ -42,12 +42,13 @@ PARAGRAPH = (("p",), ("table",))  # any other block ends an open paragraph
 LINE = "\x00"
 MISSING = object()
 
-# A comment, or a tag with its name and attributes; quotes may hold ">".
+# A comment, or a tag with its name and attributes; quoted values may hold ">", unquoted ones quotes.
 TOKEN = re.compile(
-    r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*>|(/?)([a-zA-Z][^\s/>]*)((?:[^"'>]++|"[^"]*+"|'[^']*+')*+)>)""",
+    r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*>|(/?)([a-zA-Z][^\s/>]*)"""
+    r"""((?:[^"'>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)?+|["'])*+)>)""",
     re.S,
 )
-ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*)))?""")
 
 STEP = re.compile(r'(//|/)([\w-]+|\*)(?:\[@([\w-]+)(?:="([^"]*)")?\])?')
 
@@ -128,11 +129,14 @@ class Collector:
         self.reading = 0  # how many open elements want their text
         self.found = {name: [] for name in layout.names}
         self.groups: list = []  # (stack index, fields by tag, values per field)
+        self.open: dict[str, int] = {}  # open elements by tag
 
     def read(self, html: str) -> dict:
         at, size, stack = 0, len(html), self.stack
+        # No tag ends after the last ">"; a comment may run on to the end.
+        last = size if html.rfind("<!--") > html.rfind("-->") else html.rfind(">") + 1
         while at < size:
-            for token in TOKEN.finditer(html, at):
+            for token in TOKEN.finditer(html, at, last):
                 begin = token.start()
                 if begin > at and self.reading:
                     self.pieces.append(unescape(html[at:begin]))
@@ -149,6 +153,7 @@ class Collector:
                         break
                 elif stack and stack[-1][0] == tag and not stack[-1][2] and not stack[-1][3]:
                     stack.pop()  # what nearly all end tags come to
+                    self.open[tag] -= 1
                     if self.reading and tag in BLOCK:
                         self.pieces.append(LINE)
                 else:
@@ -171,6 +176,7 @@ class Collector:
             self.pieces.append(LINE)
         entry = [tag, attributes, None, 0]
         stack.append(entry)
+        self.open[tag] = self.open.get(tag, 0) + 1
         top = len(stack) - 1
         for root, fields, values in self.groups:
             for i, path, attr, value in fields.get(tag) or fields["*"]:
@@ -194,6 +200,8 @@ class Collector:
 
     def end(self, tag: str) -> None:
         stack = self.stack
+        if not self.open.get(tag):
+            return
         for at in range(len(stack) - 1, -1, -1):
             if stack[at][0] == tag:
                 self.close_to(at)
@@ -224,6 +232,7 @@ class Collector:
         stack = self.stack
         while len(stack) > at:
             tag, _, texts, groups = stack.pop()
+            self.open[tag] -= 1
             if texts:
                 for slots, position, start in texts:
                     slots[position] = visible(self.pieces[start:])

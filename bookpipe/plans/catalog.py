@@ -34,9 +34,9 @@ from bookpipe.plans.increment import due_books, run_and_publish, run_increment
 from bookpipe.profile import ARTICLES, SHOP
 from bookpipe.schema import BOOK, REVIEW
 from bookpipe.session import shared_dir, spread
-from bookpipe.sinks.stores import FileStore, image_manifest
+from bookpipe.sinks.stores import FileStore, TableStore, image_manifest
 from bookpipe.sinks.upsert import last_write, read_bucketed, upsert
-from bookpipe.sources.pages import read_pages
+from bookpipe.sources.pages import Captures, read_pages
 from bookpipe.sources.tables import saved_users
 from bookpipe.streaming.increment import fill_reviews_stream, run_increment_stream
 
@@ -168,6 +168,14 @@ def run_increment_reviews(spark: SparkSession, d: str) -> DataFrame:
     return run.reviews.select("isbn", "user", "position", "text", "rating")
 
 
+@query("repeated_captures", SQL["run_increment_reviews"])
+def repeated_captures(spark: SparkSession, d: str) -> DataFrame:
+    """Every capture has landed twice; the run is the same."""
+    captures = Captures(*(pages.unionByName(pages) for pages in P.captures(spark, d)))
+    run = run_increment(captures, P.SavedLines(spark, d), run_config(spark, d))
+    return run.reviews.select("isbn", "user", "position", "text", "rating")
+
+
 @query(
     "run_increment_quarantine",
     SQL_RUN
@@ -937,16 +945,17 @@ with done as (select isbn from ({SQL_SAVED}) s group by isbn having count(*) >=
 select l_orderkey as page_no, l_linenumber as pos, l_partkey as url, l_suppkey,
   row_number() over (order by l_orderkey, l_linenumber, l_partkey, l_suppkey) as rank
 from lineitem where l_partkey not in (select isbn from done)
+qualify rank <= (select count(*) // 2 from lineitem)
 """,
 )
 def frontier_query(spark: SparkSession, d: str) -> DataFrame:
-    """P2 J1 O2 with a target beyond what one task may sort; repeats are kept."""
+    """The first half as many links as there are lines; repeats are kept."""
     saved = saved_lines(spark, d)
     done = C.satisfied_books(C.reviews_per_book(saved), 12).withColumnRenamed("isbn", "url")
     lines = P.table(spark, d, "lineitem").select(
         F.col("l_orderkey").alias("page_no"), F.col("l_linenumber").alias("pos"), F.col("l_partkey").alias("url"), "l_suppkey"
     )
-    return L.frontier(lines, done, 2**40, order=["page_no", "pos", "url", "l_suppkey"])
+    return L.frontier(lines, done, lines.count() // 2, order=["page_no", "pos", "url", "l_suppkey"])
 
 
 @query(
@@ -1100,6 +1109,17 @@ def first_run_attributes(spark: SparkSession, d: str) -> DataFrame:
     return json.attributes().select("isbn", "title", "pages", "price", "book_url")
 
 
+@query("repeated_batch_two_stores", SQL["first_run_attributes"])
+def repeated_batch_two_stores(spark: SparkSession, d: str) -> DataFrame:
+    """One batch is worked twice, with a raw and a relational store; the raw one is read back."""
+    raw, mark = FileStore(spark, scratch(spark, "twice")), uuid.uuid4().hex
+    tables = TableStore(spark, *(f"{kind}_{mark}" for kind in ("books", "reviews", "rejects")))
+    for _ in range(2):
+        run_and_publish(P.captures(spark, d), raw, tables, first_run_config(spark, d), batch="b0")
+    both = raw.attributes().join(tables.attributes().select("isbn"), "isbn", "left_semi")
+    return both.select("isbn", "title", "pages", "price", "book_url")
+
+
 @query(
     "run_increment_stream",
     SQL_FIRST_RUN

@@ -182,3 +182,6 @@ class SavedLines:
 
     def write(self, attributes: DataFrame, reviews: DataFrame, batch: str) -> None:
         raise NotImplementedError("the test tables are read-only")
+
+    def reject(self, quarantine: DataFrame, batch: str) -> None:
+        raise NotImplementedError("the test tables are read-only")

@@ -148,7 +148,7 @@ def pages_of(
     if bound <= broadcast_rows:
         return latest(pages.join(F.broadcast(books), on), page_key)
     newest = pages.groupBy(*page_key).agg(F.max("page_id").alias("page_id"))
-    return pages.join(newest.join(books, on), [*page_key, "page_id"])
+    return pages.join(newest.join(books, on), [*page_key, "page_id"]).dropDuplicates([*page_key, "page_id"])
 
 
 def missing_reviews(
@@ -176,6 +176,7 @@ def missing_reviews(
 
     def read(wanted: DataFrame, small: bool) -> DataFrame:
         bodies = pages.join(F.broadcast(wanted) if small else wanted, [*page_key, "page_id"])
+        bodies = bodies.dropDuplicates([*page_key, "page_id"])  # a capture may land twice
         return extract_reviews(bodies, profile, keep=("isbn", "rank", "page_no"))
 
     def fill(found: DataFrame) -> DataFrame:
@@ -195,16 +196,19 @@ def missing_reviews(
 
 
 def publish(increment: Increment, stores: Sequence[Store], batch: str | None = None) -> Increment:
-    """The same rows to every store; returns the increment as written.
+    """The same rows and rejects to every store; returns the increment as written.
 
     The rows are fixed before the first store changes what counts as saved.
     """
     batch = batch or f"run-{uuid.uuid4().hex}"
     fixed = increment._replace(
-        attributes=checkpointed(increment.attributes), reviews=checkpointed(increment.reviews)
+        attributes=checkpointed(increment.attributes),
+        reviews=checkpointed(increment.reviews),
+        quarantine=checkpointed(increment.quarantine),
     )
     for store in stores:
         store.write(fixed.attributes, fixed.reviews, batch)
+        store.reject(fixed.quarantine, batch)
     return fixed
 
 

@@ -9,16 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bookpipe.functions.paths import image_key
-from bookpipe.operators.joins import without
-from bookpipe.schema import BOOK, REVIEW, conform, nullable
+from bookpipe.functions.paths import image_key, isbn_of_path
+from bookpipe.schema import BOOK, QUARANTINE, REVIEW, conform, nullable
 from bookpipe.sinks.upsert import last_write
-from bookpipe.sources.raw_tree import path_exists, read_raw_attributes, read_raw_reviews
-from bookpipe.sources.tables import table_or_empty
+from bookpipe.sources.raw_tree import list_store, path_exists, read_raw_attributes, read_raw_reviews
+from bookpipe.sources.tables import read_table, table_or_empty
 
 # Names of the two relations.
 ATTRIBUTES = "book_attributes"
 REVIEWS = "book_reviews"
+# Ours: rejected pages, and the covers to fetch.
+REJECTS = "quarantine"
+IMAGES = "image_manifest"
+BATCH = "batch"
+MANIFEST = T.StructType([T.StructField(n, T.StringType()) for n in ("isbn", "image_url", "target_key", "status")])
 
 
 class Store(Protocol):
@@ -34,6 +38,8 @@ class Store(Protocol):
 
     def write(self, attributes: DataFrame, reviews: DataFrame, batch: str) -> None: ...
 
+    def reject(self, quarantine: DataFrame, batch: str) -> None: ...
+
 
 class FileStore:
     """Parquet or JSON files, one folder per run.
@@ -72,36 +78,69 @@ class FileStore:
         for name, rows, schema in ((ATTRIBUTES, attributes, BOOK), (REVIEWS, keyed, REVIEW)):
             target = f"{self.root}/{name}/batch={batch}"
             conform(rows, schema).write.mode("overwrite").format(self.format).save(target)
+        covers = image_manifest(attributes, landed_images(self.spark, self.tree))
+        covers.write.mode("overwrite").format(self.format).save(f"{self.root}/{IMAGES}/{BATCH}={batch}")
+
+    def reject(self, quarantine: DataFrame, batch: str) -> None:
+        target = f"{self.root}/{REJECTS}/{BATCH}={batch}"
+        conform(quarantine, QUARANTINE).write.mode("overwrite").format(self.format).save(target)
+
+    def quarantine(self, batch: str | None = None) -> DataFrame:
+        return self._read(REJECTS, QUARANTINE, batch)
+
+    def images(self) -> DataFrame:
+        """The covers of stored books, those not landed to be fetched."""
+        return self._read(IMAGES, MANIFEST, None)
 
 
 class TableStore:
-    """Tables of the session catalog (W3, W4): append, no key."""
+    """Tables of the session catalog (W3, W4), partitioned by run.
+
+    A repeated run replaces its own rows; reading with its name leaves them out, so
+    that it finds the state its first attempt found.
+    """
+
+    def __init__(
+        self, spark: SparkSession, attributes: str = ATTRIBUTES, reviews: str = REVIEWS, rejects: str = REJECTS
+    ) -> None:
+        self.spark, self.names, self.rejects = spark, (attributes, reviews), rejects
 
-    def __init__(self, spark: SparkSession, attributes: str = ATTRIBUTES, reviews: str = REVIEWS) -> None:
-        self.spark, self.names = spark, (attributes, reviews)
+    def _read(self, name: str, schema: T.StructType, batch: str | None) -> DataFrame:
+        if batch is None or not self.spark.catalog.tableExists(name):
+            return table_or_empty(self.spark, name, schema)
+        return read_table(self.spark, name).where(F.col(BATCH) != batch).select(*schema.names)
 
     def attributes(self, batch: str | None = None) -> DataFrame:
-        return table_or_empty(self.spark, self.names[0], BOOK)
+        return self._read(self.names[0], BOOK, batch)
 
     def reviews(self, batch: str | None = None) -> DataFrame:
-        return table_or_empty(self.spark, self.names[1], REVIEW)
+        return self._read(self.names[1], REVIEW, batch)
+
+    def quarantine(self, batch: str | None = None) -> DataFrame:
+        return self._read(self.rejects, QUARANTINE, batch)
 
     def write(self, attributes: DataFrame, reviews: DataFrame, batch: str) -> None:
-        # Rows a failed attempt of this run has already appended are left out.
-        new_attributes = without(attributes, self.attributes(), "isbn")
-        new_reviews = without(reviews, self.reviews(), ["isbn", "user"])
-        for name, rows, schema in ((self.names[0], new_attributes, BOOK), (self.names[1], new_reviews, REVIEW)):
-            self.append(name, conform(rows, schema))
+        self.replace(self.names[0], conform(attributes, BOOK), batch)
+        self.replace(self.names[1], conform(reviews, REVIEW), batch)
+
+    def reject(self, quarantine: DataFrame, batch: str) -> None:
+        self.replace(self.rejects, conform(quarantine, QUARANTINE), batch)
 
-    def append(self, name: str, rows: DataFrame) -> None:
-        rows.write.mode("append").saveAsTable(name)
+    def replace(self, name: str, rows: DataFrame, batch: str) -> None:
+        """Put ``rows`` in the place of what this run has written."""
+        marked = rows.withColumn(BATCH, F.lit(batch))
+        if self.spark.catalog.tableExists(name):
+            marked.write.option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=True)
+        else:
+            marked.write.partitionBy(BATCH).saveAsTable(name)
 
 
 class JdbcStore(TableStore):
-    """Tables of a database over JDBC.
+    """Tables of a database over JDBC, with a column for the run.
 
     ``predicates`` split a read into one task each; without them a table would
-    come through a single connection, so they are required.
+    come through a single connection, so they are required. JDBC cannot replace
+    rows: a repeated run adds what its first attempt has not written.
     """
 
     def __init__(
@@ -112,24 +151,31 @@ class JdbcStore(TableStore):
         predicates: Sequence[str],
         attributes: str = ATTRIBUTES,
         reviews: str = REVIEWS,
+        rejects: str = REJECTS,
     ) -> None:
-        super().__init__(spark, attributes, reviews)
+        super().__init__(spark, attributes, reviews, rejects)
         if not predicates:
             raise ValueError("predicates must split the table into parts")
         self.url, self.properties, self.predicates = url, dict(properties), list(predicates)
 
-    def _read(self, name: str, schema: T.StructType) -> DataFrame:
+    def _read(self, name: str, schema: T.StructType, batch: str | None) -> DataFrame:
         rows = self.spark.read.jdbc(self.url, name, predicates=self.predicates, properties=self.properties)
+        if batch is not None:
+            rows = rows.where(F.col(BATCH) != batch)
         return conform(rows, schema)
 
-    def attributes(self, batch: str | None = None) -> DataFrame:
-        return self._read(self.names[0], BOOK)
+    def replace(self, name: str, rows: DataFrame, batch: str) -> None:
+        there = self.spark.read.jdbc(self.url, name, predicates=self.predicates, properties=self.properties)
+        there = there.where(F.col(BATCH) == batch).select(*rows.columns)
+        new = rows.exceptAll(there).withColumn(BATCH, F.lit(batch))
+        new.write.mode("append").jdbc(self.url, name, properties=self.properties)
 
-    def reviews(self, batch: str | None = None) -> DataFrame:
-        return self._read(self.names[1], REVIEW)
 
-    def append(self, name: str, rows: DataFrame) -> None:
-        rows.write.mode("append").jdbc(self.url, name, properties=self.properties)
+def landed_images(spark: SparkSession, tree: str | None) -> DataFrame:
+    """Isbns whose cover the raw tree holds already."""
+    if tree is None or not path_exists(spark, tree):
+        return spark.createDataFrame([], "isbn string")
+    return list_store(spark, tree, "*.jpg").select(isbn_of_path(F.col("path")).alias("isbn"))
 
 
 def saved_state(raw: Store, relational: Store | None = None) -> Store:

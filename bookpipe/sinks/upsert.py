@@ -46,9 +46,20 @@ def upsert(
     The store is partitioned by a bucket of the first key, and only buckets the
     batch touches are read and rewritten. The merged rows are checkpointed before
     anything is replaced, so an interrupted job can be repeated. A rebalance
-    before the write splits an oversized bucket over several tasks.
+    before the write splits an oversized bucket over several tasks. ``arrival``
+    orders the rows of one key. The bucket count is recorded beside the store;
+    another count is refused, since it would look for stored rows elsewhere.
     """
-    new = last_write(batch, keys, arrival) if arrival else batch.dropDuplicates(list(keys))
+    if not arrival:
+        raise ValueError("arrival must order the rows of one key")
+    layout = f"{path.rstrip('/')}.layout"
+    if path_exists(spark, layout):
+        stored = spark.read.schema("buckets int").parquet(layout).first()[0]
+        if stored != buckets:
+            raise ValueError(f"the store has {stored} buckets, not {buckets}")
+    else:
+        spark.createDataFrame([(buckets,)], "buckets int").coalesce(1).write.parquet(layout)
+    new = last_write(batch, keys, arrival)
     new = checkpointed(new.select(*schema.names).withColumn(BUCKET, bucket_of(keys[0], buckets)))
     touched = [row[0] for row in new.select(BUCKET).distinct().collect()]  # at most `buckets` numbers
     if not touched:

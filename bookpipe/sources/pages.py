@@ -34,10 +34,10 @@ class Captures(NamedTuple):
 
 
 def latest(pages: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The newest capture of each page.
+    """The newest capture of each page, once however often it has landed.
 
     The newest id per key is an aggregate over narrow columns, combined before
     its shuffle; bodies are only joined to it.
     """
     newest = pages.groupBy(*keys).agg(F.max("page_id").alias("page_id"))
-    return pages.join(newest, [*keys, "page_id"], "left_semi")
+    return pages.join(newest, [*keys, "page_id"], "left_semi").dropDuplicates([*keys, "page_id"])

@@ -18,7 +18,7 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
 def table_or_empty(spark: SparkSession, name: str, schema: T.StructType) -> DataFrame:
     """A missing table reads as an empty one."""
     if spark.catalog.tableExists(name):
-        return read_table(spark, name)
+        return read_table(spark, name).select(*schema.names)
     return spark.createDataFrame([], nullable(schema))
 
 

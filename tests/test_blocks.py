@@ -103,3 +103,24 @@ def test_bullets_with_missing_spans(spark):
         {"label": "c", "value": None},
         {"label": None, "value": None},
     ]
+
+
+def seconds_for(page):
+    import time
+
+    from bookpipe.operators.blocks import Layout, collect, steps
+
+    layout = Layout([("title", steps('//span[@id="productTitle"]'), None, None)])
+    start = time.perf_counter()
+    found = collect(page, layout)
+    return time.perf_counter() - start, found
+
+
+def test_broken_pages_take_linear_time():
+    for pattern in ("<b>" * 8_000 + "</i>" * 8_000, "<a '" * 16_000, '<a b="' * 11_000, "<a '" * 16_000 + ">"):
+        assert seconds_for(pattern)[0] < 0.5
+
+
+def test_quotes_inside_an_unquoted_value():
+    page = "<span id=\"productTitle\" data-x=it's>X</span><p title=\"a > b\">y</p>"
+    assert seconds_for(page)[1]["title"] == ["X"]

@@ -159,3 +159,24 @@ def test_contract(spark):
         conform(df.drop("isbn"), REVIEW)
     with pytest.raises(TypeError):
         conform([RECORD], BOOK)
+
+
+def test_upsert_keeps_its_bucket_count(spark, tmp_path):
+    path, schema = str(tmp_path / "counted"), "isbn string, text string, rating int, user string, seq int"
+    batch = spark.createDataFrame([("a", "1", 1, "x", 1)], schema)
+    upsert(spark, batch, path, REVIEW, arrival=("seq",), buckets=8)
+    with pytest.raises(ValueError):
+        upsert(spark, batch, path, REVIEW, arrival=("seq",), buckets=7)
+    with pytest.raises(ValueError):
+        upsert(spark, batch, path, REVIEW, buckets=8)
+
+
+def test_rejects_and_covers_are_stored(spark, tmp_path):
+    store = FileStore(spark, str(tmp_path / "kept"))
+    reviews = spark.createDataFrame([], REVIEW)
+    store.write(spark.createDataFrame([RECORD], BOOK), reviews.withColumn("position", F.lit(1)), "run-1")
+    quarantine = spark.createDataFrame([(1, "u", "title", "none")], "page_id bigint, url string, field string, reason string")
+    for _ in range(2):
+        store.reject(quarantine, "run-1")
+    assert rows(store.quarantine()) == [(1, "u", "title", "none")] and store.quarantine("run-1").count() == 0
+    assert [r.isbn for r in store.images().collect()] == [RECORD["isbn"]]
