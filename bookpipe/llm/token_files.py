@@ -16,6 +16,7 @@ Equal doc_ids are ordered by text. Extra columns are not written.
 from __future__ import annotations
 
 import os
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -34,12 +35,26 @@ PAGE_BYTES = 64 << 10
 MEMO_WORDS = 600_000
 
 
+LATIN_END = "\u0180"
+
+
+def byte_chars() -> list[str]:
+    """The character of each byte in byte-level BPE: itself if printable, else the next one from U+0100."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
+    others = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
+
+
+BYTE_CHARS = byte_chars()
+
+
 class WordEncoder:
     """Encodes by a tokenizers file, remembering the ids of words.
 
     The tokenizer drops white space, so a text's ids are those of its space-separated
-    words, one after another. Lower-casing, normal form and splitting leave a word of
-    ASCII letters whole, so such words go straight to the file's BPE model.
+    words, one after another. Latin letters below U+0180 are in normal form and a run of
+    them is one pre-token, as is a full stop or comma after it, so such words go straight
+    to the file's BPE model, in the byte-level alphabet; all others through the tokenizer.
     """
 
     def __init__(self, path: str):
@@ -50,17 +65,22 @@ class WordEncoder:
         self.tokenizer.encode_special_tokens = True
         self.memo: dict[str, bytes] = {}
 
-    def learn(self, words: set[str]) -> None:
-        import numpy as np
+    def pieces(self, word: str) -> bytes:
+        """Ids of one lower-cased run of letters, straight from the model."""
+        mapped = word if word.isascii() else "".join(map(BYTE_CHARS.__getitem__, word.encode()))
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(mapped)]).tobytes()
 
-        model, other = self.tokenizer.model, []
+    def learn(self, words: set[str]) -> None:
+        other = []
         for word in words:
-            if word.isascii() and word.isalpha():
-                self.memo[word] = np.array([t.id for t in model.tokenize(word.lower())], dtype="<u4").tobytes()
+            stem, mark = (word[:-1], word[-1]) if word[-1:] in (".", ",") else (word, "")
+            lower = stem.lower()
+            if stem.isalpha() and lower.isalpha() and max(stem) < LATIN_END:
+                self.memo[word] = self.pieces(lower) + (self.pieces(mark) if mark else b"")
             else:
                 other.append(word)
         for word, found in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
-            self.memo[word] = np.array(found.ids, dtype="<u4").tobytes()
+            self.memo[word] = array("I", found.ids).tobytes()
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         split = [text.replace("\n", " ").split(" ") for text in texts]
