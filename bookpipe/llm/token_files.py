@@ -32,7 +32,7 @@ END_ID = 1
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 64 << 10
 #: Different words a worker remembers the ids of.
-MEMO_WORDS = 600_000
+MEMO_WORDS = 400_000
 
 
 LATIN_END = "\u0180"
@@ -64,11 +64,16 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.memo: dict[str, bytes] = {}
+        self.stems: dict[str, bytes] = {}
 
     def pieces(self, word: str) -> bytes:
         """Ids of one lower-cased run of letters, straight from the model."""
+        known = self.stems.get(word)
+        if known is not None:
+            return known
         mapped = word if word.isascii() else "".join(map(BYTE_CHARS.__getitem__, word.encode()))
-        return array("I", [t.id for t in self.tokenizer.model.tokenize(mapped)]).tobytes()
+        self.stems[word] = ids = array("I", [t.id for t in self.tokenizer.model.tokenize(mapped)]).tobytes()
+        return ids
 
     def learn(self, words: set[str]) -> None:
         other = []
@@ -89,6 +94,7 @@ class WordEncoder:
         if new:
             if len(self.memo) + len(new) > MEMO_WORDS:
                 self.memo.clear()
+                self.stems.clear()
                 new = words
             self.learn(new)
         return [b"".join(map(self.memo.__getitem__, own)) for own in split]
