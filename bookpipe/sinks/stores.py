@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from bookpipe.functions.paths import image_key, isbn_of_path
 from bookpipe.schema import BOOK, QUARANTINE, REVIEW, conform, nullable
+from bookpipe.session import checkpointed
 from bookpipe.sinks.upsert import last_write
 from bookpipe.sources.raw_tree import list_store, path_exists, read_raw_attributes, read_raw_reviews
 from bookpipe.sources.tables import read_table, table_or_empty
@@ -127,12 +128,17 @@ class TableStore:
         self.replace(self.rejects, conform(quarantine, QUARANTINE), batch)
 
     def replace(self, name: str, rows: DataFrame, batch: str) -> None:
-        """Put ``rows`` in the place of what this run has written."""
-        marked = rows.withColumn(BATCH, F.lit(batch))
-        if self.spark.catalog.tableExists(name):
-            marked.write.option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=True)
-        else:
-            marked.write.partitionBy(BATCH).saveAsTable(name)
+        """Put ``rows`` in the place of what this run has written; other runs' rows stay."""
+        if not self.spark.catalog.tableExists(name):
+            rows.withColumn(BATCH, F.lit(batch)).write.partitionBy(BATCH).saveAsTable(name)
+            return
+        fixed = checkpointed(rows)  # they may come from this very table
+        columns = ", ".join(f"`{c}`" for c in fixed.columns)
+        self.spark.sql(
+            f"insert overwrite table {name} partition ({BATCH} = :batch) select {columns} from {{rows}}",
+            args={"batch": batch},
+            rows=fixed,
+        )
 
 
 class JdbcStore(TableStore):
