@@ -38,6 +38,8 @@ EPOCHS = 4
 RATE = 0.5
 PER_LANGUAGE = 400
 SAMPLE_ROWS = 20_000
+#: Portions of a language that are ranked each by itself before all of it is.
+PORTIONS = 32
 SAMPLE_CHARS = 2_000
 ALPHA = 0.001
 PIECE = 1 << 20
@@ -102,8 +104,13 @@ def sample(docs: DataFrame, teaches: Column) -> list:
     """The bounded training sample: rows (lang, text), in a fixed order."""
     rows = docs.where(teaches & F.col("lang").isNotNull() & F.col("text").isNotNull())
     order = F.xxhash64("doc_id")
+    # First within portions of a language, so that no task sorts what every scan task keeps of a frequent one.
+    portion = F.pmod(F.spark_partition_id(), F.lit(PORTIONS)).alias("_portion")
+    in_portion = Window.partitionBy("lang", "_portion").orderBy("_order", "doc_id")
     chosen = (
-        rows.select("doc_id", "lang", order.alias("_order"))
+        rows.select("doc_id", "lang", order.alias("_order"), portion)
+        .withColumn("_rank", F.row_number().over(in_portion))
+        .where(F.col("_rank") <= PER_LANGUAGE)
         .withColumn("_rank", F.row_number().over(Window.partitionBy("lang").orderBy("_order", "doc_id")))
         .where(F.col("_rank") <= PER_LANGUAGE)
         .orderBy("_rank", "_order", "doc_id", "lang")
