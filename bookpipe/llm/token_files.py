@@ -16,6 +16,7 @@ Equal doc_ids are ordered by text. Extra columns are not written.
 from __future__ import annotations
 
 import os
+import string
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -31,8 +32,10 @@ from bookpipe.llm.common import ship, text_or_empty
 END_ID = 1
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 64 << 10
-#: Different words a worker remembers the ids of.
-MEMO_WORDS = 400_000
+#: Different words in each of a worker's two generations of remembered ids.
+MEMO_WORDS = 500_000
+#: ASCII characters that are neither letters, digits nor white space.
+MARKS = string.punctuation
 
 
 LATIN_END = "\u0180"
@@ -53,8 +56,11 @@ class WordEncoder:
 
     The tokenizer drops white space, so a text's ids are those of its space-separated
     words, one after another. Latin letters below U+0180 are in normal form and a run of
-    them is one pre-token, as is a full stop or comma after it, so such words go straight
+    them is one pre-token, as is a run of ASCII marks after it, so such words go straight
     to the file's BPE model, in the byte-level alphabet; all others through the tokenizer.
+
+    Words are remembered in two generations of MEMO_WORDS: when the newer is full it
+    becomes the older, from which words in use move on. Nothing grows with the corpus.
     """
 
     def __init__(self, path: str):
@@ -64,37 +70,43 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.memo: dict[str, bytes] = {}
-        self.stems: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def pieces(self, word: str) -> bytes:
-        """Ids of one lower-cased run of letters, straight from the model."""
-        known = self.stems.get(word)
-        if known is not None:
-            return known
-        mapped = word if word.isascii() else "".join(map(BYTE_CHARS.__getitem__, word.encode()))
-        self.stems[word] = ids = array("I", [t.id for t in self.tokenizer.model.tokenize(mapped)]).tobytes()
-        return ids
-
-    def learn(self, words: set[str]) -> None:
+        """Ids of one pre-token, a lower-cased run of letters or a run of marks, straight from the model."""
+        known = self.memo.get(word)
+        if known is None:
+            known = self.older.get(word)
+        if known is None:
+            mapped = word if word.isascii() else "".join(map(BYTE_CHARS.__getitem__, word.encode()))
+            known = array("I", [t.id for t in self.tokenizer.model.tokenize(mapped)]).tobytes()
+        self.memo[word] = known
+        return known
+
+    def learn(self, words: Iterable[str]) -> None:
         other = []
         for word in words:
-            stem, mark = (word[:-1], word[-1]) if word[-1:] in (".", ",") else (word, "")
-            lower = stem.lower()
-            if stem.isalpha() and lower.isalpha() and max(stem) < LATIN_END:
-                self.memo[word] = self.pieces(lower) + (self.pieces(mark) if mark else b"")
-            else:
-                other.append(word)
+            known = self.older.get(word)
+            if known is None:
+                stem = word.rstrip(MARKS)
+                lower = stem.lower()
+                if not (stem.isalpha() and lower.isalpha() and max(stem) < LATIN_END):
+                    other.append(word)
+                    continue
+                known = self.pieces(lower)
+                if len(stem) < len(word):
+                    known += self.pieces(word[len(stem) :])
+            self.memo[word] = known
         for word, found in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
             self.memo[word] = array("I", found.ids).tobytes()
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         split = [text.replace("\n", " ").split(" ") for text in texts]
         words = set().union(*split)
-        new = words - self.memo.keys()
+        new = words.difference(self.memo)
         if new:
             if len(self.memo) + len(new) > MEMO_WORDS:
-                self.memo.clear()
-                self.stems.clear()
+                self.older, self.memo = self.memo, {}
                 new = words
             self.learn(new)
         return [b"".join(map(self.memo.__getitem__, own)) for own in split]

@@ -81,6 +81,20 @@ def test_token_files(spark, docs, none, tmp_path):
     assert token_files.token_digests(none, str(tmp_path / "e"), WORDS).count() == 0
 
 
+def test_word_encoder_equals_the_tokenizer(monkeypatch):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(WORDS)
+    plain.encode_special_tokens = True
+    texts = ["(ab)... x##! it's. l'eau, \u0130a!! a1%% <|endoftext|> e\u0301.. \x1c.a \u00aa\u00ba!!", "  ", "", "Eau eau, EAU% %% \u4e2d\u6587\u3002 a\u00a0b", LONG]
+    for words in (500_000, 3):
+        monkeypatch.setattr(token_files, "MEMO_WORDS", words)
+        encode = token_files.WordEncoder(WORDS)
+        for group in (texts, texts[:1], texts[3:], texts):
+            got = [np.frombuffer(raw, dtype="<u4").tolist() for raw in encode(group)]
+            assert got == [plain.encode(t, add_special_tokens=False).ids for t in group]
+
+
 def test_language(spark, docs, none):
     rows = [(i, "the of and with this from that" if i % 2 else "der die das und mit ist ein", "en" if i % 2 else "de") for i in range(80)]
     taught = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
