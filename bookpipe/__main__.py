@@ -1,4 +1,4 @@
-"""Command line: ``spark-submit -m bookpipe 1000 20 --captures … --store …``."""
+"""Command line: ``spark-submit bookpipe/__main__.py 1000 20 --captures … --store …``."""
 
 from __future__ import annotations
 
@@ -12,7 +12,7 @@ from bookpipe.sinks.stores import FileStore, TableStore
 from bookpipe.sources.pages import read_captures
 
 
-def main(argv: list[str] | None = None) -> None:
+def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser("bookpipe")
     parser.add_argument("num_books", type=int, nargs="?", default=5)
     parser.add_argument("num_reviews", type=int, nargs="?", default=5)
@@ -21,15 +21,33 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--tree", help="existing JSON tree that counts as saved")
     parser.add_argument("--tables", action="store_true", help="also keep catalog tables")
     parser.add_argument("--banned", action="append", default=[], help="banned title phrase")
-    args = parser.parse_args(argv)
+    parser.add_argument("--language", default="English", help="language a book must be in")
+    parser.add_argument("--count-mode", choices=("rows", "users"), default="rows", help="what counts as a saved review")
+    parser.add_argument("--dedup-first", action="store_true", help="count each user once in a quota")
+    parser.add_argument("--on-error", choices=("quarantine", "fail"), default="quarantine", help="what a bad page does")
+    return parser.parse_args(argv)
+
+
+def config_of(args: argparse.Namespace) -> RunConfig:
+    return RunConfig(
+        args.num_books,
+        args.num_reviews,
+        tuple(args.banned),
+        language=args.language,
+        count_mode=args.count_mode,
+        dedup_first=args.dedup_first,
+        on_error=args.on_error,
+    )
 
+
+def main(argv: list[str] | None = None) -> None:
+    args = arguments(argv)
     spark = SparkSession.builder.appName("bookpipe").getOrCreate()
-    config = RunConfig(args.num_books, args.num_reviews, tuple(args.banned))
     increment = run_and_publish(
         read_captures(spark, args.captures),
         FileStore(spark, args.store, tree=args.tree),
         TableStore(spark) if args.tables else None,
-        config,
+        config_of(args),
     )
     p = increment.progress
     print(f"target {p.target}, accepted {p.accepted}, rejected {p.rejected}, remaining {p.remaining}")

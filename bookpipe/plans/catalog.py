@@ -32,12 +32,12 @@ from bookpipe.plans import derived_pages as P
 from bookpipe.plans.flagship import ARRIVAL, flagship, line_reviews
 from bookpipe.plans.increment import due_books, run_and_publish, run_increment
 from bookpipe.profile import ARTICLES, SHOP
-from bookpipe.schema import BOOK, REVIEW
+from bookpipe.schema import BOOK, REVIEW, conform
 from bookpipe.session import shared_dir, spread
 from bookpipe.sinks.stores import FileStore, TableStore, image_manifest
 from bookpipe.sinks.upsert import last_write, read_bucketed, upsert
 from bookpipe.sources.pages import Captures, read_pages
-from bookpipe.sources.tables import saved_users
+from bookpipe.sources.tables import read_table, saved_isbns, saved_users
 from bookpipe.streaming.increment import fill_reviews_stream, run_increment_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -523,6 +523,24 @@ def quarantine(spark: SparkSession, d: str) -> DataFrame:
     return bad
 
 
+@query(
+    "pages_not_initialised",
+    """
+with judged as (select p_partkey, case when p_name like '%gizmo%' then 'page: no detail bullets'
+    when p_type = 'PROMO' then 'language: not English'
+    when p_type = 'ECONOMY' and p_size > 40 then 'pages: not a number' end as verdict from part)
+select p_partkey as page_id, split_part(verdict, ': ', 1) as field, split_part(verdict, ': ', 2) as reason
+from judged where verdict is not null
+""",
+)
+def pages_not_initialised(spark: SparkSession, d: str) -> DataFrame:
+    """V1: pages of some books have lost their bullets."""
+    bare = F.when(F.col("html").contains("gizmo"), F.replace("html", F.lit("detailBullets_feature_div"), F.lit("lost")))
+    pages = P.book_pages(P.table(spark, d, "part")).withColumn("html", F.coalesce(bare, "html"))
+    _, bad = V.split_by_verdict(parse_books(pages))
+    return bad.select("page_id", "field", "reason")
+
+
 @query(
     "extract_reviews",
     """
@@ -1044,13 +1062,13 @@ select 'ISBN-13-978-' || isbn as isbn, 'order ' || l_orderkey || ' ' || l_linenu
   cast(rating as integer) as rating, 'user-' || usr as "user" from (
   select l_partkey isbn, l_suppkey usr, l_quantity rating, l_orderkey, l_linenumber,
     row_number() over (partition by l_partkey, l_suppkey order by l_orderkey desc, l_linenumber desc, l_quantity desc) rn
-  from lineitem where l_shipdate < timestamp '1998-01-01 00:00:00') t where rn = 1
+  from lineitem) t where rn = 1
 """,
 )
 def store_round_trip(spark: SparkSession, d: str) -> DataFrame:
     """Records written by one run are the next run's saved state."""
     store = FileStore(spark, scratch(spark, "store"))
-    lines = review_rows(saved_lines(spark, d))
+    lines = review_rows(all_lines(spark, d))
     place = (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 1000 + F.col("rating")
     books = P.SavedLines(spark, d).attributes().select(
         *(F.col(f.name) if f.name in ("isbn", "title", "book_url") else F.lit(None).cast(f.dataType).alias(f.name) for f in BOOK)
@@ -1059,6 +1077,61 @@ def store_round_trip(spark: SparkSession, d: str) -> DataFrame:
     return members(store.reviews(), store.attributes(), "isbn")
 
 
+def table_store(spark: SparkSession) -> TableStore:
+    """A store of new catalog tables."""
+    mark = uuid.uuid4().hex
+    return TableStore(spark, *(f"{kind}_{mark}" for kind in ("books", "reviews", "rejects")))
+
+
+@query("table_store_isbns", "select 'ISBN-13-978-' || p_partkey as isbn from part")
+def table_store_isbns(spark: SparkSession, d: str) -> DataFrame:
+    """A missing table reads as empty; a second run adds only what is not saved."""
+    store = table_store(spark)
+    books = P.SavedLines(spark, d).attributes().select(
+        *(F.col(f.name) if f.name in ("isbn", "title", "book_url") else F.lit(None).cast(f.dataType).alias(f.name) for f in BOOK)
+    )
+    none = spark.createDataFrame([], REVIEW)
+    for batch in ("run-1", "run-2"):
+        store.write(unseen(books, store.attributes(batch), "isbn", ["isbn"]), none, batch)
+    return saved_isbns(read_table(spark, store.names[0]))
+
+
+@query(
+    "table_store_reviews",
+    """
+select 'ISBN-13-978-' || l_partkey as isbn, 'order ' || l_orderkey || ' ' || l_linenumber as text,
+  cast(l_quantity as integer) as rating, 'user-' || l_suppkey as "user" from lineitem
+""",
+)
+def table_store_reviews(spark: SparkSession, d: str) -> DataFrame:
+    """Reviews of two runs in one table; the second run is repeated and replaces its rows."""
+    store = table_store(spark)
+    none = spark.createDataFrame([], "struct<{}>".format(", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in BOOK)))
+    runs = (("run-1", saved_lines(spark, d)), ("run-2", fresh_lines(spark, d)), ("run-2", fresh_lines(spark, d)))
+    for batch, lines in runs:
+        store.write(none, review_rows(lines), batch)
+    return store.reviews()
+
+
+@query(
+    "conformed_reviews",
+    """
+select 'ISBN-13-978-' || l_partkey as isbn, l_returnflag as text, cast(l_linenumber % 6 as integer) as rating,
+  'user-' || l_suppkey as "user" from lineitem
+""",
+)
+def conformed_reviews(spark: SparkSession, d: str) -> DataFrame:
+    """Columns in another order, of a narrower type, beside others, brought to the contract."""
+    rows = P.table(spark, d, "lineitem").select(
+        F.concat(F.lit("user-"), F.col("l_suppkey").cast("string")).alias("user"),
+        (F.col("l_linenumber") % 6).cast("smallint").alias("rating"),
+        "l_orderkey",
+        F.col("l_returnflag").alias("text"),
+        P.isbn(F.col("l_partkey")).alias("isbn"),
+    )
+    return conform(rows, REVIEW)
+
+
 @query(
     "stream_increment",
     """
@@ -1105,7 +1178,7 @@ from valid
 def first_run_attributes(spark: SparkSession, d: str) -> DataFrame:
     """A run into two empty stores, read back from the JSON one."""
     parquet, json = (FileStore(spark, scratch(spark, "first"), kind) for kind in ("parquet", "json"))
-    run_and_publish(P.captures(spark, d), parquet, json, first_run_config(spark, d))
+    run_and_publish(P.all_captures(spark, d), parquet, json, first_run_config(spark, d))
     return json.attributes().select("isbn", "title", "pages", "price", "book_url")
 
 
@@ -1115,7 +1188,7 @@ def repeated_batch_two_stores(spark: SparkSession, d: str) -> DataFrame:
     raw, mark = FileStore(spark, scratch(spark, "twice")), uuid.uuid4().hex
     tables = TableStore(spark, *(f"{kind}_{mark}" for kind in ("books", "reviews", "rejects")))
     for _ in range(2):
-        run_and_publish(P.captures(spark, d), raw, tables, first_run_config(spark, d), batch="b0")
+        run_and_publish(P.all_captures(spark, d), raw, tables, first_run_config(spark, d), batch="b0")
     both = raw.attributes().join(tables.attributes().select("isbn"), "isbn", "left_semi")
     return both.select("isbn", "title", "pages", "price", "book_url")
 
@@ -1123,10 +1196,10 @@ def repeated_batch_two_stores(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "run_increment_stream",
     SQL_FIRST_RUN
-    + f"""
-, placed as (select isbn, usr, l_orderkey, l_linenumber,
-    row_number() over (partition by isbn order by l_orderkey, l_linenumber, usr, rating) pos
-  from ({SQL_FRESH}) f join valid on p_partkey = isbn),
+    + """
+, placed as (select l_partkey as isbn, l_suppkey as usr, l_orderkey, l_linenumber,
+    row_number() over (partition by l_partkey order by l_orderkey, l_linenumber, l_suppkey, l_quantity) pos
+  from lineitem join valid on p_partkey = l_partkey),
 kept as (select *, row_number() over (partition by isbn, usr order by pos desc) rn from placed where pos <= 4)
 select 'ISBN-13-978-' || isbn as isbn, 'user-' || usr as "user",
   'Lot ' || l_linenumber || chr(10) || 'of order ' || l_orderkey as text from kept where rn = 1
@@ -1135,7 +1208,7 @@ select 'ISBN-13-978-' || isbn as isbn, 'user-' || usr as "user",
 def run_increment_stream_query(spark: SparkSession, d: str) -> DataFrame:
     """The same run over a stream of landed captures."""
     landing, store = scratch(spark, "landing"), FileStore(spark, scratch(spark, "streamed"))
-    P.landed(P.captures(spark, d)).write.parquet(landing)
+    P.landed(P.all_captures(spark, d)).write.parquet(landing)
     state = scratch(spark, "stream-state")
     run_increment_stream(spark, landing, state, store, config=first_run_config(spark, d)).awaitTermination()
     return store.reviews().select("isbn", "user", "text")

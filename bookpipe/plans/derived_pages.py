@@ -152,6 +152,12 @@ def captures(spark: SparkSession, sf_dir: str) -> Captures:
     return Captures(listing_pages(part), book_pages(part), review_pages(fresh))
 
 
+def all_captures(spark: SparkSession, sf_dir: str) -> Captures:
+    """Listing and book pages of all parts, review pages of all lines."""
+    part, lines = table(spark, sf_dir, "part"), spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
+    return Captures(listing_pages(part), book_pages(part), review_pages(lines))
+
+
 def landed(pages: Captures) -> DataFrame:
     """The three kinds as one table, the way a crawler lands them."""
     none = F.lit(None)
