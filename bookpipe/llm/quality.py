@@ -1,12 +1,18 @@
 """Text quality from an interpolated modified Kneser-Ney model of trusted text.
 
-Characters are folded to 40 classes by a fixed rule, and the model is over 4-grams of
-classes, so that a count table has at most 40^4 = 2.56 million entries whatever the
-corpus: a proven bound. Counts of all trusted text are added up per task, then per
-4-gram by a shuffle that is sharded by 4-gram. Continuation counts and discounts of
-the lower orders follow from them. Documents meet the probabilities by a lookup in
-the table that every worker holds (10 MB), so scoring moves no text and no gram; the
-perplexity of a document is the exponential of its mean negative log probability.
+The model is over whole-character 6-grams, backed by 5-grams and 4-grams. Counts of all
+trusted text grow with it and are never in one place: they are a table sharded by the
+hash of the three characters before the last, so that a gram, its shorter grams and their
+contexts meet in one shard. What no 4-gram has seen has the probability of its character's
+class after three classes (40 classes, at most 40^4 entries), times the character's share
+in its class.
+
+Documents are taken in chunks. A chunk's distinct grams, each with the documents that hold
+it, go to their shards, meet the counts there and come back as one sum per document; text
+does not move. The ``HOT`` most frequent grams, which would weigh on single shards, are
+scored in the chunk. Trusted documents are scored without the counts of their own fold,
+so that having been counted is no advantage. The perplexity of a document is the
+exponential of its mean negative log probability per character.
 
 A document is kept if its perplexity is at most the bound of its language: the
 ``QUANTILE`` of trusted documents in that language, times ``SLACK``. Languages
@@ -21,16 +27,17 @@ the outputs are replaced.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
 from typing import NamedTuple
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
-from bookpipe.llm.common import shared_path, ship, text_or_empty
+from bookpipe.llm.common import digest128, shared_path, ship, text_or_empty
 
 CLASSES = 40
 ORDER = 4
@@ -38,6 +45,18 @@ SIZE = CLASSES**ORDER
 QUANTILE = 0.995
 SLACK = 1.15
 PIECE = 1 << 20
+#: Longest grams of whole characters; orders 5 and 4 back them.
+LONGEST = 6
+#: Trusted texts are scored by the counts of the other folds, all other texts by all counts.
+FOLDS = 4
+VARIANTS = FOLDS + 1
+#: So many most frequent grams are scored without a shuffle; no other has a larger share of all grams than 1 / HOT.
+HOT = 65_536
+#: Characters and documents scored at a time; CHUNK_ROWS is a power of two.
+CHUNK, CHUNK_ROWS = 4_000_000, 4_096
+SHARD_CHARS, LEAST_SHARDS, MOST_SHARDS = 8_000_000, 8, 4_096
+MASK, POINTS = (1 << 21) - 1, 0x110000
+POSTED = ["shard", "chunk", "grams", "held", "docs", "times", "folds", "keys", "trusted", "sums", "sizes"]
 
 
 @lru_cache(maxsize=1)
@@ -137,31 +156,350 @@ def fit(trusted: DataFrame) -> np.ndarray | None:
     return kneser_ney(counts)
 
 
-def text_perplexity(logs: np.ndarray, text: str) -> float:
-    if not text:
-        return 1.0
-    total, count = 0.0, 0
-    for found in grams(text):
-        total += float(logs.take(found).sum(dtype="float64"))
-        count += len(found)
-    return float(np.exp(-total / count))
+def mixed(high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """64-bit hashes of pairs of numbers."""
+    h = high.astype("uint64") * np.uint64(0x9E3779B97F4A7C15) + low.astype("uint64")
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        h ^= h >> np.uint64(shift)
+        h *= np.uint64(factor)
+    return h ^ (h >> np.uint64(31))
 
 
-def with_perplexity(docs: DataFrame, logs: np.ndarray | None, text: str = "text") -> DataFrame:
-    """``docs`` with column perplexity."""
-    if logs is None:
-        return docs.withColumn("perplexity", F.lit(1.0))
-    spark = docs.sparkSession
+def packed(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Whole-character 6-grams of texts with their boundaries: (first three, last three, text)."""
+    pad, lows, highs, owners = np.zeros(LONGEST - 1, dtype="int64"), [], [], []
+    for i, text in enumerate(texts):
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype("int64")
+        seen = np.concatenate([pad, points, pad[:1]])
+        three = (seen[:-2] << 42) | (seen[1:-1] << 21) | seen[2:]
+        highs.append(three[:-3])
+        lows.append(three[3:])
+        owners.append(np.full(len(points) + 1, i, dtype="int32"))
+    return np.concatenate(highs), np.concatenate(lows), np.concatenate(owners)
+
+
+def keys(high: np.ndarray, low: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Hashes of (gram, its context) of orders 6, 5 and 4."""
+    out = []
+    for mask in (-1, (1 << 42) - 1, (1 << 21) - 1):
+        out.append((mixed(high & mask, low), mixed(high & mask, ~(low >> 21))))
+    return out
+
+
+def shard_of(high: np.ndarray, low: np.ndarray, shards: int) -> np.ndarray:
+    """All grams of orders 4 to 6 that share the last three characters of their context share a shard."""
+    return (mixed(high & MASK, low >> 21) % np.uint64(shards)).astype("int64")
+
+
+def _small(values: np.ndarray) -> bytes:
+    """Unsigned numbers as bytes, led by their width."""
+    top = int(values.max()) if len(values) else 0
+    width = 1 if top < 1 << 8 else 2 if top < 1 << 16 else 4 if top < 1 << 32 else 8
+    return bytes([width]) + values.astype(f"<u{width}").tobytes()
+
+
+def _large(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, dtype=f"<u{raw[0]}", offset=1).astype("int64")
+
+
+def _characters(high: np.ndarray, low: np.ndarray) -> bytes:
+    return _small(np.concatenate([(half >> by) & MASK for half in (high, low) for by in (42, 21, 0)]))
+
+
+def _packed(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    c = _large(raw).reshape(LONGEST, -1)
+    return (c[0] << 42) | (c[1] << 21) | c[2], (c[3] << 42) | (c[4] << 21) | c[5]
+
+
+def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows of batches, in frames of at most CHUNK_ROWS texts and CHUNK characters (a longer text makes its own)."""
+    for batch in batches:
+        ends = batch["text"].str.len().to_numpy(dtype="int64").cumsum()
+        start = 0
+        while start < len(batch):
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + CHUNK, side="right")))
+            stop = min(stop, start + CHUNK_ROWS)
+            yield batch.iloc[start:stop]
+            start = stop
+
+
+def _count_sharded(shards: int, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for chunk in _chunks(batches):
+        high, low, owner = packed(chunk["text"].tolist())
+        folds = chunk["_fold"].to_numpy(dtype="int64")[owner]
+        for fold in range(FOLDS):
+            mine = folds == fold
+            if not mine.any():
+                continue
+            h, lo = high[mine], low[mine]
+            _, first, n = np.unique(mixed(h, lo), return_index=True, return_counts=True)
+            h, lo = h[first], lo[first]
+            yield _by_shard(shards, h, lo, lambda p, n=n: {"_fold": fold, "n": _small(n[p])})
+
+
+def _by_shard(shards: int, high: np.ndarray, low: np.ndarray, rest) -> pd.DataFrame:
+    shard = shard_of(high, low, shards)
+    order = np.argsort(shard, kind="stable")
+    cuts = np.flatnonzero(np.diff(shard[order])) + 1
+    rows = []
+    for places in np.split(order, cuts) if len(order) else []:
+        rows.append({"shard": int(shard[places[0]]), "grams": _characters(high[places], low[places]), **rest(places)})
+    return pd.DataFrame(rows)
+
+
+def _table(key: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the rows of ``values`` of each key."""
+    order = np.argsort(key, kind="stable")
+    key, values = key[order], values[order]
+    starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, dtype="int64")
+    return key[starts], np.add.reduceat(values, starts, axis=0) if len(starts) else values
+
+
+class Shard:
+    """Counts of one shard's grams of orders 6, 5 and 4, for each fold left out and for all text."""
+
+    def __init__(self, high: np.ndarray, low: np.ndarray, counts: np.ndarray) -> None:
+        """``counts``: of each distinct 6-gram in each variant; lower orders count what stands before them."""
+        self.levels = []
+        for order, (gram, context) in enumerate(keys(high, low)):
+            if order:
+                last = self.levels[-1][1] > 0
+                # Each longer gram that occurs counts once for the gram without its first character.
+                _, first = np.unique(self.before, return_index=True)
+                names, sums = _table(gram[first], last[np.searchsorted(self.levels[-1][0], self.before[first])].astype("int64"))
+            else:
+                names, sums = _table(gram, counts)
+            _, first = np.unique(gram, return_index=True)
+            of = context[first]  # in the order of ``names``, both sorted by gram
+            held = np.concatenate([sums, sums == 1, sums == 2, sums > 2], axis=1).astype("int64")
+            self.levels.append((names, sums, *_table(of, held)))
+            self.before = gram
+
+    def counts_of_counts(self) -> list[int]:
+        return [int((sums[:, -1] == k).sum()) for _, sums, *_ in self.levels for k in (1, 2, 3, 4)]
+
+    def logs(self, high: np.ndarray, low: np.ndarray, base: np.ndarray, steps: list[list[float]]) -> np.ndarray:
+        """Log probability of each gram's last character in each variant."""
+        p = np.repeat(base[:, None], VARIANTS, axis=1)
+        for (names, sums, contexts, held), (gram, context), step in reversed(list(zip(self.levels, keys(high, low), steps, strict=True))):
+            if not len(names):
+                continue
+            at = np.minimum(np.searchsorted(names, gram), len(names) - 1)
+            n = np.where((names[at] == gram)[:, None], sums[at], 0)
+            at = np.minimum(np.searchsorted(contexts, context), len(contexts) - 1)
+            own = np.where((contexts[at] == context)[:, None], held[at], 0)
+            total, ones, twos, more = np.split(own, 4, axis=1)
+            discount = np.select([n == 0, n == 1, n == 2], [0.0, step[0], step[1]], step[2])
+            seen = np.maximum(total, 1)
+            gamma = np.where(total > 0, (step[0] * ones + step[1] * twos + step[2] * more) / seen, 1.0)
+            p = (n - discount) / seen + gamma * p
+        return np.log(p)
+
+
+def discounts(n1: float, n2: float, n3: float, n4: float) -> list[float]:
+    y = n1 / (n1 + 2 * n2) if n1 and n2 else 0.5
+    steps = [1 - 2 * y * n2 / n1 if n1 else 0.5, 2 - 3 * y * n3 / n2 if n2 else 1.0, 3 - 4 * y * n4 / n3 if n3 else 1.5]
+    return [min(max(d, 0.05), k - 0.05) for k, d in enumerate(steps, 1)]
+
+
+def _merge(rows: pd.DataFrame) -> pd.DataFrame:
+    """One row of a shard's distinct grams, with their counts by fold."""
+    high, low = (np.concatenate(x) for x in zip(*map(_packed, rows["grams"]), strict=True))
+    each = [_large(x) for x in rows["n"]]
+    n, fold = np.concatenate(each), np.repeat(rows["_fold"].to_numpy(), [len(x) for x in each])
+    _, first, place = np.unique(mixed(high, low), return_index=True, return_inverse=True)
+    counts = np.zeros((len(first), FOLDS), dtype="int64")
+    np.add.at(counts, (place, fold), n)
+    high, low = high[first], low[first]
+    made = Shard(high, low, variants(counts)).counts_of_counts()
+    return pd.DataFrame([{"shard": rows["shard"].iloc[0], "grams": _characters(high, low), "n": _small(counts.ravel()), "made": made}])
+
+
+def variants(counts: np.ndarray) -> np.ndarray:
+    """Counts without each fold, then of all text."""
+    total = counts.sum(axis=1, keepdims=True)
+    return np.concatenate([total - counts, total], axis=1)
+
+
+def _shard(row: NamedTuple) -> Shard:
+    return Shard(*_packed(row.grams), variants(_large(row.n).reshape(-1, FOLDS)))
+
+
+class Base(NamedTuple):
+    """Probability of a character after three others by their classes: what no longer gram has seen."""
+
+    logs: np.ndarray
+    #: Share of each code point in its class.
+    share: np.ndarray
+
+    def of(self, high: np.ndarray, low: np.ndarray) -> np.ndarray:
+        point = [high & MASK, low >> 42, (low >> 21) & MASK, low & MASK]
+        a, b, c, d = (class_of()[np.minimum(x, (1 << 16) - 1)] for x in point)
+        a, b, c, d = (np.where(x == 0, 0, k) for x, k in zip(point, (a, b, c, d), strict=True))
+        return np.exp(self.logs[((a * CLASSES + b) * CLASSES + c) * CLASSES + d].astype("float64")) * self.share[point[3]]
+
+
+def fit_base(trusted: DataFrame) -> Base:
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts = np.zeros(POINTS, dtype="int64")
+        for batch in batches:
+            for text in batch["text"]:
+                found, n = np.unique(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4"), return_counts=True)
+                counts[found] += n
+        seen = np.flatnonzero(counts)
+        yield pd.DataFrame({"point": seen, "n": counts[seen]})
+
+    rows = trusted.select(text_or_empty().alias("text")).mapInPandas(count, "point int, n bigint").groupBy("point").agg(F.sum("n").alias("n")).collect()
+    counts = np.zeros(POINTS)  # at most one row for each code point
+    counts[[r["point"] for r in rows]] = [r["n"] for r in rows]
+    kind = class_of()[np.minimum(np.arange(POINTS), (1 << 16) - 1)]
+    kind[0] = 0
+    kinds = np.bincount(kind[counts > 0], minlength=CLASSES) + 1.0  # Witten and Bell: one more kind than seen
+    share = (counts + (kinds / np.maximum(np.bincount(kind, minlength=CLASSES), 1))[kind]) / (np.bincount(kind, counts, CLASSES) + kinds)[kind]
+    logs = fit(trusted)
+    return Base(np.full(SIZE, -np.log(CLASSES), dtype="float32") if logs is None else logs, share)
+
+
+class Model(NamedTuple):
+    """Counts by shard as a written table, and what every worker holds."""
+
+    #: shard, grams, n.
+    counts: DataFrame
+    shards: int
+    base: Base
+    steps: list[list[float]]
+    #: Hashes of the HOT most frequent grams, sorted, and their log probabilities in each variant.
+    hot: np.ndarray
+    hot_logs: np.ndarray
+
+
+def fit_grams(trusted: DataFrame, shards: int) -> Model:
+    """The model of trusted texts (text, _fold)."""
+    spark = trusted.sparkSession
+    ship(spark)
+    base = fit_base(trusted)
+    path = shared_path(spark, "grams")
+    found = trusted.select("text", "_fold").mapInPandas(partial(_count_sharded, shards), "shard int, _fold int, grams binary, n binary")
+    found.groupBy("shard").applyInPandas(_merge, "shard int, grams binary, n binary, made array<bigint>").write.parquet(path)
+    counts = spark.read.parquet(path)
+    made = np.array([r["made"] for r in counts.select("made").collect()]).reshape(-1, 3, 4).sum(axis=0)  # a row for each shard
+    steps = [discounts(*map(float, row)) for row in made]
+    sent = spark.sparkContext.broadcast(base)
+
+    def frequent(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples():
+                n = _large(row.n).reshape(-1, FOLDS).sum(axis=1)
+                top = np.argsort(-n, kind="stable")[:HOT]
+                high, low = (x[top] for x in _packed(row.grams))
+                logs = _shard(row).logs(high, low, sent.value.of(high, low), steps)
+                yield pd.DataFrame({"key": mixed(high, low).astype("int64"), "n": n[top], "logs": list(logs)})
+
+    rows = counts.select("grams", "n").mapInPandas(frequent, "key bigint, n bigint, logs array<double>").where(F.col("n") > 1)
+    rows = rows.orderBy(F.desc("n"), "key").limit(HOT).collect()  # at most HOT rows
+    hot, logs = np.array([r["key"] for r in rows], dtype="int64").astype("uint64"), np.array([r["logs"] for r in rows]).reshape(-1, VARIANTS)
+    order = np.argsort(hot)
+    return Model(counts.select("shard", "grams", "n"), shards, base, steps, hot[order], logs[order])
+
+
+def _post(model: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """What documents hold, by shard; the most frequent grams are scored at once."""
+    shards, sent = model
+    task, number = TaskContext.get().partitionId(), 0
+    for chunk in _chunks(batches):
+        hot, hot_logs = sent.value
+        high, low, owner = packed(chunk["text"].tolist())
+        fold = chunk["_fold"].to_numpy(dtype="int64")
+        key = (mixed(high, low) & ~np.uint64(CHUNK_ROWS - 1)) | owner.astype("uint64")
+        order = np.argsort(key)
+        key = key[order]
+        pairs = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        times, doc = np.diff(np.r_[pairs, len(key)]), owner[order[pairs]]
+        gram = key[pairs] // np.uint64(CHUNK_ROWS)
+        starts = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])
+        held = np.diff(np.r_[starts, len(gram)])
+        first = order[pairs[starts]]
+        high, low = high[first], low[first]
+        sums = np.zeros(len(chunk))
+        is_hot = np.zeros(len(first), dtype=bool)
+        if len(hot):
+            names = mixed(high, low)
+            at = np.minimum(np.searchsorted(hot, names), len(hot) - 1)
+            is_hot = hot[at] == names
+            mine = np.repeat(is_hot, held)
+            sums += np.bincount(doc[mine], times[mine] * hot_logs[np.repeat(at[is_hot], held[is_hot]), fold[doc[mine]]], len(chunk))
+        number += 1
+        name = f"{task}-{number}"
+        ids = b"".join(chunk["_key"])
+        meta = {"shard": crc32(name.encode()) % shards, "chunk": name, "keys": ids, "trusted": chunk["_trusted"].to_numpy(dtype="u1").tobytes(), "sums": sums.tobytes(), "folds": fold.astype("u1").tobytes()}
+        meta["sizes"] = np.bincount(owner, minlength=len(chunk)).astype("<i8").tobytes()
+        yield pd.DataFrame([meta]).reindex(columns=POSTED)
+        cold = np.flatnonzero(~is_hot)
+        begin = np.r_[0, np.cumsum(held)]
+
+        def rest(p, cold=cold, begin=begin, held=held, doc=doc, times=times, name=name, fold=fold):
+            these = cold[p]
+            n = held[these]
+            at = np.repeat(begin[these] - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
+            return {"chunk": name, "held": _small(n), "docs": _small(doc[at]), "times": _small(times[at]), "folds": fold.astype("u1").tobytes()}
+
+        if len(cold):
+            yield _by_shard(shards, high[cold], low[cold], rest).reindex(columns=POSTED)
+
+
+def _score_shard(model: tuple, posted: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
+    """Sums of log probabilities of one shard's grams, for each document of each chunk."""
+    steps, sent = model
+    none = np.zeros(0, dtype="int64")
+    known = next((_shard(row) for row in counts.itertuples()), None) or Shard(none, none, np.zeros((0, VARIANTS), dtype="int64"))
+    out = []
+    for row in posted.itertuples():
+        folds = np.frombuffer(row.folds, dtype="u1")
+        if row.keys is not None:
+            out.append((row.chunk, row.sums, row.keys, row.trusted, row.sizes))
+            continue
+        high, low = _packed(row.grams)
+        logs = known.logs(high, low, sent.value.of(high, low), steps)
+        doc = _large(row.docs)
+        each = logs[np.repeat(np.arange(len(high)), _large(row.held)), folds[doc]] * _large(row.times)
+        out.append((row.chunk, np.bincount(doc, each, len(folds)).tobytes(), None, None, None))
+    return pd.DataFrame(out, columns=["chunk", "sums", "keys", "trusted", "sizes"])
+
+
+def _score_chunk(rows: pd.DataFrame) -> pd.DataFrame:
+    sums = np.sum([np.frombuffer(x) for x in sorted(rows["sums"])], axis=0)
+    row = rows[rows["keys"].notna()].iloc[0]
+    sizes = np.frombuffer(row["sizes"], dtype="<i8")
+    keys = [row["keys"][i : i + 16] for i in range(0, len(row["keys"]), 16)]
+    known = pd.DataFrame({"_key": keys, "_trusted": np.frombuffer(row["trusted"], dtype="u1").astype(bool), "perplexity": np.exp(-sums / sizes)})
+    return known.assign(perplexity=known["perplexity"].where(sizes > 1, 1.0))
+
+
+def perplexities(marked: DataFrame) -> DataFrame:
+    """(_key, _trusted, perplexity) of texts (text, _key, _trusted, _fold), as a written table."""
+    spark = marked.sparkSession
     ship(spark)
-    sent = spark.sparkContext.broadcast(logs)
+    size = marked.agg(F.sum(F.length("text"))).first()[0] or 0
+    model = fit_grams(marked.where("_trusted"), int(min(max(LEAST_SHARDS, size // SHARD_CHARS), MOST_SHARDS)))
+    hot = spark.sparkContext.broadcast((model.hot, model.hot_logs))
+    base = spark.sparkContext.broadcast(model.base)
+    fields = "shard int, chunk string, grams binary, held binary, docs binary, times binary, folds binary, keys binary, trusted binary, sums binary, sizes binary"
+    posted = marked.select("text", "_key", "_trusted", "_fold").mapInPandas(partial(_post, (model.shards, hot)), fields)
+    steps = model.steps
+    pairs = posted.groupBy("shard").cogroup(model.counts.groupBy("shard"))
+    partly = pairs.applyInPandas(lambda a, b: _score_shard((steps, base), a, b), "chunk string, sums binary, keys binary, trusted binary, sizes binary")
+    path = shared_path(spark, "perplexity")
+    whole = partly.groupBy("chunk").applyInPandas(_score_chunk, "_key binary, _trusted boolean, perplexity double")
+    whole.groupBy("_key", "_trusted").agg(F.min("perplexity").alias("perplexity")).write.parquet(path)
+    return spark.read.parquet(path)
 
-    @F.pandas_udf(DoubleType())
-    def perplexity(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known = sent.value
-        for texts in batches:
-            yield texts.map(lambda t: text_perplexity(known, t)).astype("float64")
 
-    return docs.withColumn("perplexity", perplexity(text_or_empty(text)))
+def marks(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """``docs`` with _key, _trusted and _fold; copies of a text share a fold."""
+    out = docs.join(trusted.withColumn("_known", F.lit(True)), "doc_id", "left").withColumn("_trusted", F.coalesce("_known", F.lit(False))).drop("_known")
+    fold = F.pmod(F.xxhash64(text_or_empty()), F.lit(FOLDS)).cast("int")
+    return out.withColumn("_key", digest128(text_or_empty())).withColumn("_fold", F.when(F.col("_trusted"), fold).otherwise(F.lit(FOLDS)))
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -177,8 +515,9 @@ def thresholds(scored: DataFrame, trusted: DataFrame, quantile: float = QUANTILE
 class Judge(NamedTuple):
     """What a corpus and its labels teach: the model and the bound of each language."""
 
-    logs: np.ndarray | None
-    #: doc_id, lang, perplexity of every document, as a written table.
+    #: _key, _trusted, perplexity of every text, as a written table.
+    perplexities: DataFrame
+    #: doc_id, lang, perplexity of every document.
     scored: DataFrame
     bounds: DataFrame
     #: For languages without trusted documents; None if there are none at all.
@@ -192,13 +531,12 @@ class Judge(NamedTuple):
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Judge:
-    spark, trusted = docs.sparkSession, trusted_ids(labels)
-    logs = fit(docs.select("doc_id", "text").join(trusted, "doc_id", "left_semi"))
-    path = shared_path(spark, "perplexity")
-    with_perplexity(docs.select("doc_id", "lang", "text"), logs).select("doc_id", "lang", "perplexity").write.parquet(path)
-    scored = spark.read.parquet(path)
+    trusted = trusted_ids(labels)
+    marked = marks(docs.select("doc_id", "lang", text_or_empty().alias("text")), trusted)
+    known = perplexities(marked)
+    scored = marked.drop("text", "_fold").join(known, ["_key", "_trusted"])
     bounds = thresholds(scored, trusted)
-    return Judge(logs, scored, bounds, bounds.agg(F.max("_bound")).first()[0])
+    return Judge(known, scored, bounds, bounds.agg(F.max("_bound")).first()[0])
 
 
 def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -210,4 +548,5 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` of good quality, unchanged."""
     known = learn(docs, labels)
-    return known.verdict(with_perplexity(docs, known.logs)).where("kept").select(*docs.columns)
+    scored = marks(docs, trusted_ids(labels)).join(known.perplexities, ["_key", "_trusted"])
+    return known.verdict(scored).where("kept").select(*docs.columns)
