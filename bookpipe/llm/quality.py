@@ -14,14 +14,15 @@ scored in the chunk. Trusted documents are scored without the counts of their ow
 so that having been counted is no advantage. The perplexity of a document is the
 exponential of its mean negative log probability per character.
 
-A document is kept if its perplexity is at most the bound of its language: the
-``QUANTILE`` of trusted documents in that language, times ``SLACK``. Languages
-without trusted documents take the bound over all.
+A document is kept if its perplexity is at most the bound of its language and length:
+by how much the logarithm may exceed the median of trusted documents in that language
+grows for short texts with sqrt(1 + ``SHORT`` / characters), and is the ``QUANTILE`` of
+what trusted documents exceed it by, so measured. Languages without trusted documents
+take median and quantile over all trusted documents.
 
 Cases: null or empty texts have perplexity 1 and are kept; so is everything if no
 text is trusted. A doc_id labelled more than once is trusted if all its labels say
-so. Null languages form one group. Other columns pass through; columns named like
-the outputs are replaced.
+so. Null languages form one group. Other columns pass through.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ from zlib import crc32
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bookpipe.llm.common import digest128, shared_path, ship, text_or_empty
@@ -43,7 +44,8 @@ CLASSES = 40
 ORDER = 4
 SIZE = CLASSES**ORDER
 QUANTILE = 0.995
-SLACK = 1.15
+#: A text of so many characters may vary by the root of two times as much as an endless one.
+SHORT = 200
 PIECE = 1 << 20
 #: Longest grams of whole characters; orders 5 and 4 back them.
 LONGEST = 6
@@ -496,20 +498,32 @@ def perplexities(marked: DataFrame) -> DataFrame:
 
 
 def marks(docs: DataFrame, trusted: DataFrame) -> DataFrame:
-    """``docs`` with _key, _trusted and _fold; copies of a text share a fold."""
+    """``docs`` with _key, _trusted, _spread and _fold; copies of a text share a fold."""
     out = docs.join(trusted.withColumn("_known", F.lit(True)), "doc_id", "left").withColumn("_trusted", F.coalesce("_known", F.lit(False))).drop("_known")
     fold = F.pmod(F.xxhash64(text_or_empty()), F.lit(FOLDS)).cast("int")
-    return out.withColumn("_key", digest128(text_or_empty())).withColumn("_fold", F.when(F.col("_trusted"), fold).otherwise(F.lit(FOLDS)))
+    out = out.withColumn("_key", digest128(text_or_empty())).withColumn("_spread", spread(text_or_empty()))
+    return out.withColumn("_fold", F.when(F.col("_trusted"), fold).otherwise(F.lit(FOLDS)))
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
     return labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("_q")).where("_q = 1").select("doc_id")
 
 
-def thresholds(scored: DataFrame, trusted: DataFrame, quantile: float = QUANTILE, slack: float = SLACK) -> DataFrame:
-    """(_lang, _bound), one row per language with trusted documents."""
-    known = scored.join(trusted, "doc_id").select(F.coalesce("lang", F.lit("")).alias("_lang"), "perplexity")
-    return known.groupBy("_lang").agg((F.percentile_approx("perplexity", quantile, 10_000) * slack).alias("_bound"))
+def spread(text: Column) -> Column:
+    """How much wider than for an endless text the logarithm of perplexity may vary."""
+    return F.sqrt(1.0 + F.lit(SHORT) / (F.length(text) + 1.0))
+
+
+def thresholds(scored: DataFrame, quantile: float = QUANTILE) -> DataFrame:
+    """(_lang, _middle, _excess): of each language with trusted documents, and of all (_lang null).
+
+    A text's bound is exp(_middle + _excess * spread).
+    """
+    known = scored.where("_trusted").select(F.coalesce("lang", F.lit("")).alias("_lang"), F.log("perplexity").alias("_log"), "_spread")
+    both = known.unionByName(known.withColumn("_lang", F.lit(None).cast("string")))
+    middles = both.groupBy("_lang").agg(F.percentile_approx("_log", 0.5, 10_000).alias("_middle"))
+    over = both.join(middles.withColumnRenamed("_lang", "_of"), F.col("_lang").eqNullSafe(F.col("_of"))).select("_lang", "_middle", ((F.col("_log") - F.col("_middle")) / F.col("_spread")).alias("_over"))
+    return over.groupBy("_lang", "_middle").agg(F.percentile_approx("_over", quantile, 10_000).alias("_excess"))
 
 
 class Judge(NamedTuple):
@@ -517,26 +531,29 @@ class Judge(NamedTuple):
 
     #: _key, _trusted, perplexity of every text, as a written table.
     perplexities: DataFrame
-    #: doc_id, lang, perplexity of every document.
+    #: doc_id, lang, perplexity, _spread of every document.
     scored: DataFrame
     bounds: DataFrame
-    #: For languages without trusted documents; None if there are none at all.
-    overall: float | None
+    #: (_middle, _excess) for languages without trusted documents; nulls if there are none at all.
+    overall: tuple[float | None, float | None]
 
     def verdict(self, scored: DataFrame) -> DataFrame:
-        """``scored`` (lang, perplexity, ...) with threshold and kept."""
+        """``scored`` (lang, perplexity, _spread, ...) with threshold and kept."""
         out = scored.withColumn("_lang", F.coalesce("lang", F.lit(""))).join(self.bounds, "_lang", "left")
-        out = out.withColumn("threshold", F.coalesce("_bound", F.lit(self.overall).cast("double")))
-        return out.withColumn("kept", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))).drop("_lang", "_bound")
+        middle, excess = (F.coalesce(c, F.lit(x).cast("double")) for c, x in zip(("_middle", "_excess"), self.overall, strict=True))
+        out = out.withColumn("threshold", F.exp(middle + excess * F.col("_spread")))
+        fits = F.col("perplexity") <= F.col("threshold") * (1 + 1e-9)
+        return out.withColumn("kept", F.coalesce(fits | (F.col("perplexity") == 1), F.lit(True))).drop("_lang", "_middle", "_excess", "_spread")
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Judge:
-    trusted = trusted_ids(labels)
-    marked = marks(docs.select("doc_id", "lang", text_or_empty().alias("text")), trusted)
+    marked = marks(docs.select("doc_id", "lang", text_or_empty().alias("text")), trusted_ids(labels))
     known = perplexities(marked)
     scored = marked.drop("text", "_fold").join(known, ["_key", "_trusted"])
-    bounds = thresholds(scored, trusted)
-    return Judge(known, scored, bounds, bounds.agg(F.max("_bound")).first()[0])
+    found = thresholds(scored).collect()  # a row for each language
+    overall = next(((r["_middle"], r["_excess"]) for r in found if r["_lang"] is None), (None, None))
+    bounds = docs.sparkSession.createDataFrame([tuple(r) for r in found if r["_lang"] is not None], "_lang string, _middle double, _excess double")
+    return Judge(known, scored, bounds, overall)
 
 
 def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -548,5 +565,6 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` of good quality, unchanged."""
     known = learn(docs, labels)
-    scored = marks(docs, trusted_ids(labels)).join(known.perplexities, ["_key", "_trusted"])
-    return known.verdict(scored).where("kept").select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "lang", text_or_empty().alias("text"))
+    scored = marks(rows, trusted_ids(labels)).drop("text").join(known.perplexities, ["_key", "_trusted"])
+    return known.verdict(scored).where("kept").select("_row.*")

@@ -64,6 +64,18 @@ def test_probabilities_sum_to_one_and_counts_grow(spark):
         assert np.allclose(np.exp(shard.logs(high, low, all_of.base.of(high, low), all_of.steps)).sum(axis=0), 1, atol=1e-3)
 
 
+def test_bounds_of_untrusted_languages_and_short_texts(spark):
+    rows = [("en", 2.0 + 0.01 * (i % 10), 3000, True) for i in range(900)] + [("de", 12.0, 8, True)] * 3
+    rows += [("it", 4.0, 3000, False), ("it", 2.05, 3000, False), ("de", 4.0, 3000, False), ("de", 11.9, 8, False), ("en", 2.2, 3000, False)]
+    schema = "lang string, perplexity double, n int, _trusted boolean"
+    scored = spark.createDataFrame(rows, schema).withColumn("_spread", quality.spread(quality.F.expr("repeat('x', n)")))
+    found = {r._lang: (r._middle, r._excess) for r in quality.thresholds(scored).collect()}
+    bounds = spark.createDataFrame([(k, *v) for k, v in found.items() if k], "_lang string, _middle double, _excess double")
+    judge = quality.Judge(scored, scored, bounds, found[None])
+    got = [(r.lang, r.perplexity, r.kept) for r in judge.verdict(scored).where("not _trusted").collect()]
+    assert sorted(got) == [("de", 4.0, True), ("de", 11.9, True), ("en", 2.2, False), ("it", 2.05, True), ("it", 4.0, False)]
+
+
 @pytest.mark.parametrize("hot", [0, 20])
 def test_shards_chunks_and_frequent_grams_give_the_same(spark, monkeypatch, hot):
     texts = [sentences("abcdefghij", i, 20 + i) for i in range(10)] + ["", "abc"]
