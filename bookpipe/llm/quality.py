@@ -34,6 +34,7 @@ from zlib import crc32
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -194,14 +195,17 @@ def shard_of(high: np.ndarray, low: np.ndarray, shards: int) -> np.ndarray:
 
 
 def _small(values: np.ndarray) -> bytes:
-    """Unsigned numbers as bytes, led by their width."""
+    """Unsigned numbers as bytes: their width, their count, and their bytes by place, compressed."""
     top = int(values.max()) if len(values) else 0
     width = 1 if top < 1 << 8 else 2 if top < 1 << 16 else 4 if top < 1 << 32 else 8
-    return bytes([width]) + values.astype(f"<u{width}").tobytes()
+    planes = np.ascontiguousarray(values.astype(f"<u{width}").view("u1").reshape(-1, width).T)
+    return bytes([width]) + len(values).to_bytes(8, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
 
 
 def _large(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, dtype=f"<u{raw[0]}", offset=1).astype("int64")
+    width, n = raw[0], int.from_bytes(raw[1:9], "little")
+    planes = np.frombuffer(pa.decompress(raw[9:], width * n, codec="zstd", asbytes=True), dtype="u1").reshape(width, n)
+    return np.ascontiguousarray(planes.T).view(f"<u{width}").ravel().astype("int64")
 
 
 def _characters(high: np.ndarray, low: np.ndarray) -> bytes:
@@ -230,19 +234,22 @@ def _count_sharded(shards: int, batches: Iterator[pd.DataFrame]) -> Iterator[pd.
     for chunk in _chunks(batches):
         high, low, owner = packed(chunk["text"].tolist())
         folds = chunk["_fold"].to_numpy(dtype="int64")[owner]
-        for fold in range(FOLDS):
-            mine = folds == fold
-            if not mine.any():
-                continue
-            h, lo = high[mine], low[mine]
-            _, first, n = np.unique(mixed(h, lo), return_index=True, return_counts=True)
-            h, lo = h[first], lo[first]
-            yield _by_shard(shards, h, lo, lambda p, n=n: {"_fold": fold, "n": _small(n[p])})
+        key = (mixed(high, low) & ~np.uint64(7)) | folds.astype("uint64")
+        order = np.argsort(key)
+        key = key[order]
+        pairs = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        gram = key[pairs] >> np.uint64(3)
+        new = np.r_[True, gram[1:] != gram[:-1]]
+        counts = np.zeros((int(new.sum()), FOLDS), dtype="int64")
+        counts[np.cumsum(new) - 1, folds[order[pairs]]] = np.diff(np.r_[pairs, len(key)])
+        first = order[pairs[new]]
+        yield _by_shard(shards, high[first], low[first], lambda p, counts=counts: {"n": _small(counts[p].ravel())})
 
 
 def _by_shard(shards: int, high: np.ndarray, low: np.ndarray, rest) -> pd.DataFrame:
     shard = shard_of(high, low, shards)
-    order = np.argsort(shard, kind="stable")
+    # Grams of one context lie together, which compresses them.
+    order = np.lexsort(((low & MASK) << 42 | high >> 21, (high & MASK) << 42 | low >> 21, shard))
     cuts = np.flatnonzero(np.diff(shard[order])) + 1
     rows = []
     for places in np.split(order, cuts) if len(order) else []:
@@ -308,11 +315,9 @@ def discounts(n1: float, n2: float, n3: float, n4: float) -> list[float]:
 def _merge(rows: pd.DataFrame) -> pd.DataFrame:
     """One row of a shard's distinct grams, with their counts by fold."""
     high, low = (np.concatenate(x) for x in zip(*map(_packed, rows["grams"]), strict=True))
-    each = [_large(x) for x in rows["n"]]
-    n, fold = np.concatenate(each), np.repeat(rows["_fold"].to_numpy(), [len(x) for x in each])
-    _, first, place = np.unique(mixed(high, low), return_index=True, return_inverse=True)
-    counts = np.zeros((len(first), FOLDS), dtype="int64")
-    np.add.at(counts, (place, fold), n)
+    key = mixed(high, low)
+    _, counts = _table(key, np.concatenate([_large(x) for x in rows["n"]]).reshape(-1, FOLDS))
+    _, first = np.unique(key, return_index=True)
     high, low = high[first], low[first]
     made = Shard(high, low, variants(counts)).counts_of_counts()
     return pd.DataFrame([{"shard": rows["shard"].iloc[0], "grams": _characters(high, low), "n": _small(counts.ravel()), "made": made}])
@@ -346,9 +351,9 @@ def fit_base(trusted: DataFrame) -> Base:
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = np.zeros(POINTS, dtype="int64")
         for batch in batches:
-            for text in batch["text"]:
-                found, n = np.unique(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4"), return_counts=True)
-                counts[found] += n
+            points = np.frombuffer("".join(batch["text"]).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+            found = np.bincount(points)
+            counts[: len(found)] += found
         seen = np.flatnonzero(counts)
         yield pd.DataFrame({"point": seen, "n": counts[seen]})
 
@@ -382,7 +387,7 @@ def fit_grams(trusted: DataFrame, shards: int) -> Model:
     ship(spark)
     base = fit_base(trusted)
     path = shared_path(spark, "grams")
-    found = trusted.select("text", "_fold").mapInPandas(partial(_count_sharded, shards), "shard int, _fold int, grams binary, n binary")
+    found = trusted.select("text", "_fold").mapInPandas(partial(_count_sharded, shards), "shard int, grams binary, n binary")
     found.groupBy("shard").applyInPandas(_merge, "shard int, grams binary, n binary, made array<bigint>").write.parquet(path)
     counts = spark.read.parquet(path)
     made = np.array([r["made"] for r in counts.select("made").collect()]).reshape(-1, 3, 4).sum(axis=0)  # a row for each shard
@@ -455,17 +460,18 @@ def _score_shard(model: tuple, posted: pd.DataFrame, counts: pd.DataFrame) -> pd
     steps, sent = model
     none = np.zeros(0, dtype="int64")
     known = next((_shard(row) for row in counts.itertuples()), None) or Shard(none, none, np.zeros((0, VARIANTS), dtype="int64"))
-    out = []
-    for row in posted.itertuples():
-        folds = np.frombuffer(row.folds, dtype="u1")
-        if row.keys is not None:
-            out.append((row.chunk, row.sums, row.keys, row.trusted, row.sizes))
-            continue
-        high, low = _packed(row.grams)
-        logs = known.logs(high, low, sent.value.of(high, low), steps)
-        doc = _large(row.docs)
-        each = logs[np.repeat(np.arange(len(high)), _large(row.held)), folds[doc]] * _large(row.times)
-        out.append((row.chunk, np.bincount(doc, each, len(folds)).tobytes(), None, None, None))
+    out = [(r.chunk, r.sums, r.keys, r.trusted, r.sizes) for r in posted.itertuples() if r.keys is not None]
+    posted = posted[posted["keys"].isna()]
+    if len(posted):
+        high, low = (np.concatenate(x) for x in zip(*map(_packed, posted["grams"]), strict=True))
+        _, first, place = np.unique(mixed(high, low), return_index=True, return_inverse=True)
+        logs = known.logs(high[first], low[first], sent.value.of(high[first], low[first]), steps)
+        begin = 0
+        for row in posted.itertuples():
+            folds, doc, held = np.frombuffer(row.folds, dtype="u1"), _large(row.docs), _large(row.held)
+            each = logs[np.repeat(place[begin : begin + len(held)], held), folds[doc]] * _large(row.times)
+            out.append((row.chunk, np.bincount(doc, each, len(folds)).tobytes(), None, None, None))
+            begin += len(held)
     return pd.DataFrame(out, columns=["chunk", "sums", "keys", "trusted", "sizes"])
 
 
