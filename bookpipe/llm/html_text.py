@@ -14,7 +14,9 @@ extracted from each page, again without such parts.
 
 Cases: null or empty html gives an empty text. Pages whose url has no host form one
 group. Where a host has no such slot, or a page lacks its host's slot, the article, or
-else all text outside the parts named, is taken. Tags that never close, attributes with
+else all text outside the parts named, is taken; where that leaves nothing of one of
+these, its parts named so by class or id only are taken too. Names match as whole class or id tokens, and never
+on html, body, main and article. Tags that never close, attributes with
 unpaired quotes and pages that break off are read in one pass, in linear time.
 Repeated rows stay repeated; other columns pass through.
 """
@@ -45,6 +47,8 @@ NO_ARTICLE = frozenset("head title nav header footer aside form button select op
 NO_ARTICLE_WORDS = frozenset(
     "ad ads advert adverts advertisement banner sponsor sponsored promo menu nav navbar navigation breadcrumb breadcrumbs sidebar aside footer header masthead cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe signup comment comments reply replies disqus related share sharing social widget pagination pager".split()
 )
+#: What holds a page's text is not judged by names.
+FRAME = frozenset("html body main article".split())
 RAW = frozenset("script style noscript iframe textarea template".split())
 INLINE = frozenset("a abbr b bdi bdo cite code data del dfn em font i ins kbd mark q s samp small span strong strike sub sup time tt u var wbr big label".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -65,6 +69,8 @@ class Part(NamedTuple):
     path: str
     #: Inside a part that is no article.
     outside: bool
+    #: Inside an element that is no article whatever its names.
+    hidden: bool
 
 
 def describe(name: str, attrs: str) -> tuple[str, bool]:
@@ -74,13 +80,13 @@ def describe(name: str, attrs: str) -> tuple[str, bool]:
         for _, *values in NAMED.findall(attrs):
             value = "".join(values).strip().lower()
             step += "." + "-".join(value.split())
-            outside = outside or any(w in NO_ARTICLE_WORDS for w in re.split(r"[^a-z]+", value))
+            outside = outside or (name not in FRAME and not NO_ARTICLE_WORDS.isdisjoint(value.split()))
     return step, outside
 
 
 def walk(page: str) -> Iterator[tuple[str, str, Part]]:
     """("open", "", part) for each container, ("text", characters, part), ("gap", "", part)."""
-    part = Part("", "", False)
+    part = Part("", "", False, False)
     stack, open_names, at = [part], {}, 0
     while (found := TAG.search(page, at)) is not None:
         if found.start() > at:
@@ -108,7 +114,7 @@ def walk(page: str) -> Iterator[tuple[str, str, Part]]:
             elif name not in VOID and not attrs.endswith("/>") and (name in CONTAINERS or outside):
                 above = stack[-1]
                 path = f"{above.path}/{step}" if len(stack) <= DEEPEST else above.path
-                part = Part(name, path, outside or above.outside)
+                part = Part(name, path, outside or above.outside, name in NO_ARTICLE or above.hidden)
                 stack.append(part)
                 open_names[name] = open_names.get(name, 0) + 1
                 yield "open", "", part
@@ -143,24 +149,20 @@ def tokens(page: str) -> dict[str, tuple[int, bool, int]]:
 
 
 def slot_text(page: str, slot: str | None) -> str:
-    """Text of the slot, or of the article, or of all that is not outside."""
-    chosen: list[str] = []
-    article: list[str] = []
-    rest: list[str] = []
+    """Text of the slot, or of the article, or of all; each without what is outside, unless that leaves nothing."""
+    pieces: list[list[str]] = [[] for _ in range(6)]
     for kind, text, part in walk(page):
-        if part.outside and kind == "text":
-            continue
         piece = html.unescape(text) if kind == "text" else " "
-        rest.append(piece)
-        if slot is not None and (part.path == slot or part.path.startswith(slot + "/")):
-            chosen.append(piece)
-        if "/article" in part.path or "/main" in part.path:
-            article.append(piece)
-        if kind != "text":
-            chosen.append(" ")
-            article.append(" ")
-    for pieces in (chosen, article, rest):
-        joined = " ".join("".join(pieces).split())
+        inside = slot is not None and (part.path == slot or part.path.startswith(slot + "/"))
+        held = (inside, "/article" in part.path or "/main" in part.path, True)
+        for k, here in enumerate(held):
+            if here or kind != "text":
+                if not part.outside or kind != "text":
+                    pieces[k].append(piece)
+                if not part.hidden or kind != "text":
+                    pieces[k + 3].append(piece)
+    for k in (0, 3, 1, 4, 2, 5):  # each filtered, then unfiltered
+        joined = " ".join("".join(pieces[k]).split())
         if joined:
             return joined
     return ""
