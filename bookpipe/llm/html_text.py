@@ -9,7 +9,8 @@ A class is valid if its tokens stand once in each page that has them, in at leas
 the host's pages. Paths nest valid classes into the host's template. What lies between
 template tokens are slots; the slot taken is the deepest template token, outside parts
 that are no article (menus, headers, footers, asides, adverts, forms, scripts ...),
-whose element holds at least ``SHARE`` of the text outside such parts. Its text is then
+whose element holds all text, outside such parts, of the article: of the host's article or
+main element if that has at least ``SHARE`` of the text, or else of the page. Its text is then
 extracted from each page, again without such parts.
 
 Cases: null or empty html gives an empty text. Pages whose url has no host form one
@@ -210,7 +211,11 @@ def slots(classes: DataFrame, share: float = SHARE) -> DataFrame:
     """(host, slot): the slot of the main text of each host that has one."""
     valid = classes.groupBy("_host", "class").agg(F.max("support").alias("_s"), F.max("total").alias("_t"), F.max("pages").alias("_p"))
     valid = valid.where((F.col("_s") == F.col("_t")) & (F.col("_s") * 2 >= F.col("_p"))).select("_host", "class")
-    held = classes.join(valid, ["_host", "class"]).where(~F.col("outside") & (F.col("path") != "") & (F.col("size") >= F.col("whole") * share) & (F.col("size") > 0))
+    held = classes.join(valid, ["_host", "class"]).where(~F.col("outside") & (F.col("path") != "") & (F.col("size") > 0))
+    # What the slot must hold: all of the article or main element with most of the host's text, or else all text.
+    article = F.when(F.col("path").rlike(r"/(article|main)(\.[^/]*)?$") & (F.col("size") >= F.col("whole") * share), F.col("size"))
+    needed = held.groupBy("_host").agg(F.coalesce(F.max(article), F.max("whole")).alias("_needed"))
+    held = held.join(needed, "_host").where("size >= _needed")
     depth = F.size(F.split("path", "/"))
     return held.groupBy("_host").agg(F.max(F.struct(depth.alias("d"), F.col("path").alias("p")))["p"].alias("_slot"))
 

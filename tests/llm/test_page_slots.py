@@ -16,3 +16,13 @@ def test_names_do_not_empty_a_page(spark):
     rows = [(i, f"http://h{i}.example/", f"<html>{b}</html>") for i, b in enumerate(bodies)]
     got = html_text.main_texts(spark.createDataFrame(rows, "page_id int, url string, html string")).collect()
     assert {r.page_id: r.text for r in got} == dict.fromkeys(range(7), "one")
+
+
+def test_slot_holds_title_lead_and_caption(spark):
+    long = "word " * 200
+    rows = [(i, "http://a.example/", f"<html><body><nav>menu</nav><article><h1>Title {i}</h1><div class=body>{long}</div><p>end {i}</p></article></body></html>") for i in range(4)]
+    rows += [(10 + i, "http://b.example/", f"<html><body><div class=lead>Lead {i}</div><div class=body>{long}</div></body></html>") for i in range(4)]
+    got = {r.page_id: r.text for r in html_text.main_texts(spark.createDataFrame(rows, "page_id int, url string, html string")).collect()}
+    for i in range(4):
+        assert got[i] == f"Title {i} {long}end {i}"
+        assert got[10 + i] == f"Lead {i} {long}".strip()
