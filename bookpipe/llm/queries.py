@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from bookpipe.llm import bpe, decontaminate, fingerprints, html_text, language_id, minhash, quality, sharding, token_counts, token_files
+from bookpipe.llm import bpe, decontaminate, divergence, fingerprints, html_text, language_id, minhash, quality, sharding, token_counts, token_files
 from bookpipe.llm.common import shared_path, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -45,6 +45,45 @@ best as (
 select doc_id, item_id, cast(st as integer) as start, similarity from best where r = 1
 """
 
+#: Terms, kept terms and both parts of the audit, in whole numbers of 128 bits.
+DIVERGENCE_SQL = r"""
+with doc as (
+  select row_number() over () id, coalesce(lang, '') lang, coalesce(source, '') source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') ws
+  from documents),
+occ as (select id, lang, source, unnest(ws) term from doc),
+kept as (select lang, term, count(*)::hugeint total from occ group by lang, term having count(distinct id) >= 10),
+cnt as (
+  select o.lang, o.source, o.term, count(*)::hugeint c
+  from occ o join kept k on o.lang = k.lang and o.term = k.term group by o.lang, o.source, o.term),
+grp as (
+  select g.lang, g.source, coalesce(n, 0)::hugeint n, coalesce(v, 0)::hugeint v, coalesce(ln, 0)::hugeint ln
+  from (select distinct lang, source from doc) g
+  left join (select lang, source, sum(c) n from cnt group by lang, source) s on g.lang = s.lang and g.source = s.source
+  left join (select lang, count(*) v, sum(total) ln from kept group by lang) l on g.lang = l.lang),
+share as (
+  select g.lang, g.source, k.term, coalesce(c, 0) c,
+    1 + (1000000000 * (coalesce(c, 0) + 2)) // (g.n + 2 * g.v) p,
+    1 + (1000000000 * (k.total + 2)) // (g.ln + 2 * g.v) q
+  from grp g join kept k on g.lang = k.lang
+  left join cnt on cnt.lang = g.lang and cnt.source = g.source and cnt.term = k.term),
+pair as (
+  select a.lang, a.source, b.source item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) value
+  from share a join share b on a.lang = b.lang and a.term = b.term and a.source <> b.source
+  group by a.lang, a.source, b.source),
+part as (
+  select a.lang, a.source, 'pair' part, b.source item, coalesce(value, 0)::hugeint value
+  from grp a join grp b on a.lang = b.lang and a.source <> b.source
+  left join pair on pair.lang = a.lang and pair.source = a.source and pair.item = b.source
+  union all
+  select lang, source, 'term', term, (p - q) * (p - q) // (p + q) from share where c > 0 and p > q)
+select * from (
+  select lang, source, part, item, value::bigint as value,
+    cast(row_number() over (partition by lang, source, part order by value desc, item) as integer) as rank from part)
+where part = 'pair' or rank <= 10
+"""
+
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
@@ -86,6 +125,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), RANKS, PATTERN)
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -99,6 +142,7 @@ QUERIES = {
         op8_minhash,
         op9_html_text,
         op10_token_counts,
+        op12_source_divergence,
     )
 }
-SQL: dict[str, str] = {"op1_decontamination": LEAKS_SQL}
+SQL: dict[str, str] = {"op1_decontamination": LEAKS_SQL, "op12_source_divergence": DIVERGENCE_SQL}
