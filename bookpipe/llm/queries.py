@@ -5,11 +5,13 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from bookpipe.llm import bpe, decontaminate, divergence, fingerprints, html_text, language_id, minhash, quality, sharding, token_counts, token_files
+from bookpipe.llm import alignment, bpe, decontaminate, divergence, fingerprints, html_text, language_id, minhash, quality, sharding, token_counts, token_files
 from bookpipe.llm.common import shared_path, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 PATTERN = public_tokenizers.PATTERN
 
 #: Every item-sized window that sets a shared shingle at its place in the item, compared exactly.
@@ -129,6 +131,10 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.digests(table(spark, sf_dir, "documents"), BYTES, PIECES)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -143,6 +149,7 @@ QUERIES = {
         op9_html_text,
         op10_token_counts,
         op12_source_divergence,
+        op13_alignment,
     )
 }
 SQL: dict[str, str] = {"op1_decontamination": LEAKS_SQL, "op12_source_divergence": DIVERGENCE_SQL}
