@@ -15,11 +15,11 @@ group's counts of kept terms. Two values differ by f = floor((p - q)^2 / (p + q)
 * ``term``: kept terms that occur in the group with p above the language's q, by f, the
   first ``TOP``.
 
-All arithmetic is in whole numbers. Counts stay sparse until the end: a kept term is one
-row with the sources it occurs in. The terms of a language are dealt by hash into portions
+All arithmetic is in whole numbers. Counts stay sparse until the end: one row for a kept
+term and a source it occurs in. The terms of a language are dealt by hash into portions
 of bounded size, and each portion compares blocks of ``SOURCES`` sources with all sources
-in numpy. So no language, term or source is one task's work; a row or a portion is at most
-as wide as the number of sources of a language, the square of which is the result's size.
+in numpy. So no language, term or source is one task's work; the list of a language's
+sources is one row, and the square of its length is the size of the result.
 
 Cases: null text, lang and source are empty strings. A language without kept terms has
 only pairs, of value 0; a language with one source has no pairs. Repeated rows count as
@@ -44,11 +44,11 @@ LEAST_DOCS = 10
 SCALE = 1_000_000_000
 TOP = 10
 #: Terms a task holds before it passes its counts on.
-HELD = 250_000
+HELD = 750_000
 #: Bytes of a text that are split at a time.
 PIECE = 1 << 20
 #: Entries (term and source) of a portion, and sources compared with all others at a time.
-PORTION, SOURCES = 200_000, 128
+PORTION, SOURCES = 32_768, 128
 #: Cells of one dense block of terms by sources.
 CELLS = 1 << 20
 
@@ -105,35 +105,51 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
-    """(lang, source, term, docs, n) over whole texts."""
+    """(lang, source, term, docs, n) over whole texts, in parts that are to be added up."""
     ship(docs.sparkSession)
     columns = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")]
     texts = docs.select(*columns).withColumn("text", F.col("text").cast("binary"))
-    counted = texts.mapInArrow(_count, "lang string, source string, term string, docs bigint, n bigint")
-    return counted.groupBy("lang", "source", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
+    return texts.mapInArrow(_count, "lang string, source string, term string, docs bigint, n bigint")
 
 
 def kept_terms(counts: DataFrame, least: int = LEAST_DOCS) -> DataFrame:
-    """(lang, term, total, sources): kept terms with the sources they occur in, in order."""
-    entry = F.struct("source", "n")
-    kept = counts.groupBy("lang", "term").agg(
-        F.sum("docs").alias("docs"), F.sum("n").alias("total"), F.sort_array(F.collect_list(entry)).alias("sources")
+    """(lang, term, source, n, total, first): kept terms in each source, and in all; one row of a term is its first.
+
+    One shuffle by term serves sums and windows: tasks have combined their counts before it.
+    """
+    summed = (
+        counts.repartition("lang", "term")
+        .groupBy("lang", "term", "source")
+        .agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
     )
-    return kept.where(F.col("docs") >= least).drop("docs")
+    term = Window.partitionBy("lang", "term").orderBy("source")
+    whole = term.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = summed.select(
+        "lang",
+        "term",
+        "source",
+        "n",
+        F.sum("docs").over(whole).alias("_docs"),
+        F.sum("n").over(whole).alias("total"),
+        (F.row_number().over(term) == 1).alias("first"),
+    )
+    return rows.where(F.col("_docs") >= least).drop("_docs")
 
 
 def groups_of(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """(lang, sources, terms, total, entries): each language's sources with their N, in order."""
     names = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")]
-    each = kept.select("lang", F.explode("sources").alias("_s")).groupBy("lang", "_s.source").agg(F.sum("_s.n").alias("n"))
-    groups = docs.select(*names).distinct().join(each, ["lang", "source"], "left")
-    listed = groups.groupBy("lang").agg(
-        F.sort_array(F.collect_list(F.struct("source", F.coalesce("n", F.lit(0)).alias("n")))).alias("sources")
+    each = kept.groupBy("lang", "source").agg(
+        F.sum("n").alias("n"),
+        F.count_if("first").alias("_terms"),
+        F.sum(F.when(F.col("first"), F.col("total"))).alias("_total"),
+        F.count("*").alias("_entries"),
     )
-    sizes = kept.groupBy("lang").agg(
-        F.count("*").alias("terms"), F.sum("total").alias("total"), F.sum(F.size("sources")).alias("entries")
+    groups = docs.select(*names).distinct().join(each, ["lang", "source"], "left")
+    return groups.groupBy("lang").agg(
+        F.sort_array(F.collect_list(F.struct("source", F.coalesce("n", F.lit(0)).alias("n")))).alias("sources"),
+        *(F.coalesce(F.sum(f"_{c}"), F.lit(0)).alias(c) for c in ("terms", "total", "entries")),
     )
-    return listed.join(sizes, "lang", "left").fillna(0, ["terms", "total", "entries"])
 
 
 def shares(counts: np.ndarray, total: np.ndarray | int, terms: int) -> np.ndarray:
@@ -154,15 +170,6 @@ def differences(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (p - q) ** 2 // (p + q)
 
 
-def _dense(rows: pd.DataFrame, place: dict[str, int]) -> np.ndarray:
-    """Counts of terms by sources."""
-    counts = np.zeros((len(rows), len(place)), dtype="int64")
-    for i, entries in enumerate(rows["sources"]):
-        for entry in entries:
-            counts[i, place[entry["source"]]] = entry["n"]
-    return counts
-
-
 def _compare(top: int):
     def compare(rows: pd.DataFrame, groups: pd.DataFrame) -> pd.DataFrame:
         """Of one portion and one block of sources: sums of pairs and the first terms of each source."""
@@ -176,16 +183,21 @@ def _compare(top: int):
         sums = np.zeros((len(mine), len(names)), dtype="int64")
         best: list[list[tuple[int, str]]] = [[] for _ in mine]
         step = max(1, CELLS // len(names))
-        for at in range(0, len(rows), step):
-            part = rows.iloc[at : at + step]
-            counts = _dense(part, place)
+        row, terms = pd.factorize(rows["term"])
+        column = rows["source"].map(place).to_numpy()
+        all_counts = np.zeros(len(terms), dtype="int64")
+        all_counts[row] = rows["total"]
+        order = np.argsort(row, kind="stable")
+        for at in range(0, len(terms), step):
+            own = order[slice(*np.searchsorted(row[order], [at, at + step]))]
+            counts = np.zeros((min(step, len(terms) - at), len(names)), dtype="int64")
+            counts[row[own] - at, column[own]] = rows["n"].to_numpy()[own]
             p = shares(counts, totals, int(group["terms"]))
-            q = shares(part["total"].to_numpy(dtype="int64"), int(group["total"]), int(group["terms"]))
-            terms = part["term"].tolist()
+            q = shares(all_counts[at : at + step], int(group["total"]), int(group["terms"]))
             for k, i in enumerate(mine):
                 sums[k] += differences(p, p[:, i : i + 1]).sum(axis=0)
                 own = np.flatnonzero((counts[:, i] > 0) & (p[:, i] > q))
-                found = [(-int(v), terms[j]) for j, v in zip(own, differences(p[own, i], q[own]), strict=True)]
+                found = [(-int(v), terms[at + j]) for j, v in zip(own, differences(p[own, i], q[own]), strict=True)]
                 best[k] = sorted(best[k] + found)[:top]
         out = [
             (names[i], "pair", names[j], int(sums[k, j])) for k, i in enumerate(mine) for j in range(len(names)) if j != i
@@ -228,7 +240,7 @@ def audit(docs: DataFrame, least: int = LEAST_DOCS, top: int = TOP) -> DataFrame
     mine = mine.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks)))
     keys = ["lang", "portion", "block"]
     compared = (
-        dealt.select(*keys, "term", "total", "sources")
+        dealt.select(*keys, "term", "total", "source", "n")
         .groupBy(*keys)
         .cogroup(mine.select(*keys, "sources", "terms", "total").groupBy(*keys))
         .applyInPandas(_compare(top), "lang string, source string, part string, item string, value bigint")
