@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bookpipe.llm.common import shared_path, ship, text_or_empty
-from bookpipe.llm.packing import pack, unpack
+from bookpipe.llm.packing import pack, pack_ids, unpack, unpack_ids
 from bookpipe.llm.sparse import Csr, one_each, product, runs, summed, transposed
 from bookpipe.llm.token_files import byte_chars
 
@@ -275,12 +275,12 @@ def chunked(batches: Iterator[pa.RecordBatch], chunk: int = CHUNK) -> Iterator[t
 
 
 ROW = pa.schema(
-    [("chunk", pa.int64()), ("doc_id", pa.list_(pa.int64())), ("groups_sha256", pa.list_(pa.string()))]
+    [("chunk", pa.int64()), ("doc_id", pa.binary()), ("groups_sha256", pa.list_(pa.string()))]
     + [(name, pa.binary()) for name in ("sums", "entries", "steps", "times")]
     + [("pairs", pa.list_(pa.int64())), ("docs", pa.list_(pa.int32()))]
 )
 ROW_DDL = (
-    "chunk bigint, doc_id array<bigint>, groups_sha256 array<string>, sums binary, entries binary, steps binary, "
+    "chunk bigint, doc_id binary, groups_sha256 array<string>, sums binary, entries binary, steps binary, "
     "times binary, pairs array<bigint>, docs array<int>"
 )
 
@@ -296,7 +296,7 @@ def _chunk_rows(a_path: str, b_path: str, chunk: int):
             steps[filled] = columns[filled]
             row = {
                 "chunk": (part << 32) + n,
-                "doc_id": ids,
+                "doc_id": pack_ids(ids),
                 "groups_sha256": made.digests,
                 "sums": pack(made.sums.ravel()),
                 "entries": pack(np.diff(made.links.bounds)),
@@ -325,7 +325,7 @@ def _finish(replies: pd.DataFrame, chunks: pd.DataFrame) -> pd.DataFrame:
         out.append(
             pd.DataFrame(
                 {
-                    "doc_id": pd.array(list(row.doc_id), dtype="Int64"),
+                    "doc_id": unpack_ids(row.doc_id),
                     **dict(zip(SUMS, sums, strict=True)),
                     "n_best": links._replace(values=links.values * best[columns]).row_sums(),
                     "count_sum": links._replace(values=links.values * docs[columns]).row_sums(),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 
 
@@ -22,3 +23,14 @@ def unpack(raw: bytes) -> np.ndarray:
         return np.zeros(0, dtype="int64")
     planes = np.frombuffer(pa.decompress(raw[9:], width * n, codec="zstd", asbytes=True), dtype="u1").reshape(width, n)
     return np.ascontiguousarray(planes.T).view(f"<u{width}").ravel().astype("int64")
+
+
+def pack_ids(values: list[int | None]) -> bytes:
+    """64-bit integers or nulls."""
+    here = np.array([value is not None for value in values], dtype="u1")
+    return here.tobytes() + np.array([value or 0 for value in values], dtype="<i8").tobytes()
+
+
+def unpack_ids(raw: bytes) -> pd.api.extensions.ExtensionArray:
+    n = len(raw) // 9
+    return pd.arrays.IntegerArray(np.frombuffer(raw, dtype="<i8", offset=n).astype("int64"), np.frombuffer(raw, dtype="u1", count=n) == 0)
