@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from bookpipe.llm import alignment, bpe, decontaminate, divergence, fingerprints, html_text, language_id, minhash, quality, sharding, token_counts, token_files
+from bookpipe.llm import alignment, bpe, decontaminate, divergence, fingerprints, html_text, language_id, minhash, quality, scoring, sharding, token_counts, token_files
 from bookpipe.llm.common import shared_path, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -127,6 +127,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), RANKS, PATTERN)
 
 
+def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.scores(table(spark, sf_dir, "documents"))
+
+
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
@@ -148,6 +152,7 @@ QUERIES = {
         op8_minhash,
         op9_html_text,
         op10_token_counts,
+        op11_lm_scoring,
         op12_source_divergence,
         op13_alignment,
     )
