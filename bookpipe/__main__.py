@@ -25,6 +25,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--count-mode", choices=("rows", "users"), default="rows", help="what counts as a saved review")
     parser.add_argument("--dedup-first", action="store_true", help="count each user once in a quota")
     parser.add_argument("--on-error", choices=("quarantine", "fail"), default="quarantine", help="what a bad page does")
+    parser.add_argument("--batch", help="name of the run; by default it follows from pages, parameters and stored batches")
     return parser.parse_args(argv)
 
 
@@ -48,6 +49,7 @@ def main(argv: list[str] | None = None) -> None:
         FileStore(spark, args.store, tree=args.tree),
         TableStore(spark) if args.tables else None,
         config_of(args),
+        batch=args.batch,
     )
     p = increment.progress
     print(f"target {p.target}, accepted {p.accepted}, rejected {p.rejected}, remaining {p.remaining}")

@@ -24,6 +24,10 @@ class RunConfig:
     count_mode: str = "rows"
     # False: the quota is counted on candidates, repeats by one user included.
     dedup_first: bool = False
+    # Complete reviews to expect on a review page: how many pages are read at first.
+    reviews_per_page: int = 1
+    # Whether a book's pages end at the first whose pager has no next page.
+    follow_pager: bool = False
     # "quarantine" sets bad pages aside, "fail" aborts the job on the first one.
     on_error: str = "quarantine"
 
@@ -32,6 +36,8 @@ class RunConfig:
             raise ValueError("banned_titles must be a list of phrases")
         if self.num_books < 0 or self.num_reviews < 0:
             raise ValueError("num_books and num_reviews must not be negative")
+        if self.reviews_per_page < 1:
+            raise ValueError("reviews_per_page must be positive")
         if self.count_mode not in ("rows", "users"):
             raise ValueError(f"unknown count_mode {self.count_mode!r}")
         if self.on_error not in ("quarantine", "fail"):

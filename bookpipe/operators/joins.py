@@ -37,7 +37,9 @@ def unseen(df: DataFrame, saved: DataFrame, key: str, order: Sequence[str]) -> D
     return one_per_key(without(df, saved, key), [key], order)
 
 
-def narrow(df: DataFrame, keys: DataFrame, on: str, bound: int, limit: int = BROADCAST_ROWS) -> DataFrame:
+def narrow(
+    df: DataFrame, keys: DataFrame, on: str | Sequence[str], bound: int, limit: int = BROADCAST_ROWS
+) -> DataFrame:
     """Drop rows that cannot join ``keys`` where that is free of a shuffle.
 
     ``bound`` is a proven maximum of the rows in ``keys``. Above ``limit`` the
@@ -45,7 +47,7 @@ def narrow(df: DataFrame, keys: DataFrame, on: str, bound: int, limit: int = BRO
     """
     if bound > limit:
         return df
-    return df.join(F.broadcast(keys.select(on)), on, "left_semi")
+    return df.join(F.broadcast(keys.select(*([on] if isinstance(on, str) else on))), on, "left_semi")
 
 
 def with_saved_count(books: DataFrame, counts: DataFrame) -> DataFrame:

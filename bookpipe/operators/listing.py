@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from bookpipe.functions.urls import absolute_url, normalize_url
 from bookpipe.operators.blocks import extract_blocks
 from bookpipe.operators.joins import without
-from bookpipe.operators.ranking import SMALL_PREFIX, first_k, total_before
+from bookpipe.operators.ranking import SMALL_PREFIX, first_k, one_per_key, total_before
 from bookpipe.profile import SHOP, SiteProfile
 from bookpipe.session import checkpointed
 
@@ -21,17 +21,24 @@ def listing_blocks(pages: DataFrame, profile: SiteProfile = SHOP) -> DataFrame:
     return blocks.select("page_no", "url", F.col("b.links").alias("links"), has_next(F.col("b.strip")).alias("has_next"))
 
 
-def listing_links(pages: DataFrame, profile: SiteProfile = SHOP) -> DataFrame:
-    """``(page_no, pos, url)``, normalized, in page order."""
-    blocks = pages.select(
-        "page_no", F.col("url").alias("page_url"), extract_blocks("html", profile.listing)["links"].alias("links")
-    )
-    links = blocks.select("page_no", "page_url", F.posexplode("links").alias("pos", "href"))
+def read_listing_pages(pages: DataFrame, profile: SiteProfile = SHOP, keep: Sequence[str] = ("page_no",)) -> DataFrame:
+    """``(*keep, page_url, links)``, one row a page."""
+    return pages.select(*keep, F.col("url").alias("page_url"), extract_blocks("html", profile.listing)["links"].alias("links"))
+
+
+def links_of(listed: DataFrame, keep: Sequence[str] = ("page_no",)) -> DataFrame:
+    """``(*keep, pos, url)`` of listing pages that are read."""
+    links = listed.select(*keep, "page_url", F.posexplode("links").alias("pos", "href"))
     return links.where("href is not null").select(
-        "page_no", "pos", normalize_url(absolute_url(F.col("href"), F.col("page_url"))).alias("url")
+        *keep, "pos", normalize_url(absolute_url(F.col("href"), F.col("page_url"))).alias("url")
     )
 
 
+def listing_links(pages: DataFrame, profile: SiteProfile = SHOP) -> DataFrame:
+    """``(page_no, pos, url)``, normalized, in page order."""
+    return links_of(read_listing_pages(pages, profile))
+
+
 def has_next(strip: Column) -> Column:
     """The last child of the pagination strip is not disabled."""
     return (F.size(strip) > 0) & F.try_element_at(strip, F.lit(-1)).isNull()
@@ -70,7 +77,9 @@ def unsatisfied_links(
     found, n, start, width = None, 0, ends["first"] or 0, max(k, first_slice)
     while True:
         part = pages.where((F.col("page_no") >= start) & (F.col("page_no") < start + width))
-        links = checkpointed(without(listing_links(part, profile), satisfied, "url"))
+        # A capture may have landed twice: one of equal ones is taken by what it lists.
+        listed = one_per_key(read_listing_pages(part, profile), ["page_no"], [F.xxhash64("links")])
+        links = checkpointed(without(links_of(listed), satisfied, "url"))
         found = links if found is None else found.unionByName(links)
         n, start, width = n + links.count(), start + width, width * 4
         if n >= k or ends["last"] is None or start > ends["last"]:

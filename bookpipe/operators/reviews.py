@@ -11,16 +11,36 @@ from bookpipe.functions.review_fields import star_rating
 from bookpipe.operators.blocks import extract_blocks
 from bookpipe.operators.counts import reviews_per_book
 from bookpipe.operators.joins import with_saved_count, without
+from bookpipe.operators.listing import has_next_review_page
 from bookpipe.operators.ranking import top_per_group
 from bookpipe.profile import SHOP, SiteProfile
 
 
+def read_review_pages(
+    pages: DataFrame, profile: SiteProfile = SHOP, keep: Sequence[str] = ("isbn", "page_no")
+) -> DataFrame:
+    """``(*keep, reviews, more)``, one row a page; ``more`` is what its pager says, true without one."""
+    blocks = pages.select(*keep, extract_blocks("html", profile.reviews).alias("b"))
+    more = has_next_review_page(F.col("b.pager")) if "pager" in profile.reviews else F.lit(True)
+    return blocks.select(*keep, F.col("b.reviews").alias("reviews"), more.alias("more"))
+
+
+def reviews_of(pages: DataFrame, keep: Sequence[str] = ("isbn", "page_no")) -> DataFrame:
+    """``(*keep, pos, user, text, rating)`` of the complete reviews of pages that are read."""
+    rows = pages.select(*keep, F.posexplode("reviews").alias("pos", "r"))
+    return complete_reviews(rows.select(*keep, "pos", "r.user", "r.text", star_rating(F.col("r.stars")).alias("rating")))
+
+
+def up_to_last(pages: DataFrame, book: str = "book_url") -> DataFrame:
+    """Pages of each book up to the first whose pager has no next page."""
+    last = pages.where(~F.col("more")).groupBy(book).agg(F.min("page_no").alias("_last"))
+    near = pages.join(last, book, "left")
+    return near.where(F.col("_last").isNull() | (F.col("page_no") <= F.col("_last"))).drop("_last")
+
+
 def extract_reviews(pages: DataFrame, profile: SiteProfile = SHOP, keep: Sequence[str] = ("isbn", "page_no")) -> DataFrame:
     """``(*keep, pos, user, text, rating)`` of complete reviews, in page order."""
-    found = pages.select(*keep, extract_blocks("html", profile.reviews)["reviews"].alias("reviews"))
-    rows = found.select(*keep, F.posexplode("reviews").alias("pos", "r"))
-    reviews = rows.select(*keep, "pos", "r.user", "r.text", star_rating(F.col("r.stars")).alias("rating"))
-    return complete_reviews(reviews)
+    return reviews_of(read_review_pages(pages, profile, keep), keep)
 
 
 def complete_reviews(reviews: DataFrame) -> DataFrame:

@@ -6,9 +6,10 @@ be computed from the same row in SQL.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from bookpipe.operators.counts import reviews_per_book
 from bookpipe.schema import CAPTURE
 from bookpipe.session import spread
 from bookpipe.sources.pages import Captures
@@ -145,6 +146,53 @@ def review_pages(lineitem: DataFrame) -> DataFrame:
     )
 
 
+REVIEW_ITEM = (
+    '<div data-hook="review"><div><div><div class="a-profile-content"><span class="a-profile-name">{}</span></div>'
+    '<div><a class="a-link-normal" title="{}">stars</a></div></div>'
+    '<span data-hook="review-body"><span>Lot {}<br>of order {}</span></span></div></div>'
+)
+PAGE_SIZE = 10
+
+
+def full_review_pages(lineitem: DataFrame) -> DataFrame:
+    """``(page_no, book_url, page_id, url, html)``: the lines of a part, ten a page, with a pager that ends.
+
+    Lines are dealt to pages by their place among those of their part.
+    """
+    place = Window.partitionBy("l_partkey").orderBy("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity")
+    user = F.concat(F.lit("user-"), F.col("l_suppkey").cast("string"))
+    stars = F.concat(F.format_string("%.1f", F.col("l_quantity") / 10), F.lit(" out of 5 stars"))
+    rows = lineitem.select(
+        F.col("l_partkey").alias("_key"),
+        (F.row_number().over(place) - 1).alias("_at"),
+        html(REVIEW_ITEM, user, stars, F.col("l_linenumber"), F.col("l_orderkey")).alias("_item"),
+    )
+    # A page is ten lines, however many its part has.
+    items = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_at", "_item"))), lambda x: x["_item"]), "")
+    pages = rows.groupBy("_key", F.floor(F.col("_at") / PAGE_SIZE).alias("_page")).agg(items.alias("_items"))
+    last = pages.groupBy("_key").agg(F.max("_page").alias("_last"))
+    more = F.when(F.col("_page") < F.col("_last"), "a-last").otherwise("a-disabled a-last")
+    number = F.col("_page") + 1
+    return pages.join(last, "_key").select(
+        number.alias("page_no"),
+        book_url(F.col("_key")).alias("book_url"),
+        (F.col("_key") * 1_000_000 + number).alias("page_id"),
+        F.concat(book_url(F.col("_key")), F.lit("reviews/"), number.cast("string")).alias("url"),
+        html(
+            '<div id="cm_cr-review_list">{}</div><div id="cm_cr-pagination_bar"><ul>'
+            '<li class="a-disabled">Previous</li><li class="{}">Next</li></ul></div>',
+            F.col("_items"),
+            more,
+        ).alias("html"),
+    )
+
+
+def paged_captures(spark: SparkSession, sf_dir: str) -> Captures:
+    """Listing and book pages of all parts, review pages of ten lines each."""
+    part, lines = table(spark, sf_dir, "part"), table(spark, sf_dir, "lineitem")
+    return Captures(listing_pages(part), book_pages(part), spread(full_review_pages(lines), "page_id"))
+
+
 def captures(spark: SparkSession, sf_dir: str) -> Captures:
     """Listing and book pages of all parts, review pages of lines after the cut-off."""
     part, lines = table(spark, sf_dir, "part"), spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
@@ -170,6 +218,8 @@ def landed(pages: Captures) -> DataFrame:
 class SavedLines:
     """Saved state: the books of all parts, the reviews of lines before the cut-off."""
 
+    ledger = None
+
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = spark, sf_dir
 
@@ -186,6 +236,21 @@ class SavedLines:
             F.concat(F.lit("user-"), F.col("l_suppkey").cast("string")).alias("user"),
         )
 
+    def counts(self, mode: str = "rows", batch: str | None = None) -> DataFrame:
+        return reviews_per_book(self.reviews(), mode, self.attributes())
+
+    def batches(self) -> list[str]:
+        return []
+
+    def exhausted(self, batch: str | None = None) -> DataFrame | None:
+        return None
+
+    def mark(self, exhausted: DataFrame, batch: str) -> None:
+        raise NotImplementedError("the test tables are read-only")
+
+    def stage(self, attributes: DataFrame, reviews: DataFrame, batch: str) -> None:
+        raise NotImplementedError("the test tables are read-only")
+
     def write(self, attributes: DataFrame, reviews: DataFrame, batch: str) -> None:
         raise NotImplementedError("the test tables are read-only")
 

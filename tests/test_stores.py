@@ -9,7 +9,7 @@ from bookpipe.operators.counts import orphans, reviews_per_book, satisfied_urls
 from bookpipe.schema import BOOK, REVIEW, conform, nullable
 from bookpipe.sinks.stores import FileStore, JdbcStore, TableStore, image_manifest, saved_state
 from bookpipe.sinks.upsert import last_write, read_bucketed, upsert
-from bookpipe.sources.raw_tree import list_store, read_raw_attributes, read_raw_reviews, store_keys
+from bookpipe.sources.raw_tree import TreeIndex, list_store, read_raw_attributes, read_raw_reviews, store_keys
 from bookpipe.sources.tables import saved_isbns, saved_users, table_or_empty
 
 RECORD = dict(
@@ -180,3 +180,43 @@ def test_rejects_and_covers_are_stored(spark, tmp_path):
         store.reject(quarantine, "run-1")
     assert rows(store.quarantine()) == [(1, "u", "title", "none")] and store.quarantine("run-1").count() == 0
     assert [r.isbn for r in store.images().collect()] == [RECORD["isbn"]]
+
+
+def test_tree_is_read_once(spark, tmp_path, tree):
+    """A second sync opens new and changed files only; what holds no record goes to quarantine."""
+    root = tmp_path / "raw_data"
+    for i, path in enumerate(sorted(root.rglob("*.json"))):
+        os.utime(path, (1_700_000_000 + i, 1_700_000_000 + i))
+    index = TreeIndex(spark, tree, str(tmp_path / "index"))
+    assert index.attributes().count() == index.reviews().count() == 0
+    assert index.sync() == 4 and index.sync() == 0
+    assert rows(index.attributes().select("isbn")) == [("isbn-101",), ("isbn-102",)]
+    assert rows(index.reviews()) == rows(read_raw_reviews(spark, tree))
+
+    opened = []
+    read = TreeIndex._read
+
+    def watched(self, schema, since):
+        df = read(self, schema, since)
+        opened.append({os.path.basename(os.path.dirname(f)) + "/" + os.path.basename(f) for f in df.inputFiles()})
+        return df
+
+    TreeIndex._read = watched
+    try:
+        (root / "isbn-102" / "data.json").write_text(json.dumps({**RECORD, "isbn": "isbn-102", "title": "Changed"}))
+        (root / "isbn-103").mkdir()
+        (root / "isbn-103" / "data.json").write_text('{"title": "cut o')
+        (root / "isbn-101" / "reviews" / "new.json").write_text(json.dumps({**REVIEW_RECORD, "user": "new"}))
+        assert index.sync() == 3 and index.sync() == 0
+    finally:
+        TreeIndex._read = read
+    assert opened == [{"isbn-102/data.json", "isbn-103/data.json", "reviews/new.json"}] * 2
+    assert rows(index.attributes().select("isbn", "title")) == [("isbn-101", "Title"), ("isbn-102", "Changed")]
+    assert {r.user for r in index.reviews().collect()} == {"user", "data", "new"}
+    bad = index.unreadable().collect()
+    assert [(r.field, r.url.endswith("isbn-103/data.json")) for r in bad] == [("record", True)] and "cut o" in bad[0].reason
+    # A sync that did not finish counts for nothing and is done again.
+    (root / "isbn-104").mkdir()
+    (root / "isbn-104" / "data.json").write_text(json.dumps({**RECORD, "isbn": "isbn-104"}))
+    spark.createDataFrame([("x", "x")], "isbn string, path string").write.parquet(str(tmp_path / "index" / "attributes" / "sync=2"))
+    assert index.attributes().count() == 2 and index.sync() == 1 and index.attributes().count() == 3
