@@ -9,10 +9,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from bookpipe.config import RunConfig
 from bookpipe.operators.reviews import fill_reviews
-from bookpipe.plans.increment import Progress, run_and_publish
+from bookpipe.plans.increment import Progress
 from bookpipe.profile import SHOP, SiteProfile
 from bookpipe.schema import CAPTURE, nullable
 from bookpipe.sinks.stores import Store
+from bookpipe.streaming.session import SessionState, session_name, work_batch
 
 
 def run_increment_stream(
@@ -28,17 +29,23 @@ def run_increment_stream(
 ) -> StreamingQuery:
     """Work every capture file that has landed since the last call, then stop.
 
-    What is already saved is found by the anti joins of a run, not kept as stream
-    state, so state does not grow. A batch that is repeated after a failure has
-    the same id and replaces what it wrote. The pages of a book (its listing
-    entry, its own page, its review pages) must land in the same batch. ``report``
-    is told the progress of each batch (P7).
+    All calls with one checkpoint are one run, over all captures that have landed: a
+    book's listing entry, its own page and its review pages may land in any batches and
+    in any order, and the stores end up with the rows of one run over all of them (see
+    :mod:`bookpipe.streaming.session`, whose tables lie below the checkpoint). Other
+    parameters or another checkpoint make another run, which tops up what is stored. A
+    batch that is repeated after a failure has the same id and replaces what it wrote.
+    ``report`` is told the progress of each batch (P7).
     """
+    name = session_name(checkpoint, config)
+    archive = SessionState(spark, f"{checkpoint.rstrip('/')}/captures")
+    state = SessionState(spark, f"{checkpoint.rstrip('/')}/{name}")
+    stores = [raw] if relational is None else [raw, relational]
 
     def work(captures: DataFrame, batch_id: int) -> None:
-        run = run_and_publish(captures, raw, relational, config, profile, batch=f"stream-{batch_id:012d}")
+        progress = work_batch(archive, state, stores, captures, batch_id, name, config, profile)
         if report is not None:
-            report(batch_id, run.progress)
+            report(batch_id, progress)
 
     source = spark.readStream.schema(nullable(CAPTURE))
     if files_per_batch is not None:
