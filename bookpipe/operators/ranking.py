@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bookpipe.session import checkpointed
 
@@ -89,34 +94,52 @@ def first_k(
     return global_rank(df, order, name).where(F.col(name) <= k)
 
 
-def total_before(
-    df: DataFrame,
-    value: str,
-    position: str,
-    by: Sequence[str] = (),
-    name: str = "before",
-    width: int = 65_536,
-) -> DataFrame:
-    """Sum of ``value`` over all earlier positions; NULL at the first one.
+def _running(n_keys: int, value: int):
+    """Running sums within a sorted partition, by key: what stood before each row, and whether anything did."""
+
+    def running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, last, carry = TaskContext.get().partitionId(), None, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = len(batch)
+            keys = list(zip(*(batch.column(i).to_pylist() for i in range(n_keys)), strict=True)) or [()] * rows
+            new = np.array([last is None or keys[0] != last] + [a != b for a, b in zip(keys[1:], keys, strict=False)])
+            values = batch.column(value).to_numpy(zero_copy_only=False).astype("int64")
+            total = np.cumsum(values) - values
+            starts = np.maximum.accumulate(np.where(new, np.arange(rows), -1))
+            within = np.where(starts < 0, total + carry, total - total[np.maximum(starts, 0)])
+            last, carry = keys[-1], int(within[-1] + values[-1])
+            arrays = [*batch.columns, pa.array([part] * rows, pa.int32()), pa.array(within, pa.int64()), pa.array(new)]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names, "_part", "_within", "_new"])
+
+    return running
 
-    ``position`` is an integer, unique within ``by``. Positions are cut into
-    blocks of ``width``: totals of whole blocks are summed over blocks, single
-    rows only within their block, so no group ever sits in one task whole.
+
+def total_before(df: DataFrame, value: str, position: str, by: Sequence[str] = (), name: str = "before") -> DataFrame:
+    """Sum of the integer ``value`` over all earlier positions; NULL at the first one.
+
+    ``position`` is unique within ``by`` and may have any gaps. The rows are sorted in
+    ranges of about equal size and summed within each; what stands before a range is the
+    sum of earlier ranges, one row for each key and range. So neither a key with very many
+    rows nor positions far apart put more than a range into one task.
     """
-    earlier = (Window.unboundedPreceding, -1)
-    blocks = df.withColumn("_block", F.floor(F.col(position) / width))
-    within = Window.partitionBy(*by, "_block").orderBy(position).rowsBetween(*earlier)
-    across = Window.partitionBy(*by).orderBy("_block").rowsBetween(*earlier)
+    placed = df.withColumn("_value", F.coalesce(F.col(value).cast("bigint"), F.lit(0))).select(*by, "_value", *(c for c in df.columns if c not in by))
+    ranges = placed.repartitionByRange(*by, position).sortWithinPartitions(*by, position)
+    fields = [*ranges.schema.fields, *(T.StructField(n, t) for n, t in (("_part", T.IntegerType()), ("_within", T.LongType()), ("_new", T.BooleanType())))]
+    summed = checkpointed(ranges.mapInArrow(_running(len(by), len(by)), T.StructType(fields)))
+    earlier = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     totals = (
-        blocks.groupBy(*by, "_block")
-        .agg(F.sum(value).alias("_total"))
-        .select(*by, "_block", F.sum("_total").over(across).alias("_blocks_before"))
-    )
-    rows = blocks.withColumn("_within", F.sum(value).over(within))
-    none = F.col("_within").isNull() & F.col("_blocks_before").isNull()
-    summed = F.coalesce("_within", F.lit(0)) + F.coalesce("_blocks_before", F.lit(0))
-    return (
-        rows.join(totals, [*by, "_block"])
-        .withColumn(name, F.when(~none, summed))
-        .drop("_block", "_within", "_blocks_before")
+        summed.groupBy(*by, "_part")
+        .agg(F.sum("_value").alias("_total"))
+        .select(
+            *(F.col(c).alias(f"_of_{i}") for i, c in enumerate(by)),
+            F.col("_part").alias("_range"),
+            F.sum("_total").over(earlier).alias("_ranges_before"),
+        )
     )
+    none = F.col("_new") & F.col("_ranges_before").isNull()
+    total = F.col("_within") + F.coalesce("_ranges_before", F.lit(0))
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{i}")) for i, c in enumerate(by)] + [F.col("_part") == F.col("_range")]
+    joined = summed.join(totals, reduce(Column.__and__, same))
+    return joined.withColumn(name, F.when(~none, total)).select(*df.columns, name)

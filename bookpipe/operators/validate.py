@@ -26,6 +26,44 @@ def banned(title: Column, phrases: Sequence[str] | None) -> Column:
     return title.rlike("|".join(rf"\Q{p}\E" if r"\E" not in p else re.escape(p) for p in phrases))
 
 
+#: Longest piece of a phrase that titles are looked up by.
+GRAM = 4
+
+
+def grams(text: Column, size: int) -> Column:
+    """The different runs of ``size`` characters of a text."""
+    starts = F.sequence(F.lit(1), F.greatest(F.char_length(text) - size + 1, F.lit(1)))
+    runs = F.transform(starts, lambda i: F.substr(text, i, F.lit(size)))
+    return F.when(F.char_length(text) >= size, F.array_distinct(runs)).otherwise(F.array().cast("array<string>"))
+
+
+def titles_holding(titles: DataFrame, key: str, title: str, phrases: DataFrame, phrase: str) -> DataFrame:
+    """V3 for any number of phrases: the keys of titles that hold one, each once.
+
+    An index on pieces of GRAM characters (of whole phrases where they are shorter): a
+    phrase stands under the piece of it that the fewest titles have, titles meet it by an
+    equality join on their pieces, and only those are searched. ``key`` is unique. A piece that most titles
+    have is a phrase's key only if all its pieces are as frequent.
+    """
+    listed = phrases.select(F.col(phrase).alias("_phrase")).where("_phrase is not null and _phrase != ''").distinct()
+    listed = listed.withColumn("_size", F.least(F.char_length("_phrase"), F.lit(GRAM)))
+    named = titles.select(F.col(key).alias("_key"), F.col(title).alias("_title")).where("_title is not null")
+    # Pieces of each size that some phrase has: at most GRAM of them.
+    sizes = sorted(r["_size"] for r in listed.select("_size").distinct().collect())
+    if not sizes:
+        return titles.select(key).limit(0)
+    pieces = F.flatten(F.array(*(grams(F.col("_title"), size) for size in sizes)))
+    held = named.select("_key", F.explode(pieces).alias("_gram"))
+    counted = held.groupBy("_gram").agg(F.count("*").alias("_n"))
+    own = reduce(lambda rest, size: F.when(F.col("_size") == size, grams(F.col("_phrase"), size)).otherwise(rest), sizes, F.array().cast("array<string>"))
+    spelled = listed.select("_phrase", F.explode(own).alias("_gram")).join(counted, "_gram", "left")
+    rarest = spelled.groupBy("_phrase").agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("_n"), "_gram")).alias("_by"))
+    index = rarest.where("_by._n > 0").select("_phrase", F.col("_by._gram").alias("_gram"))
+    # Titles move once for each phrase that they may hold, not for each piece.
+    found = held.join(index, "_gram").select("_key", "_phrase").join(named, "_key").where(F.contains("_title", "_phrase"))
+    return found.select(F.col("_key").alias(key)).distinct()
+
+
 def rule(failed: Column, field: str, reason: str, hard: bool = False) -> Column:
     verdict = F.struct(F.lit(field).alias("field"), F.lit(reason).alias("reason"), F.lit(hard).alias("hard"))
     return F.when(failed, verdict)

@@ -50,10 +50,10 @@ def test_global_rank_descending(spark):
 
 
 @settings(**SETTINGS)
-@given(st.dictionaries(st.tuples(st.integers(0, 2), st.integers(-5, 40)), st.integers(0, 5), min_size=1), st.integers(1, 9))
-def test_total_before(spark, cells, width):
+@given(st.dictionaries(st.tuples(st.integers(0, 2), st.integers(-5, 40)), st.integers(0, 5), min_size=1))
+def test_total_before(spark, cells):
     df = spark.createDataFrame([(b, p, v) for (b, p), v in cells.items()], "b int, p int, v int")
-    got = {(r.b, r.p): r.before for r in R.total_before(df, "v", "p", ["b"], width=width).collect()}
+    got = {(r.b, r.p): r.before for r in R.total_before(df, "v", "p", ["b"]).collect()}
     for (b, p), before in got.items():
         earlier = [v for (c, q), v in cells.items() if c == b and q < p]
         assert before == (sum(earlier) if earlier else None)
@@ -90,3 +90,19 @@ def test_listing_is_read_in_slices(spark, k):
 def test_work_target(need, target):
     assert work_target(7, 7 + need) == target
     assert work_target(9, 7) == 0
+
+
+def test_total_before_on_sparse_positions(spark):
+    """Positions far apart: no task has over twice the rows of the median one."""
+    df = spark.range(40_000).select((F.col("id") * 10**14).alias("p"), (F.col("id") % 7).alias("v"))
+    df = df.withColumn("size", F.lit(1))
+    got = R.total_before(df, "v", "p").orderBy("p").select("v", "before").collect()
+    total = 0
+    for i, r in enumerate(got):
+        assert r.before == (total if i else None)
+        total += r.v
+    spread = df.repartitionByRange("p").withColumn("at", F.spark_partition_id()).groupBy("at").count().collect()
+    sizes = sorted(r["count"] for r in spread)
+    assert sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    plan = R.total_before(df, "v", "p")._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan or "_total" in plan  # only one row a range may meet in one task
