@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bookpipe.__main__ import arguments, config_of
 from bookpipe.config import RunConfig
 from bookpipe.functions import book_fields as B
 from bookpipe.functions.paths import isbn_of_path, user_of_path
@@ -27,13 +28,14 @@ from bookpipe.operators.blocks import extract_blocks
 from bookpipe.operators.books import parse_books
 from bookpipe.operators.joins import members, unseen, with_saved_count, without
 from bookpipe.operators.ranking import global_rank
-from bookpipe.operators.reviews import complete_reviews, extract_reviews, fill_reviews, nest_reviews
+from bookpipe.operators.reviews import complete_reviews, extract_reviews, fill_reviews, nest_reviews, read_review_pages, reviews_of
 from bookpipe.plans import derived_pages as P
 from bookpipe.plans.flagship import ARRIVAL, flagship, line_reviews
 from bookpipe.plans.increment import due_books, run_and_publish, run_increment
 from bookpipe.profile import ARTICLES, SHOP
 from bookpipe.schema import BOOK, REVIEW, conform
 from bookpipe.session import shared_dir, spread
+from bookpipe.sinks.log import KeyedLog
 from bookpipe.sinks.stores import FileStore, TableStore, image_manifest
 from bookpipe.sinks.upsert import last_write, read_bucketed, upsert
 from bookpipe.sources.pages import Captures, read_pages
@@ -557,6 +559,38 @@ def extract_reviews_query(spark: SparkSession, d: str) -> DataFrame:
     return extract_reviews(pages)
 
 
+@query(
+    "reviews_by_position",
+    """
+with placed as (select *, row_number() over (partition by l_partkey order by l_orderkey, l_linenumber, l_suppkey, l_quantity) - 1 as plc,
+  count(*) over (partition by l_partkey) as n from lineitem)
+select 'https://shop.example/dp/' || l_partkey || '/' as book_url, plc // 10 + 1 as page_no, cast(plc % 10 as integer) as pos,
+  'user-' || l_suppkey as "user", 'Lot ' || l_linenumber || chr(10) || 'of order ' || l_orderkey as "text",
+  cast(floor(l_quantity / 10) as integer) as rating, plc // 10 < (n - 1) // 10 as more from placed
+""",
+)
+def reviews_by_position(spark: SparkSession, d: str) -> DataFrame:
+    """Pages of ten reviews, each with its position, and what the pager says."""
+    keep = ("book_url", "page_no")
+    pages = read_review_pages(spread(P.full_review_pages(P.table(spark, d, "lineitem")), "page_id"), keep=keep)
+    return reviews_of(pages, keep=(*keep, "more"))
+
+
+SQL_PAGED = """
+with want as (select count(*) // 2 n from part),
+tgt as (select n + cast(floor(n * 0.05) as bigint) k from want),
+pick as (select *, row_number() over (order by p_partkey) rk from part qualify rk <= (select k from tgt)),
+valid as (select * from pick where ({verdict}) is null),
+placed as (select l_partkey as isbn, l_suppkey as usr, l_orderkey, l_linenumber, l_quantity,
+    row_number() over (partition by l_partkey order by l_orderkey, l_linenumber, l_suppkey, l_quantity) pos
+  from lineitem join valid on p_partkey = l_partkey)
+"""
+
+
+def paged_config(spark: SparkSession, d: str, n: int = 20) -> RunConfig:
+    return RunConfig(P.table(spark, d, "part").count() // 2, n, ("gizmo",), reviews_per_page=P.PAGE_SIZE, follow_pager=True)
+
+
 # ---- records and store keys -----------------------------------------------
 
 
@@ -667,6 +701,23 @@ def banned_titles_many(spark: SparkSession, d: str) -> DataFrame:
     return kept.select("p_partkey", "p_name")
 
 
+@query(
+    "banned_titles_table",
+    """
+with phrases as (select distinct 'no ' || (l_orderkey * 7 + l_linenumber) || ' ' as phrase from lineitem),
+titles as (select p_partkey, p_name || ' no ' || (p_partkey * 3 + p_size) || ' of ' || p_brand as title from part)
+select p_partkey, title from titles where not exists (select 1 from phrases where contains(title, phrase))
+""",
+)
+def banned_titles_table(spark: SparkSession, d: str) -> DataFrame:
+    """V3: phrases from a table, as many as there are lines."""
+    lines = P.table(spark, d, "lineitem")
+    phrases = lines.select(F.concat(F.lit("no "), (F.col("l_orderkey") * 7 + F.col("l_linenumber")).cast("string"), F.lit(" ")).alias("phrase"))
+    title = F.concat("p_name", F.lit(" no "), (F.col("p_partkey") * 3 + F.col("p_size")).cast("string"), F.lit(" of "), "p_brand")
+    titles = P.table(spark, d, "part").select("p_partkey", title.alias("title"))
+    return without(titles, V.titles_holding(titles, "p_partkey", "title", phrases, "phrase"), "p_partkey")
+
+
 @query(
     "reject_reason",
     """
@@ -926,6 +977,23 @@ def listing_pages_needed(spark: SparkSession, d: str) -> DataFrame:
     return L.pages_needed(counted, 500)
 
 
+@query(
+    "listing_pages_sparse",
+    """
+with running as (select p_partkey as page_no, p_size as n_new,
+  sum(p_size) over (order by p_partkey rows between unbounded preceding and 1 preceding) as before from part)
+select page_no * 1000000000000000 as page_no, cast(n_new as integer) as n_new from running
+where before is null or before < (select sum(p_size) // 2 from part)
+""",
+)
+def listing_pages_sparse(spark: SparkSession, d: str) -> DataFrame:
+    """O3: pages to read for half of all links, with page numbers 10^15 apart."""
+    part = P.table(spark, d, "part")
+    counted = part.select((F.col("p_partkey") * 10**15).alias("page_no"), F.col("p_size").cast("int").alias("n_new"))
+    half = part.agg(F.sum("p_size").alias("n")).select(F.floor(F.col("n") / 2)).first()[0]
+    return L.pages_needed(counted, half)
+
+
 @query(
     "review_pages_needed",
     """
@@ -1049,7 +1117,26 @@ select 'ISBN-13-978-' || isbn as isbn, 'order ' || l_orderkey || ' ' || l_linenu
 )
 def upsert_store(spark: SparkSession, d: str) -> DataFrame:
     """Saved lines are stored, then later lines upserted over them."""
-    path = scratch(spark, "upsert")
+    log = KeyedLog(spark, scratch(spark, "upsert"), REVIEW)
+    for lines in (saved_lines(spark, d), fresh_lines(spark, d)):
+        log.append(review_rows(lines), ("l_orderkey", "l_linenumber", "rating"))
+    return log.read()
+
+
+@query("upsert_store_compacted", SQL["upsert_store"])
+def upsert_store_compacted(spark: SparkSession, d: str) -> DataFrame:
+    """The same rows after saved lines were merged into the base of their buckets."""
+    log = KeyedLog(spark, scratch(spark, "merged"), REVIEW)
+    log.append(review_rows(saved_lines(spark, d)), ("l_orderkey", "l_linenumber", "rating"))
+    log.compact()
+    log.append(review_rows(fresh_lines(spark, d)), ("l_orderkey", "l_linenumber", "rating"))
+    return log.read()
+
+
+@query("upsert_by_bucket", SQL["upsert_store"])
+def upsert_by_bucket(spark: SparkSession, d: str) -> DataFrame:
+    """The other form, which rewrites the buckets that a batch touches."""
+    path = scratch(spark, "buckets")
     for lines in (saved_lines(spark, d), fresh_lines(spark, d)):
         upsert(spark, review_rows(lines), path, REVIEW, arrival=("l_orderkey", "l_linenumber", "rating"), buckets=8)
     return read_bucketed(spark, path, REVIEW).select(*REVIEW.names)
@@ -1212,3 +1299,121 @@ def run_increment_stream_query(spark: SparkSession, d: str) -> DataFrame:
     state = scratch(spark, "stream-state")
     run_increment_stream(spark, landing, state, store, config=first_run_config(spark, d)).awaitTermination()
     return store.reviews().select("isbn", "user", "text")
+
+
+@query(
+    "run_follows_pager",
+    SQL_PAGED.format(verdict=SQL_VERDICT)
+    + """
+select 'ISBN-13-978-' || isbn as isbn, 'user-' || usr as "user", pos as position,
+  'Lot ' || l_linenumber || chr(10) || 'of order ' || l_orderkey as "text" from placed where pos <= 20
+""",
+)
+def run_follows_pager(spark: SparkSession, d: str) -> DataFrame:
+    """A run that reads pages of ten until it has its reviews or the pager ends."""
+    run = run_increment(P.paged_captures(spark, d), FileStore(spark, scratch(spark, "paged")), paged_config(spark, d))
+    return run.reviews.select("isbn", "user", "position", "text")
+
+
+@query(
+    "exhausted_books",
+    SQL_PAGED.format(verdict=SQL_VERDICT)
+    + """
+select 'https://shop.example/dp/' || isbn || '/' as book_url, (count(*) - 1) // 10 + 1 as pages
+from placed group by isbn having count(*) < 20
+""",
+)
+def exhausted_books(spark: SparkSession, d: str) -> DataFrame:
+    """The books that a run marks as read to the end."""
+    store = FileStore(spark, scratch(spark, "ended"))
+    run_and_publish(P.paged_captures(spark, d), store, config=paged_config(spark, d))
+    return store.exhausted().select("book_url", "pages")
+
+
+@query(
+    "counts_kept_by_batch",
+    """
+select 'ISBN-13-978-' || l_partkey as isbn, count(distinct l_suppkey) as n from lineitem group by l_partkey
+""",
+)
+def counts_kept_by_batch(spark: SparkSession, d: str) -> DataFrame:
+    """A1: three batches, the second written twice; counts come from what each has added, reviews are not read."""
+    store = FileStore(spark, scratch(spark, "counted"))
+    lines = review_rows(all_lines(spark, d)).withColumn("position", F.col("l_orderkey") * 8 + F.col("l_linenumber"))
+    none = spark.createDataFrame([], "struct<{}>".format(", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in BOOK)))
+    for part in (0, 1, 1, 2):
+        name = f"run-{part}"
+        new = without(lines.where(F.col("l_orderkey") % 3 == part), store.reviews(name), ["isbn", "user"])
+        store.write(none, new, name)
+    return store.counts("rows")
+
+
+SQL_STREAMED = SQL["run_increment_stream"]
+
+
+@query("stream_in_any_order", SQL_STREAMED)
+def stream_in_any_order(spark: SparkSession, d: str) -> DataFrame:
+    """Captures land in four files, review pages before their books and listing pages last, one file a batch."""
+    landing, store = scratch(spark, "landing"), FileStore(spark, scratch(spark, "pieces"))
+    pages = P.landed(P.all_captures(spark, d))
+    review = F.col("kind") == "review"
+    for part in (review & (F.col("page_id") % 2 == 1), review & (F.col("page_id") % 2 == 0), F.col("kind") == "book", F.col("kind") == "listing"):
+        pages.where(part).coalesce(1).write.mode("append").parquet(landing)
+    state = scratch(spark, "pieces-state")
+    run_increment_stream(
+        spark, landing, state, store, config=first_run_config(spark, d), files_per_batch=1
+    ).awaitTermination()
+    return store.reviews().select("isbn", "user", "text")
+
+
+class StoppedStore(FileStore):
+    """A store that cannot be written, as when a job is lost between two stores."""
+
+    def stage(self, attributes: DataFrame, reviews: DataFrame, batch: str) -> None:
+        raise RuntimeError("stopped between the stores")
+
+
+@query("retried_run_two_stores", SQL_STREAMED)
+def retried_run_two_stores(spark: SparkSession, d: str) -> DataFrame:
+    """A run is lost between its stores and repeated without a name; the reviews of both stores are those of one run."""
+    raw, other = FileStore(spark, scratch(spark, "raw")), scratch(spark, "relational")
+    pages, config = P.all_captures(spark, d), first_run_config(spark, d)
+    try:
+        run_and_publish(pages, raw, StoppedStore(spark, other), config)
+    except RuntimeError:
+        if not raw.reviews().isEmpty():
+            raise
+    relational = FileStore(spark, other)
+    run_and_publish(pages, raw, relational, config)
+    both = raw.reviews().select("isbn", "user", "text")
+    return both.join(relational.reviews().select("isbn", "user"), ["isbn", "user"], "left_semi")
+
+
+@query(
+    "landed_covers",
+    """
+select 'ISBN-13-978-' || p_partkey as isbn, 'https://shop.example/img/' || p_partkey || '.jpg' as image_url,
+  case when p_size % 2 = 0 then 'landed' else 'missing' end as status from part
+""",
+)
+def landed_covers(spark: SparkSession, d: str) -> DataFrame:
+    """Covers that land after a run are found when the manifest is read; nothing is rewritten."""
+    part = P.table(spark, d, "part")
+    have = part.where("p_size % 2 = 0").select(P.isbn(F.col("p_partkey")).alias("isbn"))
+    covers = part.select(
+        P.isbn(F.col("p_partkey")).alias("isbn"),
+        F.concat(F.lit(f"{P.SITE}/img/"), F.col("p_partkey").cast("string"), F.lit(".jpg")).alias("image_url"),
+    )
+    path = scratch(spark, "covers")
+    image_manifest(covers, have.limit(0)).write.parquet(path)  # as a run writes it, before any has landed
+    written = spark.read.parquet(path)
+    return image_manifest(written.select("isbn", "image_url"), have).select("isbn", "image_url", "status")
+
+
+@query("run_by_arguments", SQL["run_increment_quarantine"])
+def run_by_arguments(spark: SparkSession, d: str) -> DataFrame:
+    """A run's parameters as the command line gives them."""
+    wanted = run_config(spark, d)
+    line = [str(wanted.num_books), str(wanted.num_reviews), "--captures", d, "--store", d, "--banned", "gizmo"]
+    due = due_books(P.captures(spark, d), P.SavedLines(spark, d), config_of(arguments(line)))
+    return due.quarantine.select("url", "field", "reason")
