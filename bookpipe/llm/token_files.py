@@ -16,12 +16,16 @@ Equal doc_ids are ordered by text. Extra columns are not written.
 from __future__ import annotations
 
 import os
+import re
 import string
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -32,13 +36,10 @@ from bookpipe.llm.common import ship, text_or_empty
 END_ID = 1
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 64 << 10
-#: Different words in each of a worker's two generations of remembered ids.
-MEMO_WORDS = 500_000
-#: ASCII characters that are neither letters, digits nor white space.
-MARKS = string.punctuation
-
-
-LATIN_END = "\u0180"
+#: Parts of words in each of a worker's two generations of remembered ids.
+MEMO_PARTS = 400_000
+#: Latin letters below U+0180, but not the dotted capital I (two characters in lower case), then ASCII marks.
+LATIN = "^(?P<a>[A-Za-zªµºÀ-ÖØ-öø-įı-ſ]+)(?P<b>[" + re.escape(string.punctuation) + "]*)$"
 
 
 def byte_chars() -> list[str]:
@@ -52,15 +53,19 @@ BYTE_CHARS = byte_chars()
 
 
 class WordEncoder:
-    """Encodes by a tokenizers file, remembering the ids of words.
+    """Encodes by a tokenizers file, each different word of a batch once.
 
     The tokenizer drops white space, so a text's ids are those of its space-separated
-    words, one after another. Latin letters below U+0180 are in normal form and a run of
-    them is one pre-token, as is a run of ASCII marks after it, so such words go straight
-    to the file's BPE model, in the byte-level alphabet; all others through the tokenizer.
-
-    Words are remembered in two generations of MEMO_WORDS: when the newer is full it
-    becomes the older, from which words in use move on. Nothing grows with the corpus.
+    words, one after another; a special token in a text is one word or part of one. Latin
+    letters below U+0180 are in normal form and a run of them is one pre-token, as is a run
+    of ASCII marks after it, so the parts of such words go straight to the file's BPE model,
+    in the byte-level alphabet; all other words go through the tokenizer. That holds for
+    files whose normaliser lowers letters and whose specials hold marks: others, found out
+    on loading, take the tokenizer for all words.
+
+    Words are split and numbered in Arrow, parts of words are remembered in two generations
+    of MEMO_PARTS: when the newer is full it becomes the older, from which parts in use move
+    on. Nothing grows with the corpus.
     """
 
     def __init__(self, path: str):
@@ -68,48 +73,74 @@ class WordEncoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are parallel already
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-
-    def pieces(self, word: str) -> bytes:
-        """Ids of one pre-token, a lower-cased run of letters or a run of marks, straight from the model."""
-        known = self.memo.get(word)
-        if known is None:
-            known = self.older.get(word)
-        if known is None:
-            mapped = word if word.isascii() else "".join(map(BYTE_CHARS.__getitem__, word.encode()))
-            known = array("I", [t.id for t in self.tokenizer.model.tokenize(mapped)]).tobytes()
-        self.memo[word] = known
-        return known
-
-    def learn(self, words: Iterable[str]) -> None:
-        other = []
-        for word in words:
-            known = self.older.get(word)
+        self.latin = LATIN if self._shortcut_holds() else "^$"
+
+    def _shortcut_holds(self) -> bool:
+        """Whether parts of words encode as the words do, on words of each kind of part."""
+        samples = ["Word", "straße", "ÉTÉ", "don't", "end.", "x!?", "A,", "ÿ...", "the\"", "ŉ-"]
+        specials = [added.content for added in self.tokenizer.get_added_tokens_decoder().values()]
+        if any(re.fullmatch(LATIN, special) for special in specials):
+            return False
+        for word in samples:
+            found = re.fullmatch(LATIN, word)
+            if found and self._whole([word])[0] != b"".join(map(self._model, filter(None, (found[1].lower(), found[2])))):
+                return False
+        return True
+
+    def _whole(self, words: list[str]) -> list[bytes]:
+        return [array("I", found.ids).tobytes() for found in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _model(self, part: str) -> bytes:
+        mapped = part if part.isascii() else "".join(map(BYTE_CHARS.__getitem__, part.encode()))
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(mapped)]).tobytes()
+
+    def _remembered(self, parts: list[str], encode) -> list[bytes]:
+        """Ids of different parts; ``encode`` makes those of new ones."""
+        out = [self.memo.get(part) for part in parts]
+        missing = [i for i, ids in enumerate(out) if ids is None]
+        if len(self.memo) + len(missing) > MEMO_PARTS:
+            self.older, self.memo = self.memo, {}
+        new = []
+        for i in missing:
+            known = self.older.get(parts[i])
             if known is None:
-                stem = word.rstrip(MARKS)
-                lower = stem.lower()
-                if not (stem.isalpha() and lower.isalpha() and max(stem) < LATIN_END):
-                    other.append(word)
-                    continue
-                known = self.pieces(lower)
-                if len(stem) < len(word):
-                    known += self.pieces(word[len(stem) :])
-            self.memo[word] = known
-        for word, found in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
-            self.memo[word] = array("I", found.ids).tobytes()
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [text.replace("\n", " ").split(" ") for text in texts]
-        words = set().union(*split)
-        new = words.difference(self.memo)
-        if new:
-            if len(self.memo) + len(new) > MEMO_WORDS:
-                self.older, self.memo = self.memo, {}
-                new = words
-            self.learn(new)
-        return [b"".join(map(self.memo.__getitem__, own)) for own in split]
+                new.append(i)
+            else:
+                out[i] = self.memo[parts[i]] = known
+        for i, ids in zip(new, encode([parts[i] for i in new]), strict=True):
+            out[i] = self.memo[parts[i]] = ids
+        return out
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, one after another, and how many each text has."""
+        split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary
+        parts = pc.extract_regex(words, self.latin)
+        plain = pc.is_valid(parts)
+        first = pc.utf8_lower(pc.struct_field(parts, "a"))
+        second = pc.struct_field(parts, "b")
+        if not pc.any(plain).as_py():
+            first = second = pa.nulls(len(words), pa.string())
+        listed = pa.concat_arrays([first.cast(pa.string()), second.cast(pa.string())]).dictionary_encode()
+        pieces = self._remembered(listed.dictionary.to_pylist(), lambda new: list(map(self._model, new)))
+        others = pc.filter(words, pc.invert(plain))
+        # A blank keeps whole words apart from parts of the same letters.
+        pieces += self._remembered([" " + word for word in others.to_pylist()], lambda new: self._whole([word[1:] for word in new]))
+        pieces.append(b"")
+        sizes = np.fromiter(map(len, pieces), dtype="int64", count=len(pieces)) // 4
+        pool, starts = np.frombuffer(b"".join(pieces), dtype="<i4"), np.cumsum(sizes) - sizes
+        # Each word is two pieces: its parts, or the whole word and nothing.
+        at = listed.indices.fill_null(len(pieces) - 1).to_numpy().astype("int64").reshape(2, -1)
+        rest = ~plain.to_numpy(zero_copy_only=False)
+        at[0, rest] = len(listed.dictionary) + np.arange(len(others))
+        chosen = at[:, coded.indices.to_numpy()].T.ravel()
+        lengths = sizes[chosen]
+        before = np.concatenate([[0], np.cumsum(lengths)])
+        ids = pool[np.arange(before[-1]) + np.repeat(starts[chosen] - before[:-1], lengths)]
+        return ids, np.diff(before[2 * split.offsets.to_numpy().astype("int64")])
 
 
 @lru_cache(maxsize=2)
@@ -117,18 +148,29 @@ def word_encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
-def _encode_part(tokenizer_path: str, end_id: int):
-    def encode_part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import numpy as np
+ENCODED = pa.schema(
+    [("doc_id", pa.int64()), ("part", pa.int32()), ("part_start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32()))]
+)
+
 
+def _encode_part(tokenizer_path: str, end_id: int):
+    def encode_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, at, part = word_encoder(tokenizer_path), 0, TaskContext.get().partitionId()
-        end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
-            ids = [np.frombuffer(raw + end, dtype="<i4") for raw in encode(batch["text"].tolist())]
-            sizes = np.array([len(x) for x in ids], dtype="int64")
-            starts = at + np.cumsum(sizes) - sizes
-            at += int(sizes.sum())
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "part": part, "part_start": starts, "n_tokens": sizes, "ids": ids})
+            rows = batch.num_rows
+            if not rows:
+                continue
+            found, sizes = encode(batch.column(1))
+            ends = np.cumsum(sizes + 1)
+            ids = np.full(ends[-1], end_id, dtype="int32")
+            inner = np.ones(len(ids), dtype=bool)
+            inner[ends - 1] = False
+            ids[inner] = found
+            lists = pa.ListArray.from_arrays(np.concatenate([[0], ends]).astype("int32"), ids)
+            starts = at + ends - sizes - 1
+            at += int(ends[-1])
+            columns = [batch.column(0), pa.array([part] * rows, pa.int32()), pa.array(starts), pa.array(sizes + 1), lists]
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, ENCODED, strict=True)], schema=ENCODED)
 
     return encode_part
 
@@ -136,10 +178,10 @@ def _encode_part(tokenizer_path: str, end_id: int):
 def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = END_ID) -> None:
     """Encode ``docs`` and write the files, one per range of doc_id."""
     ship(docs.sparkSession)
-    texts = docs.select("doc_id", text_or_empty().alias("text"))
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"))
     tie = F.xxhash64("text")
     placed = texts.repartitionByRange("doc_id", tie).sortWithinPartitions("doc_id", tie, "text")
-    rows = placed.mapInPandas(
+    rows = placed.mapInArrow(
         _encode_part(tokenizer_path, end_id), "doc_id bigint, part int, part_start bigint, n_tokens bigint, ids array<int>"
     )
     (

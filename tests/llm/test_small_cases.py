@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from bookpipe.llm import bpe, decontaminate, fingerprints, html_text, language_id, minhash, quality, sharding, token_counts, token_files
@@ -82,16 +83,27 @@ def test_token_files(spark, docs, none, tmp_path):
 
 
 def test_word_encoder_equals_the_tokenizer(monkeypatch):
+    """The library as it is: special tokens in a text are found."""
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(WORDS)
-    plain.encode_special_tokens = True
-    texts = ["(ab)... x##! it's. l'eau, \u0130a!! a1%% <|endoftext|> e\u0301.. \x1c.a \u00aa\u00ba!!", "  ", "", "Eau eau, EAU% %% \u4e2d\u6587\u3002 a\u00a0b", LONG]
-    for words in (500_000, 3):
-        monkeypatch.setattr(token_files, "MEMO_WORDS", words)
+    assert len(plain.encode("see <|endoftext|> here", add_special_tokens=False).ids) == 3
+    texts = [
+        "(ab)... x##! it's. l'eau, \u0130a!! a1%% <|endoftext|> e\u0301.. \x1c.a \u00aa\u00ba!!",
+        "  ",
+        "",
+        "Eau eau, EAU% %% \u4e2d\u6587\u3002 a\u00a0b",
+        LONG,
+        "see <|endoftext|> here a<|startoftext|>b <|ENDOFTEXT|> <|endoftext|>",
+        "\u0130stanbul \u0149 \u017f \u00aa \u00df \u00c9\u00c0 \u01c5 \u0133 \u212b x\ty\n\nz\r \u0085 end",
+    ]
+    for parts in (500_000, 3):
+        monkeypatch.setattr(token_files, "MEMO_PARTS", parts)
         encode = token_files.WordEncoder(WORDS)
+        assert encode.latin == token_files.LATIN
         for group in (texts, texts[:1], texts[3:], texts):
-            got = [np.frombuffer(raw, dtype="<u4").tolist() for raw in encode(group)]
+            ids, sizes = encode(pa.array(group))
+            got = [part.tolist() for part in np.split(ids, np.cumsum(sizes)[:-1])]
             assert got == [plain.encode(t, add_special_tokens=False).ids for t in group]
 
 
