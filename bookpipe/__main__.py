@@ -23,6 +23,9 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--banned", action="append", default=[], help="banned title phrase")
     parser.add_argument("--language", default="English", help="language a book must be in")
     parser.add_argument("--count-mode", choices=("rows", "users"), default="rows", help="what counts as a saved review")
+    parser.add_argument("--sort-by", choices=("listing", "reviews"), default="listing", help="which listed books come first")
+    parser.add_argument("--reviews-per-page", type=int, default=1, help="reviews to expect on a page")
+    parser.add_argument("--follow-pager", action="store_true", help="a book's pages end where the pager does")
     parser.add_argument("--dedup-first", action="store_true", help="count each user once in a quota")
     parser.add_argument("--on-error", choices=("quarantine", "fail"), default="quarantine", help="what a bad page does")
     parser.add_argument("--batch", help="name of the run; by default it follows from pages, parameters and stored batches")
@@ -38,6 +41,9 @@ def config_of(args: argparse.Namespace) -> RunConfig:
         count_mode=args.count_mode,
         dedup_first=args.dedup_first,
         on_error=args.on_error,
+        sort_by=args.sort_by,
+        reviews_per_page=args.reviews_per_page,
+        follow_pager=args.follow_pager,
     )
 
 

@@ -24,6 +24,8 @@ class RunConfig:
     count_mode: str = "rows"
     # False: the quota is counted on candidates, repeats by one user included.
     dedup_first: bool = False
+    # Books in the order they are listed in, or most reviewed first, by their captured pages.
+    sort_by: str = "listing"
     # Complete reviews to expect on a review page: how many pages are read at first.
     reviews_per_page: int = 1
     # Whether a book's pages end at the first whose pager has no next page.
@@ -36,6 +38,8 @@ class RunConfig:
             raise ValueError("banned_titles must be a list of phrases")
         if self.num_books < 0 or self.num_reviews < 0:
             raise ValueError("num_books and num_reviews must not be negative")
+        if self.sort_by not in ("listing", "reviews"):
+            raise ValueError(f"unknown sort_by {self.sort_by!r}")
         if self.reviews_per_page < 1:
             raise ValueError("reviews_per_page must be positive")
         if self.count_mode not in ("rows", "users"):

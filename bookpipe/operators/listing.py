@@ -64,6 +64,13 @@ def frontier(
     return first_k(without(links, satisfied, "url"), order, k, small=small)
 
 
+def all_links(pages: DataFrame, satisfied: DataFrame, profile: SiteProfile = SHOP) -> DataFrame:
+    """Links of all listing pages that are not satisfied."""
+    # A capture may have landed twice: one of equal ones is taken by what it lists.
+    listed = one_per_key(read_listing_pages(pages, profile), ["page_no"], [F.xxhash64("links")])
+    return checkpointed(without(links_of(listed), satisfied, "url"))
+
+
 def unsatisfied_links(
     pages: DataFrame, satisfied: DataFrame, k: int, profile: SiteProfile = SHOP, first_slice: int = 1_000
 ) -> DataFrame:
@@ -77,9 +84,7 @@ def unsatisfied_links(
     found, n, start, width = None, 0, ends["first"] or 0, max(k, first_slice)
     while True:
         part = pages.where((F.col("page_no") >= start) & (F.col("page_no") < start + width))
-        # A capture may have landed twice: one of equal ones is taken by what it lists.
-        listed = one_per_key(read_listing_pages(part, profile), ["page_no"], [F.xxhash64("links")])
-        links = checkpointed(without(links_of(listed), satisfied, "url"))
+        links = all_links(part, satisfied, profile)
         found = links if found is None else found.unionByName(links)
         n, start, width = n + links.count(), start + width, width * 4
         if n >= k or ends["last"] is None or start > ends["last"]:

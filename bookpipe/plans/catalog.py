@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -1410,6 +1411,20 @@ def landed_covers(spark: SparkSession, d: str) -> DataFrame:
     return image_manifest(written.select("isbn", "image_url"), have).select("isbn", "image_url", "status")
 
 
+@query(
+    "run_most_reviewed",
+    SQL_RUN.replace("row_number() over (order by p_partkey) rk from part", "row_number() over (order by p_partkey desc) rk from part")
+    + """
+select 'https://shop.example/dp/' || isbn || '/' as url, coalesce(verdict, 'due') as verdict from judged
+""",
+)
+def run_most_reviewed(spark: SparkSession, d: str) -> DataFrame:
+    """A run over the most reviewed of the listed books; pages of parts have more reviews the higher their key."""
+    due = due_books(P.captures(spark, d), P.SavedLines(spark, d), replace(run_config(spark, d), sort_by="reviews"))
+    bad = due.quarantine.select("url", F.concat_ws(": ", "field", "reason").alias("verdict"))
+    return due.valid.select(F.col("book_url").alias("url"), F.lit("due").alias("verdict")).unionByName(bad)
+
+
 @query("run_by_arguments", SQL["run_increment_quarantine"])
 def run_by_arguments(spark: SparkSession, d: str) -> DataFrame:
     """A run's parameters as the command line gives them."""

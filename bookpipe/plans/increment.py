@@ -16,7 +16,7 @@ from bookpipe.functions.urls import normalize_url
 from bookpipe.operators.books import parse_books
 from bookpipe.operators.counts import orphans, satisfied_urls, work_target
 from bookpipe.operators.joins import BROADCAST_ROWS, members, narrow, unseen, with_saved_count, without
-from bookpipe.operators.listing import unsatisfied_links
+from bookpipe.operators.listing import all_links, unsatisfied_links
 from bookpipe.operators.ranking import first_k, one_per_key, top_per_group
 from bookpipe.operators.reviews import fill_reviews, read_review_pages, reviews_of, up_to_last
 from bookpipe.operators.validate import split_by_verdict
@@ -82,12 +82,15 @@ def due_books(
     target = work_target(satisfied.count(), config.num_books, config.surplus)
 
     listing = latest(captures.listing, ["page_no"])
-    links = unsatisfied_links(listing, satisfied.withColumnRenamed("book_url", "url"), target, profile)
-    listed = first_k(links, ["page_no", "pos"], target)
+    landed = captures.books.withColumn("url", normalize_url(F.col("url")))
+    done = satisfied.withColumnRenamed("book_url", "url")
+    if config.sort_by == "reviews":
+        listed = most_reviewed_links(all_links(listing, done, profile), landed, target, profile)
+    else:
+        listed = first_k(unsatisfied_links(listing, done, target, profile), ["page_no", "pos"], target)
     # A book listed twice is worked once, at its first place.
     books_due = checkpointed(listed.groupBy("url").agg(F.min("rank").alias("rank")))
 
-    landed = captures.books.withColumn("url", normalize_url(F.col("url")))
     pages = pages_of(landed, books_due, "url", ["url"], target, broadcast_rows)
     seen = Observation("books")
     parsed = checkpointed(
@@ -117,6 +120,18 @@ def due_books(
     )
 
 
+def most_reviewed_links(links: DataFrame, books: DataFrame, k: int, profile: SiteProfile = SHOP) -> DataFrame:
+    """The first ``k`` links by what the newest captured page of their book says of its reviews.
+
+    Every captured page of a listed book is parsed for that, since any may be the first;
+    books without a page, or without a count on it, come last, in the order of the listing.
+    """
+    wanted = members(books.select("url", "page_id"), links, "url").groupBy("url").agg(F.max("page_id").alias("page_id"))
+    said = one_row_a_page(parse_books(books.join(wanted, ["url", "page_id"]), profile=profile)).select("url", "review_count")
+    counted = checkpointed(links.join(said, "url", "left"))
+    return first_k(counted, [F.desc_nulls_last("review_count"), "page_no", "pos"], k).drop("review_count")
+
+
 def one_row_a_page(parsed: DataFrame) -> DataFrame:
     """One of several captures with one id, by what they say: the same in every attempt."""
     return one_per_key(parsed, ["url", "page_id"], [F.xxhash64(*(c for c in parsed.columns if c not in ("url", "page_id")))])

@@ -119,6 +119,8 @@ def work_batch(
     profile: SiteProfile = SHOP,
 ) -> Progress:
     """Work what a batch has brought, and publish what it changes."""
+    if config.sort_by != "listing":
+        raise ValueError("a stream takes books in the order they are listed in")
     ledger = follow_one_ledger(stores)
     store, own, label = stores[-1], f"{name}-*", f"{name}-{batch:012d}"
     archive.put("landed", laid_out(captures), batch, by=("kind", "bucket"))

@@ -12,6 +12,15 @@ def test_defaults():
     assert config_of(arguments(PLACES)) == RunConfig(5, 5)
 
 
+def test_parameters_of_reading():
+    config = RunConfig(5, 5, sort_by="reviews", reviews_per_page=10, follow_pager=True)
+    assert config_of(arguments(["--sort-by", "reviews", "--reviews-per-page", "10", "--follow-pager", *PLACES])) == config
+    for wrong in ({"sort_by": "title"}, {"reviews_per_page": 0}):
+        with pytest.raises(ValueError):
+            RunConfig(**wrong)
+    assert arguments(["--batch", "b1", *PLACES]).batch == "b1"
+
+
 def test_every_parameter():
     given = "1000 20 --banned gizmo --banned rod --language French --count-mode users --dedup-first --on-error fail"
     config = RunConfig(1000, 20, ("gizmo", "rod"), "French", count_mode="users", dedup_first=True, on_error="fail")
