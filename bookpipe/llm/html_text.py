@@ -1,9 +1,9 @@
 """Main text of web pages by equivalence classes of template tokens.
 
 A page's tokens are its container elements, each told apart by its path of containers
-(``html/body/article``). Pages of one host share a template: tokens with the same
-occurrence vector (how often each stands in each of the host's pages) form an
-equivalence class. A vector is not gathered but summed as a hash over pages, which
+(``html/body/article``), and its short blocks of text. Pages of one host share a template:
+tokens with the same occurrence vector (how often each stands in each of the host's pages)
+form an equivalence class. A vector is not gathered but summed as a hash over pages, which
 combines before the shuffle, so a host of any size costs one row per token and task.
 A class is valid if its tokens stand once in each page that has them, in at least half of
 the host's pages. Paths nest valid classes into the host's template. What lies between
@@ -11,19 +11,23 @@ template tokens are slots; the slot taken is the deepest template token, outside
 that are no article (menus, headers, footers, asides, adverts, forms, scripts ...),
 whose element holds all text, outside such parts, of the article: of the host's article or
 main element if that has at least ``SHARE`` of the text, or else of the page. Its text is then
-extracted from each page, again without such parts.
+extracted from each page, again without such parts, and without blocks of up to ``WORDS``
+words of valid classes: what at least half of a host's pages say, if it has ``PAGES`` of them.
 
 Cases: null or empty html gives an empty text. Pages whose url has no host form one
 group. Where a host has no such slot, or a page lacks its host's slot, the article, or
 else all text outside the parts named, is taken; where that leaves nothing of one of
-these, its parts named so by class or id only are taken too. Names match as whole class or id tokens, and never
-on html, body, main and article. Tags that never close, attributes with
+these, its parts named so by class or id only are taken too, and where nothing is left at
+all, blocks of the template. Names match as class or id tokens or as their parts between
+hyphens and underscores (but not after ``has``, ``no`` and the like), and never on html,
+body, main and article. Tags that never close, attributes with
 unpaired quotes and pages that break off are read in one pass, in linear time.
 Repeated rows stay repeated; other columns pass through.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections.abc import Iterator
@@ -34,11 +38,17 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bookpipe.llm.common import ship, text_or_empty
+from bookpipe.llm.common import shared_path, ship, text_or_empty
 
 SHARE = 0.9
-#: Pages of one host are joined with its template in so many portions.
-PORTIONS = 32
+#: Pages of one host go to its template in portions of so many.
+PORTION = 1_000
+#: Hosts whose templates may be sent to all pages.
+SENT_HOSTS = 50_000
+#: Words of a block that may be of a template, and pages that show a host's blocks.
+WORDS, PAGES = 30, 4
+#: What paths of blocks start with.
+BLOCK = "\u00b6"
 #: Paths of elements nested deeper end here.
 DEEPEST = 64
 
@@ -48,6 +58,8 @@ NO_ARTICLE = frozenset("head title nav header footer aside form button select op
 NO_ARTICLE_WORDS = frozenset(
     "ad ads advert adverts advertisement banner sponsor sponsored promo menu nav navbar navigation breadcrumb breadcrumbs sidebar aside footer header masthead cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe signup comment comments reply replies disqus related share sharing social widget pagination pager".split()
 )
+#: Before a name, these say that something else has such a part.
+RELATING = frozenset("has have no non not with without is hide show".split())
 #: What holds a page's text is not judged by names.
 FRAME = frozenset("html body main article".split())
 RAW = frozenset("script style noscript iframe textarea template".split())
@@ -60,6 +72,7 @@ TAG = re.compile(
     re.DOTALL,
 )
 NAMED = re.compile(r"\b(class|id)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.IGNORECASE)
+PARTED = re.compile(r"[-_]+")
 RAW_END = {name: re.compile(rf"</{name}", re.IGNORECASE) for name in RAW}
 
 
@@ -74,6 +87,17 @@ class Part(NamedTuple):
     hidden: bool
 
 
+def names_no_article(value: str) -> bool:
+    """Whether a class or id attribute names a part that is no article."""
+    for token in value.split():
+        if token in NO_ARTICLE_WORDS:
+            return True
+        parts = PARTED.split(token)
+        if len(parts) > 1 and RELATING.isdisjoint(parts) and not NO_ARTICLE_WORDS.isdisjoint(parts):
+            return True
+    return False
+
+
 def describe(name: str, attrs: str) -> tuple[str, bool]:
     """An element's step in a path, and whether it is no part of an article."""
     step, outside = name, name in NO_ARTICLE
@@ -81,7 +105,7 @@ def describe(name: str, attrs: str) -> tuple[str, bool]:
         for _, *values in NAMED.findall(attrs):
             value = "".join(values).strip().lower()
             step += "." + "-".join(value.split())
-            outside = outside or (name not in FRAME and not NO_ARTICLE_WORDS.isdisjoint(value.split()))
+            outside = outside or (name not in FRAME and names_no_article(value))
     return step, outside
 
 
@@ -125,19 +149,40 @@ def walk(page: str) -> Iterator[tuple[str, str, Part]]:
         yield "text", page[at:], stack[-1]
 
 
+def block_mark(text: str) -> str | None:
+    """The token of a block of text, if it is short enough to be of a template."""
+    words = text.split()
+    if not words or len(words) > WORDS:
+        return None
+    return f"{BLOCK}{hashlib.blake2b(' '.join(words).encode('utf-8', 'surrogatepass'), digest_size=8).hexdigest()}"
+
+
 def tokens(page: str) -> dict[str, tuple[int, bool, int]]:
     """Path of each token: its count, whether it is outside, characters of article text in it."""
     counts: dict[str, int] = {"": 1}
     sizes: dict[str, int] = {}
     outside = {"": False}
+    blocks: dict[str, int] = {}
+    block: list[str] = []
+
+    def end_block() -> None:
+        mark = block_mark(html.unescape("".join(block))) if block else None
+        if mark is not None:
+            blocks[mark] = blocks.get(mark, 0) + 1
+        block.clear()
+
     for kind, text, part in walk(page):
         if kind == "open":
             counts[part.path] = counts.get(part.path, 0) + 1
             outside[part.path] = part.outside
-        elif kind == "text" and not part.outside:
+        elif kind == "gap":
+            end_block()
+        elif not part.outside:
+            block.append(text)
             size = len("".join(text.split()))
             if size:
                 sizes[part.path] = sizes.get(part.path, 0) + size
+    end_block()
     total = dict.fromkeys(counts, 0)
     for path, size in sizes.items():
         while True:
@@ -146,27 +191,40 @@ def tokens(page: str) -> dict[str, tuple[int, bool, int]]:
             if not path:
                 break
             path = path.rpartition("/")[0]
-    return {p: (n, outside[p], total[p]) for p, n in counts.items()}
+    found = {p: (n, outside[p], total[p]) for p, n in counts.items()}
+    return found | {mark: (n, False, 0) for mark, n in blocks.items()}
 
 
-def slot_text(page: str, slot: str | None) -> str:
+def slot_text(page: str, slot: str | None, template: frozenset[str] = frozenset()) -> str:
     """Text of the slot, or of the article, or of all; each without what is outside, unless that leaves nothing."""
-    pieces: list[list[str]] = [[] for _ in range(6)]
+    kept: list[list[str]] = [[] for _ in range(6)]
+    block: list[list[str]] = [[] for _ in range(6)]
+
+    def end_block() -> None:
+        for pieces, texts in zip(block, kept, strict=True):
+            if pieces:
+                joined = " ".join(html.unescape("".join(pieces)).split())
+                if joined and not (template and block_mark(joined) in template):
+                    texts.append(joined)
+                pieces.clear()
+
     for kind, text, part in walk(page):
-        piece = html.unescape(text) if kind == "text" else " "
+        if kind != "text":
+            if kind == "gap":
+                end_block()
+            continue
         inside = slot is not None and (part.path == slot or part.path.startswith(slot + "/"))
-        held = (inside, "/article" in part.path or "/main" in part.path, True)
-        for k, here in enumerate(held):
-            if here or kind != "text":
-                if not part.outside or kind != "text":
-                    pieces[k].append(piece)
-                if not part.hidden or kind != "text":
-                    pieces[k + 3].append(piece)
+        for k, here in enumerate((inside, "/article" in part.path or "/main" in part.path, True)):
+            if here:
+                if not part.outside:
+                    block[k].append(text)
+                if not part.hidden:
+                    block[k + 3].append(text)
+    end_block()
     for k in (0, 3, 1, 4, 2, 5):  # each filtered, then unfiltered
-        joined = " ".join("".join(pieces[k]).split())
-        if joined:
-            return joined
-    return ""
+        if kept[k]:
+            return " ".join(kept[k])
+    return slot_text(page, slot) if template else ""
 
 
 def _list_tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -179,8 +237,9 @@ def _list_tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        found = [slot_text(page, slot) for page, slot in zip(batch["_html"], batch["_slot"], strict=True)]
-        yield batch.drop(columns=["_html", "_slot"]).assign(text=found, n_chars=np.array([len(t) for t in found], dtype="int64"))
+        rows = zip(batch["_html"], batch["_slot"], batch["_blocks"], strict=True)
+        found = [slot_text(page, slot, frozenset(() if blocks is None else blocks)) for page, slot, blocks in rows]
+        yield batch.drop(columns=["_html", "_slot", "_blocks"]).assign(text=found, n_chars=np.array([len(t) for t in found], dtype="int64"))
 
 
 def host_of(url: Column) -> Column:
@@ -207,8 +266,22 @@ def token_classes(pages: DataFrame) -> DataFrame:
     return summed.join(roots, "_host").withColumnRenamed("_class", "class")
 
 
+def is_block() -> Column:
+    return F.col("path").startswith(BLOCK)
+
+
+def template_blocks(classes: DataFrame) -> DataFrame:
+    """(host, blocks): the blocks of text that stand once on at least half of a host's pages.
+
+    At most twice as many as a page has blocks.
+    """
+    shared = (F.col("support") == F.col("total")) & (F.col("support") * 2 >= F.col("pages")) & (F.col("pages") >= PAGES)
+    return classes.where(is_block() & shared).groupBy("_host").agg(F.collect_list("path").alias("_blocks"))
+
+
 def slots(classes: DataFrame, share: float = SHARE) -> DataFrame:
     """(host, slot): the slot of the main text of each host that has one."""
+    classes = classes.where(~is_block())
     valid = classes.groupBy("_host", "class").agg(F.max("support").alias("_s"), F.max("total").alias("_t"), F.max("pages").alias("_p"))
     valid = valid.where((F.col("_s") == F.col("_t")) & (F.col("_s") * 2 >= F.col("_p"))).select("_host", "class")
     held = classes.join(valid, ["_host", "class"]).where(~F.col("outside") & (F.col("path") != "") & (F.col("size") > 0))
@@ -223,14 +296,26 @@ def slots(classes: DataFrame, share: float = SHARE) -> DataFrame:
 def extract(pages: DataFrame) -> DataFrame:
     """``pages`` (page_id, url, html, ...) without html, with text and n_chars."""
     ship(pages.sparkSession)
-    known = slots(token_classes(pages.select("page_id", "url", "html")))
-    # A host may hold a third of all pages: its template is repeated, one row for each portion.
-    known = known.withColumn("_portion", F.explode(F.sequence(F.lit(0), F.lit(PORTIONS - 1))))
-    portion = F.pmod(F.xxhash64("page_id", "url", "html"), F.lit(PORTIONS)).cast("int")
-    placed = pages.drop("text", "n_chars").withColumn("_host", host_of(F.col("url"))).withColumn("_portion", portion)
-    joined = placed.join(known, ["_host", "_portion"], "left").drop("_host", "_portion")
+    spark, path = pages.sparkSession, shared_path(pages.sparkSession, "classes")
+    token_classes(pages.select("page_id", "url", "html")).write.parquet(path)  # pages are walked once for all that follows
+    classes = spark.read.parquet(path)
+    sizes = classes.where("path = ''").select("_host", "pages")
+    known = sizes.join(slots(classes), "_host", "left").join(template_blocks(classes), "_host", "left")
+    known = known.where("_slot is not null or _blocks is not null")
+    placed = pages.drop("text", "n_chars").withColumn("_host", host_of(F.col("url")))
+    if sizes.count() <= SENT_HOSTS:
+        joined = placed.join(F.broadcast(known.drop("pages")), "_host", "left").drop("_host")
+    else:
+        # A host may hold a third of all pages: its template is repeated, one row for each portion of its pages.
+        parts = F.ceil(F.col("pages") / PORTION).cast("bigint")
+        known = known.withColumn("_portion", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1))).drop("pages")
+        dealt = F.pmod(F.xxhash64("page_id", "url", "html"), F.col("_parts"))
+        # One row for every PORTION pages at most.
+        placed = placed.join(F.broadcast(sizes.where(F.col("pages") > PORTION).select("_host", parts.alias("_parts"))), "_host", "left")
+        placed = placed.withColumn("_portion", F.coalesce(dealt, F.lit(0).cast("bigint"))).drop("_parts")
+        joined = placed.join(known, ["_host", "_portion"], "left").drop("_host", "_portion")
     rest = [c for c in pages.columns if c not in ("html", "text", "n_chars")]
-    ready = joined.select(*rest, text_or_empty("html").alias("_html"), "_slot")
+    ready = joined.select(*rest, text_or_empty("html").alias("_html"), "_slot", "_blocks")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ready.schema if f.name in rest)
     return ready.mapInPandas(_extract, f"{fields}, text string, n_chars bigint")
 
