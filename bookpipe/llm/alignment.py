@@ -32,6 +32,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+import string
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -39,6 +40,7 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,12 +48,14 @@ from pyspark.sql import functions as F
 from bookpipe.llm.common import shared_path, ship, text_or_empty
 from bookpipe.llm.packing import pack, pack_ids, unpack, unpack_ids
 from bookpipe.llm.sparse import Csr, one_each, product, runs, summed, transposed
-from bookpipe.llm.token_files import byte_chars
+from bookpipe.llm.token_files import BYTE_CHARS
 
 #: Characters and documents of a chunk; a longer text is a chunk of its own, in pieces of this size.
 CHUNK, CHUNK_ROWS = 4_000_000, 8_192
 #: Where both tokenizers start anew, and what shows that a text has such a blank after white space.
 CUT, DOUBTFUL = re.compile(r"(?<=\S)(?= )"), re.compile(r"\s ")
+#: A blank with Latin letters, then ASCII marks: at most two pre-tokens of A.
+PLAIN = "^(?P<a> [A-Za-zªµºÀ-ÖØ-öø-ſ]+)(?P<b>[" + re.escape(string.punctuation) + "]*)$"
 BLANK = "▁"
 SUMS = ("n_a", "n_b", "n_groups", "n_links", "n_shared")
 
@@ -77,7 +81,7 @@ class Tokenizers:
         self.a = Tokenizer.from_file(a_path)
         self.a.encode_special_tokens = True  # their strings are plain text here
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
-        byte_of = {char: bytes([byte]) for byte, char in enumerate(byte_chars())}
+        byte_of = {char: bytes([byte]) for byte, char in enumerate(BYTE_CHARS)}
         names = sorted((i, name) for name, i in self.a.get_vocab(with_added_tokens=True).items())
         self.a_bytes = [b""] * (names[-1][0] + 1)
         for i, name in names:
@@ -91,6 +95,10 @@ class Tokenizers:
                 self.b_bytes.append(piece.replace(BLANK, " ").encode())
                 self.cuts &= BLANK not in piece.lstrip(BLANK)
         self.a_sizes, self.b_sizes = (np.array(list(map(len, x)), dtype="int64") for x in (self.a_bytes, self.b_bytes))
+        # Whether the file is of the kind that PLAIN is for: no normaliser, and parts that encode as they do within a text.
+        samples = [" word", " Été,", " x!?", " don.", " µ(", " Straße...", " a$", " of'"]
+        self.plain = True
+        self.plain = self.a.normalizer is None and self.encode_a(samples) == self._whole(samples)
         self.written = [f"{i}{mark}" for x, marks in ((self.a_bytes, ",|"), (self.b_bytes, ",;")) for mark in marks for i in range(len(x))]
 
     def cut(self, text: str) -> list[str]:
@@ -102,8 +110,28 @@ class Tokenizers:
         return [f" {word}" for word in text[1:].split(" ")]
 
     def encode(self, units: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        a = [found.ids for found in self.a.encode_batch_fast(units, add_special_tokens=False)]
-        return a, self.b.encode([unit[1:] for unit in units], num_threads=1)
+        return self.encode_a(units), self.b.encode([unit[1:] for unit in units], num_threads=1)
+
+    def _whole(self, units: list[str]) -> list[list[int]]:
+        return [found.ids for found in self.a.encode_batch_fast(units, add_special_tokens=False)]
+
+    def _part(self, part: str) -> list[int]:
+        mapped = part.replace(" ", BYTE_CHARS[32]) if part.isascii() else "".join(map(BYTE_CHARS.__getitem__, part.encode()))
+        return [token.id for token in self.a.model.tokenize(mapped)]
+
+    def encode_a(self, units: list[str]) -> list[list[int]]:
+        """Ids of A. A blank with letters and a run of marks are pre-tokens: they go straight to the model, each once."""
+        if not self.plain:
+            return self._whole(units)
+        parts = pc.extract_regex(pa.array(units, pa.string()), PLAIN)
+        others = np.flatnonzero(~pc.is_valid(parts).to_numpy(zero_copy_only=False)).tolist()
+        coded = pa.concat_arrays([pc.struct_field(parts, name).cast(pa.string()) for name in ("a", "b")]).dictionary_encode()
+        pieces = list(map(self._part, coded.dictionary.to_pylist())) + [[]]
+        at = coded.indices.fill_null(len(pieces) - 1).to_numpy().reshape(2, -1).tolist()
+        out = [pieces[i] + pieces[j] for i, j in zip(*at, strict=True)]
+        for i, ids in zip(others, self._whole([units[i] for i in others]), strict=True):
+            out[i] = ids
+        return out
 
 
 @lru_cache(maxsize=2)
