@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bookpipe.llm import bpe
+from bookpipe.llm.common import shared_path
 
 #: Lengths to a block; sums run over blocks, then within each.
 BLOCK = 1_024
@@ -68,5 +69,8 @@ def at_limit(sums: DataFrame, limit: int) -> DataFrame:
 
 
 def token_counts(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text") -> DataFrame:
+    """The sums of :func:`suffix_sums`; the histogram is written once, so texts are encoded once."""
     ids = bpe.encode(docs.select(text), ranks_path, pattern, text=text, out="_encoded")
-    return suffix_sums(histogram(ids.select(F.floor(F.octet_length("_encoded") / 4).cast("bigint").alias("n_tokens"))))
+    path = shared_path(docs.sparkSession, "lengths")
+    histogram(ids.select(F.floor(F.octet_length("_encoded") / 4).cast("bigint").alias("n_tokens"))).write.parquet(path)
+    return suffix_sums(docs.sparkSession.read.parquet(path))
