@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bookpipe.llm.common import digest128, ship, text_or_empty
+from bookpipe.llm.common import digest128, release, ship, text_or_empty
 
 CHUNK = 65_536
 OVERLAP = 1_024
@@ -65,6 +65,7 @@ def _encode_texts(ranks_path: str, pattern: str):
         code = encoding(ranks_path, pattern)
         for texts in batches:
             yield texts.map(lambda text: to_bytes(code.encode_ordinary(text)))
+            release()
 
     return encode
 

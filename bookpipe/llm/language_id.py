@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from bookpipe.llm.common import ship, text_or_empty
+from bookpipe.llm.common import release, ship, text_or_empty
 
 BUCKETS = 1 << 15
 DIM = 16
@@ -195,6 +195,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         known = Model(*sent.value)
         for texts in batches:
             yield pd.DataFrame([predict_one(known, t) for t in texts], columns=["lang_pred", "score"])
+            release()
 
     with_it = docs.withColumn("_predicted", predicted(text_or_empty(text)))
     out = with_it.withColumn("lang_pred", F.col("_predicted.lang_pred")).withColumn("score", F.col("_predicted.score"))
@@ -216,4 +217,6 @@ def held_out_predictions(docs: DataFrame) -> DataFrame:
 def accepted(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose language is recognised, unchanged."""
     model = fit(docs.select("doc_id", "text", "lang"), ~held_out())
-    return predict(docs, model).where(~F.col("rejected")).select(*docs.columns)
+    # Whole rows go along as one column, so that columns of the same names as predictions stay as they are.
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), "text")
+    return predict(rows, model).where(~F.col("rejected")).select("_row.*")
