@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bookpipe.llm.common import digest128, shared_path, ship, text_or_empty
+from bookpipe.llm.common import digest128, release, shared_path, ship, text_or_empty
 
 CLASSES = 40
 ORDER = 4
@@ -57,7 +57,11 @@ VARIANTS = FOLDS + 1
 HOT = 65_536
 #: Characters and documents scored at a time; CHUNK_ROWS is a power of two.
 CHUNK, CHUNK_ROWS = 4_000_000, 4_096
-SHARD_CHARS, LEAST_SHARDS, MOST_SHARDS = 8_000_000, 8, 4_096
+SHARD_CHARS, LEAST_SHARDS, MOST_SHARDS = 3_000_000, 8, 1 << 20
+#: Sums that a task holds before it passes them on.
+HELD_SUMS = 4_000_000
+#: Trusted ids that may be broadcast.
+MOST_SENT = 2_000_000
 MASK, POINTS = (1 << 21) - 1, 0x110000
 POSTED = ["shard", "chunk", "grams", "held", "docs", "times", "folds", "keys", "trusted", "sums", "sizes"]
 
@@ -151,11 +155,11 @@ def kneser_ney(counts: np.ndarray) -> np.ndarray:
 
 def fit(trusted: DataFrame) -> np.ndarray | None:
     """The table of log probabilities, or None without trusted text."""
-    rows = count_grams(trusted).collect()  # at most SIZE rows
-    if not rows:
+    rows = count_grams(trusted).toArrow()  # at most SIZE rows
+    if not rows.num_rows:
         return None
     counts = np.zeros(SIZE, dtype="int64")
-    counts[[r["gram"] for r in rows]] = [r["n"] for r in rows]
+    counts[rows["gram"].to_numpy()] = rows["n"].to_numpy()
     return kneser_ney(counts)
 
 
@@ -228,6 +232,7 @@ def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             stop = min(stop, start + CHUNK_ROWS)
             yield batch.iloc[start:stop]
             start = stop
+            release()
 
 
 def _count_sharded(shards: int, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -315,6 +320,7 @@ def discounts(n1: float, n2: float, n3: float, n4: float) -> list[float]:
 def _merge(rows: pd.DataFrame) -> pd.DataFrame:
     """One row of a shard's distinct grams, with their counts by fold."""
     high, low = (np.concatenate(x) for x in zip(*map(_packed, rows["grams"]), strict=True))
+    release()
     key = mixed(high, low)
     _, counts = _table(key, np.concatenate([_large(x) for x in rows["n"]]).reshape(-1, FOLDS))
     _, first = np.unique(key, return_index=True)
@@ -357,9 +363,9 @@ def fit_base(trusted: DataFrame) -> Base:
         seen = np.flatnonzero(counts)
         yield pd.DataFrame({"point": seen, "n": counts[seen]})
 
-    rows = trusted.select(text_or_empty().alias("text")).mapInPandas(count, "point int, n bigint").groupBy("point").agg(F.sum("n").alias("n")).collect()
+    rows = trusted.select(text_or_empty().alias("text")).mapInPandas(count, "point int, n bigint").groupBy("point").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(POINTS)  # at most one row for each code point
-    counts[[r["point"] for r in rows]] = [r["n"] for r in rows]
+    counts[rows["point"].to_numpy()] = rows["n"].to_numpy()
     kind = class_of()[np.minimum(np.arange(POINTS), (1 << 16) - 1)]
     kind[0] = 0
     kinds = np.bincount(kind[counts > 0], minlength=CLASSES) + 1.0  # Witten and Bell: one more kind than seen
@@ -404,8 +410,9 @@ def fit_grams(trusted: DataFrame, shards: int) -> Model:
                 yield pd.DataFrame({"key": mixed(high, low).astype("int64"), "n": n[top], "logs": list(logs)})
 
     rows = counts.select("grams", "n").mapInPandas(frequent, "key bigint, n bigint, logs array<double>").where(F.col("n") > 1)
-    rows = rows.orderBy(F.desc("n"), "key").limit(HOT).collect()  # at most HOT rows
-    hot, logs = np.array([r["key"] for r in rows], dtype="int64").astype("uint64"), np.array([r["logs"] for r in rows]).reshape(-1, VARIANTS)
+    rows = rows.orderBy(F.desc("n"), "key").limit(HOT).toArrow()  # at most HOT rows
+    hot = rows["key"].to_numpy().astype("int64").astype("uint64")
+    logs = rows["logs"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype("float64").reshape(-1, VARIANTS)
     order = np.argsort(hot)
     return Model(counts.select("shard", "grams", "n"), shards, base, steps, hot[order], logs[order])
 
@@ -458,6 +465,7 @@ def _post(model: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFram
 def _score_shard(model: tuple, posted: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
     """Sums of log probabilities of one shard's grams, for each document of each chunk."""
     steps, sent = model
+    release()
     none = np.zeros(0, dtype="int64")
     known = next((_shard(row) for row in counts.itertuples()), None) or Shard(none, none, np.zeros((0, VARIANTS), dtype="int64"))
     out = [(r.chunk, r.sums, r.keys, r.trusted, r.sizes) for r in posted.itertuples() if r.keys is not None]
@@ -475,6 +483,33 @@ def _score_shard(model: tuple, posted: pd.DataFrame, counts: pd.DataFrame) -> pd
     return pd.DataFrame(out, columns=["chunk", "sums", "keys", "trusted", "sizes"])
 
 
+SCORED = ["chunk", "sums", "keys", "trusted", "sizes"]
+
+
+def _add_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Sums of the shards of a task added up by chunk before they are shuffled, HELD_SUMS numbers at a time."""
+    held: dict[str, np.ndarray] = {}
+
+    def flush() -> pd.DataFrame:
+        rows = [(chunk, sums.tobytes(), None, None, None) for chunk, sums in held.items()]
+        held.clear()
+        return pd.DataFrame(rows, columns=SCORED)
+
+    for batch in batches:
+        whole = batch["keys"].notna()
+        if whole.any():
+            yield batch[whole]
+        for chunk, raw in zip(batch["chunk"][~whole], batch["sums"][~whole], strict=True):
+            sums = np.frombuffer(raw)
+            if chunk in held:
+                held[chunk] += sums
+            else:
+                held[chunk] = sums.copy()
+        if sum(map(len, held.values())) > HELD_SUMS:
+            yield flush()
+    yield flush()
+
+
 def _score_chunk(rows: pd.DataFrame) -> pd.DataFrame:
     sums = np.sum([np.frombuffer(x) for x in sorted(rows["sums"])], axis=0)
     row = rows[rows["keys"].notna()].iloc[0]
@@ -497,6 +532,7 @@ def perplexities(marked: DataFrame) -> DataFrame:
     steps = model.steps
     pairs = posted.groupBy("shard").cogroup(model.counts.groupBy("shard"))
     partly = pairs.applyInPandas(lambda a, b: _score_shard((steps, base), a, b), "chunk string, sums binary, keys binary, trusted binary, sizes binary")
+    partly = partly.mapInPandas(_add_sums, "chunk string, sums binary, keys binary, trusted binary, sizes binary")
     path = shared_path(spark, "perplexity")
     whole = partly.groupBy("chunk").applyInPandas(_score_chunk, "_key binary, _trusted boolean, perplexity double")
     whole.groupBy("_key", "_trusted").agg(F.min("perplexity").alias("perplexity")).write.parquet(path)
@@ -504,8 +540,14 @@ def perplexities(marked: DataFrame) -> DataFrame:
 
 
 def marks(docs: DataFrame, trusted: DataFrame) -> DataFrame:
-    """``docs`` with _key, _trusted, _spread and _fold; copies of a text share a fold."""
-    out = docs.join(trusted.withColumn("_known", F.lit(True)), "doc_id", "left").withColumn("_trusted", F.coalesce("_known", F.lit(False))).drop("_known")
+    """``docs`` with _key, _trusted, _spread and _fold; copies of a text share a fold.
+
+    Up to MOST_SENT trusted ids are sent to the texts; more of them move the texts.
+    """
+    known = trusted.withColumn("_known", F.lit(True))
+    if trusted.count() <= MOST_SENT:
+        known = F.broadcast(known)
+    out = docs.join(known, "doc_id", "left").withColumn("_trusted", F.coalesce("_known", F.lit(False))).drop("_known")
     fold = F.pmod(F.xxhash64(text_or_empty()), F.lit(FOLDS)).cast("int")
     out = out.withColumn("_key", digest128(text_or_empty())).withColumn("_spread", spread(text_or_empty()))
     return out.withColumn("_fold", F.when(F.col("_trusted"), fold).otherwise(F.lit(FOLDS)))
