@@ -56,7 +56,7 @@ VARIANTS = FOLDS + 1
 #: So many most frequent grams are scored without a shuffle; no other has a larger share of all grams than 1 / HOT.
 HOT = 65_536
 #: Characters and documents scored at a time; CHUNK_ROWS is a power of two.
-CHUNK, CHUNK_ROWS = 4_000_000, 4_096
+CHUNK, CHUNK_ROWS = 2_000_000, 4_096
 SHARD_CHARS, LEAST_SHARDS, MOST_SHARDS = 3_000_000, 8, 1 << 20
 #: Sums that a task holds before it passes them on.
 HELD_SUMS = 4_000_000
