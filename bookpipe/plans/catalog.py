@@ -990,9 +990,12 @@ where before is null or before < (select sum(p_size) // 2 from part)
 def listing_pages_sparse(spark: SparkSession, d: str) -> DataFrame:
     """O3: pages to read for half of all links, with page numbers 10^15 apart."""
     part = P.table(spark, d, "part")
-    counted = part.select((F.col("p_partkey") * 10**15).alias("page_no"), F.col("p_size").cast("int").alias("n_new"))
-    half = part.agg(F.sum("p_size").alias("n")).select(F.floor(F.col("n") / 2)).first()[0]
-    return L.pages_needed(counted, half)
+    ends = part.agg(F.floor(F.sum("p_size") / 2).alias("half"), F.max(F.abs("p_partkey")).alias("last")).first()
+    # Numbers that far apart leave the range of a bigint with some 9,000 pages.
+    kind = "bigint" if (ends["last"] or 0) * 10**15 < 2**63 else "decimal(38,0)"
+    number = F.col("p_partkey").cast(kind) * F.lit(10**15).cast("bigint" if kind == "bigint" else "decimal(16,0)")
+    counted = part.select(number.cast(kind).alias("page_no"), F.col("p_size").cast("int").alias("n_new"))
+    return L.pages_needed(counted, ends["half"])
 
 
 @query(
