@@ -26,7 +26,7 @@ def banned(title: Column, phrases: Sequence[str] | None) -> Column:
     return title.rlike("|".join(rf"\Q{p}\E" if r"\E" not in p else re.escape(p) for p in phrases))
 
 
-#: Longest piece of a phrase that titles are looked up by.
+#: Shortest piece that phrases of its length or more are looked up by; longer phrases have longer pieces.
 GRAM = 4
 
 
@@ -40,15 +40,20 @@ def grams(text: Column, size: int) -> Column:
 def titles_holding(titles: DataFrame, key: str, title: str, phrases: DataFrame, phrase: str) -> DataFrame:
     """V3 for any number of phrases: the keys of titles that hold one, each once.
 
-    An index on pieces of GRAM characters (of whole phrases where they are shorter): a
-    phrase stands under the piece of it that the fewest titles have, titles meet it by an
-    equality join on their pieces, and only those are searched. ``key`` is unique. A piece that most titles
-    have is a phrase's key only if all its pieces are as frequent.
+    An index on pieces of 4, 8, 16 ... characters, the largest that a phrase holds (whole phrases
+    where they are shorter): pieces of one short length would meet ever more titles as both
+    tables grow. A phrase stands under the piece of it that the fewest titles have, titles meet it
+    by an equality join on their pieces, and only those are searched. ``key`` is unique. A piece
+    that most titles have is a phrase's key only if all its pieces are as frequent.
+
+    Titles and pieces are dealt by a shuffle: their estimates come from the size of files, and
+    all pieces of a small table of titles would go through the driver.
     """
     listed = phrases.select(F.col(phrase).alias("_phrase")).where("_phrase is not null and _phrase != ''").distinct()
-    listed = listed.withColumn("_size", F.least(F.char_length("_phrase"), F.lit(GRAM)))
+    length = F.char_length("_phrase")
+    listed = listed.withColumn("_size", F.when(length < GRAM, length).otherwise(F.pow(F.lit(2), F.floor(F.log2(length + 0.5))).cast("int")))
     named = titles.select(F.col(key).alias("_key"), F.col(title).alias("_title")).where("_title is not null")
-    # Pieces of each size that some phrase has: at most GRAM of them.
+    # Pieces of each size that some phrase has: few, as they double.
     sizes = sorted(r["_size"] for r in listed.select("_size").distinct().collect())
     if not sizes:
         return titles.select(key).limit(0)
@@ -56,11 +61,12 @@ def titles_holding(titles: DataFrame, key: str, title: str, phrases: DataFrame,
     held = named.select("_key", F.explode(pieces).alias("_gram"))
     counted = held.groupBy("_gram").agg(F.count("*").alias("_n"))
     own = reduce(lambda rest, size: F.when(F.col("_size") == size, grams(F.col("_phrase"), size)).otherwise(rest), sizes, F.array().cast("array<string>"))
-    spelled = listed.select("_phrase", F.explode(own).alias("_gram")).join(counted, "_gram", "left")
+    spelled = listed.select("_phrase", F.explode(own).alias("_gram")).join(counted.hint("merge"), "_gram", "left")
     rarest = spelled.groupBy("_phrase").agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("_n"), "_gram")).alias("_by"))
     index = rarest.where("_by._n > 0").select("_phrase", F.col("_by._gram").alias("_gram"))
     # Titles move once for each phrase that they may hold, not for each piece.
-    found = held.join(index, "_gram").select("_key", "_phrase").join(named, "_key").where(F.contains("_title", "_phrase"))
+    met = held.hint("merge").join(index, "_gram").select("_key", "_phrase")
+    found = met.join(named.hint("merge"), "_key").where(F.contains("_title", "_phrase"))
     return found.select(F.col("_key").alias(key)).distinct()
 
 

@@ -2,6 +2,9 @@
 
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
+from bookpipe.operators.validate import titles_holding
 from bookpipe.plans.catalog import QUERIES
 
 
@@ -11,3 +14,21 @@ def test_sparse_pages_beyond_bigint(spark, tmp_path):
     spark.createDataFrame(rows, "p_partkey bigint, p_size int").write.parquet(str(tmp_path / "part.parquet"))
     got = QUERIES["listing_pages_sparse"](spark, str(tmp_path)).collect()
     assert sorted(tuple(r) for r in got) == [(Decimal(2 * 10**15), 4), (Decimal(2 * 10**19), 4)]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pieces_of_titles_stay_off_the_driver(spark, tmp_path):
+    """Small files of titles make many pieces; phrases of all lengths are found through their longest ones."""
+    rows = [(i, f"very long title no {i} of all") for i in range(300)] + [(300, None), (301, "x")]
+    spark.createDataFrame(rows, "key bigint, title string").write.parquet(str(tmp_path / "titles"))
+    listed = ["no 7 ", "no 123 ", "title no 255 of", "x", "tit", "absent", "", None]
+    spark.createDataFrame([(p,) for p in listed], "phrase string").write.parquet(str(tmp_path / "phrases"))
+    for wanted in (listed, listed[:4]):
+        phrases = spark.read.parquet(str(tmp_path / "phrases")).where(F.col("phrase").isin([p for p in wanted if p is not None]))
+        found = titles_holding(spark.read.parquet(str(tmp_path / "titles")), "key", "title", phrases, "phrase")
+        assert "Broadcast" not in plan_of(found)
+        expected = [k for k, title in rows if title and any(p and p in title for p in wanted)]
+        assert sorted(r.key for r in found.collect()) == expected
