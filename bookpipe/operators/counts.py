@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bookpipe.operators.joins import without
+from bookpipe.operators.joins import dealt, without
 
 
 def reviews_per_book(reviews: DataFrame, mode: str = "rows", isbns: DataFrame | None = None) -> DataFrame:
@@ -40,7 +40,7 @@ def satisfied_books(counts: DataFrame, num_reviews: int) -> DataFrame:
 def satisfied_urls(counts: DataFrame, attributes: DataFrame, num_reviews: int) -> DataFrame:
     """``(isbn, book_url, n)`` of satisfied books; duplicate attribute rows multiply."""
     enough = satisfied_books(counts, num_reviews).select("isbn", "n")
-    return attributes.select("isbn", "book_url").join(enough, "isbn")
+    return dealt(attributes.select("isbn", "book_url")).join(enough, "isbn")
 
 
 def orphans(counts: DataFrame, attributes: DataFrame, num_reviews: int) -> DataFrame:

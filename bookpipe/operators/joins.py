@@ -22,14 +22,28 @@ def keys_of(saved: DataFrame, on: str | Sequence[str]) -> DataFrame:
     return saved.select(*([on] if isinstance(on, str) else on)).distinct()
 
 
+def dealt(keys: DataFrame) -> DataFrame:
+    """Keys to join where a shuffle deals them, never through the driver.
+
+    Spark's size checks start from compressed files: millions of keys, or of pages made
+    of them, may pass for 10 MB. Few keys are broadcast by name (:func:`narrow`).
+    """
+    return keys.hint("merge")
+
+
+def dealt_to_pages(keys: DataFrame) -> DataFrame:
+    """The same for different keys that are joined to page bodies, which then need no sort."""
+    return keys.hint("shuffle_hash")
+
+
 def without(df: DataFrame, saved: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Rows whose key is not saved; duplicates among them are kept."""
-    return df.join(keys_of(saved, on), on, "left_anti")
+    return df.join(dealt(keys_of(saved, on)), on, "left_anti")
 
 
 def members(df: DataFrame, store: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Rows whose key is in the store."""
-    return df.join(keys_of(store, on), on, "left_semi")
+    return df.join(dealt(keys_of(store, on)), on, "left_semi")
 
 
 def unseen(df: DataFrame, saved: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
@@ -52,6 +66,6 @@ def narrow(
 
 def with_saved_count(books: DataFrame, counts: DataFrame) -> DataFrame:
     """The number of saved reviews of each book, 0 where there is none."""
-    return books.join(counts.select("isbn", F.col("n").alias("saved")), "isbn", "left").withColumn(
+    return books.join(dealt(counts.select("isbn", F.col("n").alias("saved"))), "isbn", "left").withColumn(
         "saved", F.coalesce("saved", F.lit(0))
     )

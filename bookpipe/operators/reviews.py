@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from bookpipe.functions.review_fields import star_rating
 from bookpipe.operators.blocks import extract_blocks
 from bookpipe.operators.counts import reviews_per_book
-from bookpipe.operators.joins import with_saved_count, without
+from bookpipe.operators.joins import dealt, with_saved_count, without
 from bookpipe.operators.listing import has_next_review_page
 from bookpipe.operators.ranking import top_per_group
 from bookpipe.profile import SHOP, SiteProfile
@@ -34,7 +34,7 @@ def reviews_of(pages: DataFrame, keep: Sequence[str] = ("isbn", "page_no")) -> D
 def up_to_last(pages: DataFrame, book: str = "book_url") -> DataFrame:
     """Pages of each book up to the first whose pager has no next page."""
     last = pages.where(~F.col("more")).groupBy(book).agg(F.min("page_no").alias("_last"))
-    near = pages.join(last, book, "left")
+    near = pages.join(dealt(last), book, "left")
     return near.where(F.col("_last").isNull() | (F.col("page_no") <= F.col("_last"))).drop("_last")
 
 

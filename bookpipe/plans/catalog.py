@@ -1280,7 +1280,7 @@ def repeated_batch_two_stores(spark: SparkSession, d: str) -> DataFrame:
     tables = TableStore(spark, *(f"{kind}_{mark}" for kind in ("books", "reviews", "rejects")))
     for _ in range(2):
         run_and_publish(P.all_captures(spark, d), raw, tables, first_run_config(spark, d), batch="b0")
-    both = raw.attributes().join(tables.attributes().select("isbn"), "isbn", "left_semi")
+    both = members(raw.attributes(), tables.attributes(), "isbn")
     return both.select("isbn", "title", "pages", "price", "book_url")
 
 
@@ -1390,7 +1390,7 @@ def retried_run_two_stores(spark: SparkSession, d: str) -> DataFrame:
     relational = FileStore(spark, other)
     run_and_publish(pages, raw, relational, config)
     both = raw.reviews().select("isbn", "user", "text")
-    return both.join(relational.reviews().select("isbn", "user"), ["isbn", "user"], "left_semi")
+    return members(both, relational.reviews(), ["isbn", "user"])
 
 
 @query(

@@ -15,7 +15,7 @@ from bookpipe.config import RunConfig
 from bookpipe.functions.urls import normalize_url
 from bookpipe.operators.books import parse_books
 from bookpipe.operators.counts import orphans, satisfied_urls, work_target
-from bookpipe.operators.joins import BROADCAST_ROWS, members, narrow, unseen, with_saved_count, without
+from bookpipe.operators.joins import BROADCAST_ROWS, dealt, dealt_to_pages, members, narrow, unseen, with_saved_count, without
 from bookpipe.operators.listing import all_links, unsatisfied_links
 from bookpipe.operators.ranking import first_k, one_per_key, top_per_group
 from bookpipe.operators.reviews import fill_reviews, read_review_pages, reviews_of, up_to_last
@@ -101,7 +101,7 @@ def due_books(
         )
     )
     good, rejected = split_by_verdict(parsed, config.on_error)
-    absent = books_due.join(parsed.select("url"), "url", "left_anti").select(
+    absent = books_due.join(dealt(parsed.select("url")), "url", "left_anti").select(
         F.lit(None).cast("bigint").alias("page_id"),
         "url",
         F.lit("page").alias("field"),
@@ -127,8 +127,9 @@ def most_reviewed_links(links: DataFrame, books: DataFrame, k: int, profile: Sit
     books without a page, or without a count on it, come last, in the order of the listing.
     """
     wanted = members(books.select("url", "page_id"), links, "url").groupBy("url").agg(F.max("page_id").alias("page_id"))
-    said = one_row_a_page(parse_books(books.join(wanted, ["url", "page_id"]), profile=profile)).select("url", "review_count")
-    counted = checkpointed(links.join(said, "url", "left"))
+    bodies = books.join(dealt_to_pages(wanted), ["url", "page_id"])
+    said = one_row_a_page(parse_books(bodies, profile=profile)).select("url", "review_count")
+    counted = checkpointed(links.join(dealt(said), "url", "left"))
     return first_k(counted, [F.desc_nulls_last("review_count"), "page_no", "pos"], k).drop("review_count")
 
 
@@ -174,10 +175,9 @@ def pages_of(
     books, keys = in_buckets(pages, books, on)
     wanted = pages.select(*page_key, "page_id", *keys[1:])
     near = wanted.join(F.broadcast(books.select(*keys)), keys, "left_semi") if bound <= broadcast_rows else wanted
-    newest = near.groupBy(*page_key, *keys[1:]).agg(F.max("page_id").alias("page_id")).join(books, keys)
-    if bound <= broadcast_rows:
-        newest = F.broadcast(newest)
-    return pages.join(newest, [*page_key, "page_id", *keys[1:]])
+    few = bound <= broadcast_rows
+    newest = near.groupBy(*page_key, *keys[1:]).agg(F.max("page_id").alias("page_id")).join(books if few else dealt(books), keys)
+    return pages.join(F.broadcast(newest) if few else dealt_to_pages(newest), [*page_key, "page_id", *keys[1:]])
 
 
 PAGE = ("book_url", "page_no", "page_id")
@@ -230,12 +230,12 @@ def missing_reviews(
     keys = near.groupBy(*page_key).agg(F.max("page_id").alias("page_id"))
     if exhausted is not None:
         old = exhausted.select("book_url", "pages", "mark").distinct()
-        keys = without(keys, page_marks(keys).join(old, ["book_url", "pages", "mark"], "left_semi"), "book_url")
-    keys = checkpointed(keys.join(books, "book_url"))
+        keys = without(keys, page_marks(keys).join(dealt(old), ["book_url", "pages", "mark"], "left_semi"), "book_url")
+    keys = checkpointed(keys.join(dealt(books), "book_url"))
 
     def read(wanted: DataFrame, small: bool) -> DataFrame:
         wanted, on = in_buckets(pages, wanted, "book_url")
-        bodies = pages.join(F.broadcast(wanted) if small else wanted, [*PAGE, *on[1:]])
+        bodies = pages.join(F.broadcast(wanted) if small else dealt_to_pages(wanted), [*PAGE, *on[1:]])
         # A capture may land twice: one of equal ones is taken after parsing, on narrow rows, by what it says.
         rows = read_review_pages(bodies, profile, keep=("isbn", "rank", *PAGE))
         return one_per_key(rows, ["rank", *PAGE], [F.xxhash64("reviews", "more")])
@@ -244,7 +244,7 @@ def missing_reviews(
         head = checkpointed(top_per_group(keys, ["isbn"], ["rank", "page_no"], first, "_place").drop("_place"))
         found, read_now = None, []
     else:
-        head, found, read_now = None, checkpointed(known.select(*PAGE, "reviews", "more").join(keys, list(PAGE))), []
+        head, found, read_now = None, checkpointed(known.select(*PAGE, "reviews", "more").join(dealt(keys), list(PAGE))), []
     open_books, parts, small = books.select("isbn").distinct(), [], bound * first <= broadcast_rows
     while True:
         if head is not None:
@@ -256,13 +256,13 @@ def missing_reviews(
         filled = checkpointed(fill_reviews(reviews, saved, n, order, counts, config.dedup_first, visit="rank"))
         got = filled.groupBy("isbn").agg(F.count("*").alias("got"), F.max(F.struct("rank", "page_no")).alias("_upto"))
         seen = found.groupBy("isbn").agg(F.count("*").alias("_read"))
-        state = open_books.join(seen, "isbn", "left").join(got, "isbn", "left").fillna(0, ["got", "_read"])
+        state = open_books.join(dealt(seen), "isbn", "left").join(dealt(got), "isbn", "left").fillna(0, ["got", "_read"])
         state = with_saved_count(state, counts).withColumn("_lack", n - F.col("saved") - F.col("got"))
-        left = keys.join(state, "isbn").join(found.select(*page_key), page_key, "left_anti")
+        left = keys.join(dealt(state), "isbn").join(dealt(found.select(*page_key)), page_key, "left_anti")
         left = left.where((F.col("_lack") > 0) | (F.struct("rank", "page_no") < F.col("_upto")))
         if config.follow_pager:
             ends = found.where(~F.col("more")).groupBy("book_url").agg(F.min("page_no").alias("_end"))
-            left = left.join(ends, "book_url", "left").where("_end is null or page_no < _end").drop("_end")
+            left = left.join(dealt(ends), "book_url", "left").where("_end is null or page_no < _end").drop("_end")
         # What a book lacks, at the yield of its pages so far; four times as many pages as before at most.
         wish = F.ceil(F.col("_lack") * F.col("_read") / F.greatest("got", F.lit(1)))
         wish = F.when((F.col("_read") == 0) | (F.col("_lack") <= 0), F.lit(first)).otherwise(
@@ -275,11 +275,11 @@ def missing_reviews(
             break
         parts.append(without(filled, short, "isbn"))
         ahead = top_per_group(members(left.select(*keys.columns), short, "isbn"), ["isbn"], ["rank", "page_no"], widest, "_place")
-        head = checkpointed(ahead.join(short, "isbn").where("_place <= _wish").select(*keys.columns))
+        head = checkpointed(ahead.join(dealt(short), "isbn").where("_place <= _wish").select(*keys.columns))
         found, open_books, small = members(found, short, "isbn"), short.select("isbn"), False
     new = reduce(DataFrame.unionByName, parts)
     got = new.groupBy("isbn").agg(F.count("*").alias("got"))
-    lacking = with_saved_count(books.join(got, "isbn", "left").fillna(0, ["got"]), counts)
+    lacking = with_saved_count(books.join(dealt(got), "isbn", "left").fillna(0, ["got"]), counts)
     ended = lacking.where(F.col("got") < n - F.col("saved"))
     marks = page_marks(members(keys, ended, "book_url").select(*PAGE))
     return Reading(new, marks, reduce(DataFrame.unionByName, read_now) if read_now else None)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bookpipe.functions.urls import normalize_url
+from bookpipe.operators.joins import dealt_to_pages
 from bookpipe.schema import CAPTURE, PAGE, conform, nullable
 from bookpipe.sources.raw_tree import list_names
 
@@ -85,4 +86,4 @@ def latest(pages: DataFrame, keys: Sequence[str]) -> DataFrame:
     comes twice: repeats are taken out after parsing, on narrow rows.
     """
     newest = pages.groupBy(*keys).agg(F.max("page_id").alias("page_id"))
-    return pages.join(newest, [*keys, "page_id"], "left_semi")
+    return pages.join(dealt_to_pages(newest), [*keys, "page_id"], "left_semi")

@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from bookpipe.config import RunConfig
 from bookpipe.operators.books import parse_books
 from bookpipe.operators.counts import orphans, satisfied_urls, work_target
-from bookpipe.operators.joins import BROADCAST_ROWS, members, unseen, without
+from bookpipe.operators.joins import BROADCAST_ROWS, dealt, members, unseen, without
 from bookpipe.operators.listing import links_of, read_listing_pages
 from bookpipe.operators.ranking import first_k, one_per_key
 from bookpipe.operators.validate import split_by_verdict
@@ -203,7 +203,7 @@ def _frontier(
     newest = landed.listing.groupBy("page_no").agg(F.max("page_id").alias("page_id"))
     links = state.get("links", LINK, last=batch).drop(BATCH_NO)
     # The same capture may land in several batches.
-    links = links.join(newest, ["page_no", "page_id"], "left_semi").distinct()
+    links = links.join(dealt(newest), ["page_no", "page_id"], "left_semi").distinct()
     first = first_k(without(links, satisfied, "url"), ["page_no", "pos", "url"], target)
     state.put("frontier", first.groupBy("url").agg(F.min("rank").alias("rank")), batch)
     return state.get("frontier", FRONTIER, first=batch, last=batch).drop(BATCH_NO)
@@ -216,13 +216,13 @@ def _books(
     known = state.get("books", PARSED, last=batch - 1).drop(BATCH_NO)
     pages = landed.books.withColumn("url", F.col("book_url")).drop("book_url", "page_no")
     wanted = pages.select("url", "page_id").groupBy("url").agg(F.max("page_id").alias("page_id"))
-    wanted = wanted.join(known.select("url", "page_id"), ["url", "page_id"], "left_anti")
+    wanted = wanted.join(dealt(known.select("url", "page_id")), ["url", "page_id"], "left_anti")
     new = members(frontier, wanted, "url")
     bodies = pages_of(pages, new.select("url"), "url", ["url"], target, BROADCAST_ROWS)
     rows = one_row_a_page(parse_books(bodies, config, profile))
     state.put("books", rows.select(*PARSED.names), batch)
     now = state.get("books", PARSED, first=batch, last=batch).drop(BATCH_NO)
-    newest = known.unionByName(now).join(frontier, "url")
+    newest = known.unionByName(now).join(dealt(frontier), "url")
     newest = one_per_key(newest, ["url"], [F.desc("page_id")])
     _, rejected = split_by_verdict(now)
     return checkpointed(newest), rejected
