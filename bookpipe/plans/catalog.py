@@ -1357,15 +1357,19 @@ SQL_STREAMED = SQL["run_increment_stream"]
 
 @query("stream_in_any_order", SQL_STREAMED)
 def stream_in_any_order(spark: SparkSession, d: str) -> DataFrame:
-    """Captures land in four files, review pages before their books and listing pages last, one file a batch."""
+    """Captures land in four pieces, review pages before their books and listing pages last, one piece a batch.
+
+    A piece is one file, or of many pages as many as there are cores, so that no task writes it alone.
+    """
     landing, store = scratch(spark, "landing"), FileStore(spark, scratch(spark, "pieces"))
     pages = P.landed(P.all_captures(spark, d))
+    files = max(1, min(P.table(spark, d, "lineitem").count() // 1_000_000, spark.sparkContext.defaultParallelism))
     review = F.col("kind") == "review"
     for part in (review & (F.col("page_id") % 2 == 1), review & (F.col("page_id") % 2 == 0), F.col("kind") == "book", F.col("kind") == "listing"):
-        pages.where(part).coalesce(1).write.mode("append").parquet(landing)
+        pages.where(part).coalesce(files).write.mode("append").parquet(landing)
     state = scratch(spark, "pieces-state")
     run_increment_stream(
-        spark, landing, state, store, config=first_run_config(spark, d), files_per_batch=1
+        spark, landing, state, store, config=first_run_config(spark, d), files_per_batch=files
     ).awaitTermination()
     return store.reviews().select("isbn", "user", "text")
 
