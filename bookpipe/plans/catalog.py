@@ -35,7 +35,7 @@ from bookpipe.plans.flagship import ARRIVAL, flagship, line_reviews
 from bookpipe.plans.increment import due_books, run_and_publish, run_increment
 from bookpipe.profile import ARTICLES, SHOP
 from bookpipe.schema import BOOK, REVIEW, conform
-from bookpipe.session import shared_dir, spread
+from bookpipe.session import PAGES_A_TASK, shared_dir, spread
 from bookpipe.sinks.log import KeyedLog
 from bookpipe.sinks.stores import FileStore, TableStore, image_manifest
 from bookpipe.sinks.upsert import last_write, read_bucketed, upsert
@@ -555,7 +555,7 @@ from lineitem
 )
 def extract_reviews_query(spark: SparkSession, d: str) -> DataFrame:
     """X0 X21-X24 V6 on shop review pages."""
-    lines = spread(P.table(spark, d, "lineitem"), "l_orderkey")
+    lines = spread(P.table(spark, d, "lineitem"), "l_orderkey", rows=PAGES_A_TASK)
     pages = P.review_pages(lines).withColumn("isbn", F.regexp_extract("book_url", r"/dp/(\d+)/", 1).cast("bigint"))
     return extract_reviews(pages)
 
@@ -573,7 +573,7 @@ select 'https://shop.example/dp/' || l_partkey || '/' as book_url, plc // 10 + 1
 def reviews_by_position(spark: SparkSession, d: str) -> DataFrame:
     """Pages of ten reviews, each with its position, and what the pager says."""
     keep = ("book_url", "page_no")
-    pages = read_review_pages(spread(P.full_review_pages(P.table(spark, d, "lineitem")), "page_id"), keep=keep)
+    pages = read_review_pages(P.full_review_pages(P.table(spark, d, "lineitem")), keep=keep)
     return reviews_of(pages, keep=(*keep, "more"))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from bookpipe.operators.counts import reviews_per_book
 from bookpipe.schema import CAPTURE
-from bookpipe.session import spread
+from bookpipe.session import PAGES_A_TASK, spread, tasks_for
 from bookpipe.sources.pages import Captures
 
 SITE = "https://shop.example"
@@ -88,7 +88,7 @@ def book_pages(part: DataFrame) -> DataFrame:
         F.format_string("%.1f", F.col("p_size") / 10),
         F.format_number(key * 37, 0),
     )
-    return spread(part, "p_partkey").select(key.alias("page_id"), book_url(key).alias("url"), page.alias("html"))
+    return spread(part, "p_partkey", rows=PAGES_A_TASK).select(key.alias("page_id"), book_url(key).alias("url"), page.alias("html"))
 
 
 LISTING_PAGE = (
@@ -103,7 +103,7 @@ def listing_pages(part: DataFrame) -> DataFrame:
     """``(page_no, page_id, url, html)``; one listing page per part."""
     key = F.col("p_partkey")
     last = F.when(F.col("p_size") < 10, '<span aria-disabled="true">Next</span>').otherwise("<a>Next</a>")
-    return spread(part, "p_partkey").select(
+    return spread(part, "p_partkey", rows=PAGES_A_TASK).select(
         key.alias("page_no"),
         key.alias("page_id"),
         F.concat(F.lit(f"{SITE}/s?page="), key.cast("string")).alias("url"),
@@ -157,7 +157,8 @@ PAGE_SIZE = 10
 def full_review_pages(lineitem: DataFrame) -> DataFrame:
     """``(page_no, book_url, page_id, url, html)``: the lines of a part, ten a page, with a pager that ends.
 
-    Lines are dealt to pages by their place among those of their part.
+    Lines are dealt to pages by their place among those of their part, and pages to tasks as
+    lines, before their HTML is made.
     """
     place = Window.partitionBy("l_partkey").orderBy("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity")
     user = F.concat(F.lit("user-"), F.col("l_suppkey").cast("string"))
@@ -165,15 +166,20 @@ def full_review_pages(lineitem: DataFrame) -> DataFrame:
     rows = lineitem.select(
         F.col("l_partkey").alias("_key"),
         (F.row_number().over(place) - 1).alias("_at"),
-        html(REVIEW_ITEM, user, stars, F.col("l_linenumber"), F.col("l_orderkey")).alias("_item"),
+        F.lead(F.lit(True), 1, False).over(place).alias("_goes_on"),
+        "l_suppkey",
+        "l_quantity",
+        "l_linenumber",
+        "l_orderkey",
     )
+    rows = rows.withColumn("_page", F.floor(F.col("_at") / PAGE_SIZE)).repartition(tasks_for(lineitem, PAGES_A_TASK * PAGE_SIZE), "_key", "_page")
+    item = html(REVIEW_ITEM, user, stars, F.col("l_linenumber"), F.col("l_orderkey"))
     # A page is ten lines, however many its part has.
-    items = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_at", "_item"))), lambda x: x["_item"]), "")
-    pages = rows.groupBy("_key", F.floor(F.col("_at") / PAGE_SIZE).alias("_page")).agg(items.alias("_items"))
-    last = pages.groupBy("_key").agg(F.max("_page").alias("_last"))
-    more = F.when(F.col("_page") < F.col("_last"), "a-last").otherwise("a-disabled a-last")
+    items = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_at", item.alias("_item")))), lambda x: x["_item"]), "")
+    pages = rows.groupBy("_key", "_page").agg(items.alias("_items"), F.bool_and("_goes_on").alias("_more"))
+    more = F.when(F.col("_more"), "a-last").otherwise("a-disabled a-last")
     number = F.col("_page") + 1
-    return pages.join(last, "_key").select(
+    return pages.where("_key is not null").select(
         number.alias("page_no"),
         book_url(F.col("_key")).alias("book_url"),
         (F.col("_key") * 1_000_000 + number).alias("page_id"),
@@ -190,7 +196,7 @@ def full_review_pages(lineitem: DataFrame) -> DataFrame:
 def paged_captures(spark: SparkSession, sf_dir: str) -> Captures:
     """Listing and book pages of all parts, review pages of ten lines each."""
     part, lines = table(spark, sf_dir, "part"), table(spark, sf_dir, "lineitem")
-    return Captures(listing_pages(part), book_pages(part), spread(full_review_pages(lines), "page_id"))
+    return Captures(listing_pages(part), book_pages(part), full_review_pages(lines))
 
 
 def captures(spark: SparkSession, sf_dir: str) -> Captures:
