@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bookpipe.llm.common import digest128, release, shared_path, ship, text_or_empty
+from bookpipe.llm.common import digest128, release, releasing, shared_path, ship, text_or_empty
 
 CLASSES = 40
 ORDER = 4
@@ -54,9 +54,11 @@ LONGEST = 6
 FOLDS = 4
 VARIANTS = FOLDS + 1
 #: So many most frequent grams are scored without a shuffle; no other has a larger share of all grams than 1 / HOT.
-HOT = 65_536
-#: Characters and documents scored at a time; CHUNK_ROWS is a power of two.
-CHUNK, CHUNK_ROWS = 2_000_000, 4_096
+HOT = 262_144
+#: Grams are told apart by how often they occur in steps of the fourth root of two.
+LEVELS = 256
+#: Characters and documents scored at a time.
+CHUNK, CHUNK_ROWS = 1_500_000, 4_096
 SHARD_CHARS, LEAST_SHARDS, MOST_SHARDS = 3_000_000, 8, 1 << 20
 #: Sums that a task holds before it passes them on.
 HELD_SUMS = 4_000_000
@@ -110,6 +112,7 @@ def grams(text: str) -> Iterator[np.ndarray]:
             yield ((seen[:-3] * CLASSES + seen[1:-2]) * CLASSES + seen[2:-1]) * CLASSES + seen[3:]
 
 
+@releasing
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     counts, waiting, size = np.zeros(SIZE, dtype="int64"), [], 0
     for batch in batches:
@@ -174,15 +177,36 @@ def mixed(high: np.ndarray, low: np.ndarray) -> np.ndarray:
 
 def packed(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Whole-character 6-grams of texts with their boundaries: (first three, last three, text)."""
-    pad, lows, highs, owners = np.zeros(LONGEST - 1, dtype="int64"), [], [], []
-    for i, text in enumerate(texts):
+    pad, sizes = np.zeros(LONGEST - 1, dtype="int64"), np.array([len(text) + 1 for text in texts], dtype="int64")
+    ends = np.cumsum(sizes)
+    high, low = np.empty((2, int(sizes.sum())), dtype="int64")
+    for text, size, end in zip(texts, sizes, ends, strict=True):
         points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype("int64")
         seen = np.concatenate([pad, points, pad[:1]])
         three = (seen[:-2] << 42) | (seen[1:-1] << 21) | seen[2:]
-        highs.append(three[:-3])
-        lows.append(three[3:])
-        owners.append(np.full(len(points) + 1, i, dtype="int32"))
-    return np.concatenate(highs), np.concatenate(lows), np.concatenate(owners)
+        high[end - size : end] = three[:-3]
+        low[end - size : end] = three[3:]
+    return high, low, np.repeat(np.arange(len(texts), dtype="int32"), sizes)
+
+
+def by_gram(high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of grams, equal ones together and ascending, and which of them begin another gram."""
+    bits = np.uint64(len(high).bit_length())
+    key = mixed(high, low) << bits
+    key |= np.arange(len(high), dtype="uint64")
+    key.sort()  # much faster than to sort places by keys
+    place = (key & ((np.uint64(1) << bits) - np.uint64(1))).astype("int64")
+    key >>= bits
+    new = np.r_[True, key[1:] != key[:-1]][: len(key)]
+    del key
+    other = np.zeros(len(new), dtype=bool)
+    for half in (high, low):
+        sorted_half = half[place]
+        other[1:] |= sorted_half[1:] != sorted_half[:-1]
+    if (other[1:] & ~new[1:]).any():  # different grams of one hash
+        place = np.lexsort((low, high))
+        new = np.r_[True, (high[place][1:] != high[place][:-1]) | (low[place][1:] != low[place][:-1])]
+    return place, new
 
 
 def keys(high: np.ndarray, low: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -235,20 +259,17 @@ def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             release()
 
 
+@releasing
 def _count_sharded(shards: int, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for chunk in _chunks(batches):
         high, low, owner = packed(chunk["text"].tolist())
-        folds = chunk["_fold"].to_numpy(dtype="int64")[owner]
-        key = (mixed(high, low) & ~np.uint64(7)) | folds.astype("uint64")
-        order = np.argsort(key)
-        key = key[order]
-        pairs = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        gram = key[pairs] >> np.uint64(3)
-        new = np.r_[True, gram[1:] != gram[:-1]]
-        counts = np.zeros((int(new.sum()), FOLDS), dtype="int64")
-        counts[np.cumsum(new) - 1, folds[order[pairs]]] = np.diff(np.r_[pairs, len(key)])
-        first = order[pairs[new]]
-        yield _by_shard(shards, high[first], low[first], lambda p, counts=counts: {"n": _small(counts[p].ravel())})
+        place, new = by_gram(high, low)
+        folds = chunk["_fold"].to_numpy(dtype="int64")[owner[place]]
+        counts = np.bincount((np.cumsum(new) - 1) * FOLDS + folds, minlength=int(new.sum()) * FOLDS).reshape(-1, FOLDS)
+        first = place[new]
+        high, low = high[first], low[first]
+        del place, new, folds, owner, first
+        yield _by_shard(shards, high, low, lambda p, counts=counts: {"n": _small(counts[p].ravel())})
 
 
 def _by_shard(shards: int, high: np.ndarray, low: np.ndarray, rest) -> pd.DataFrame:
@@ -317,6 +338,7 @@ def discounts(n1: float, n2: float, n3: float, n4: float) -> list[float]:
     return [min(max(d, 0.05), k - 0.05) for k, d in enumerate(steps, 1)]
 
 
+@releasing
 def _merge(rows: pd.DataFrame) -> pd.DataFrame:
     """One row of a shard's distinct grams, with their counts by fold."""
     high, low = (np.concatenate(x) for x in zip(*map(_packed, rows["grams"]), strict=True))
@@ -325,10 +347,15 @@ def _merge(rows: pd.DataFrame) -> pd.DataFrame:
     _, counts = _table(key, np.concatenate([_large(x) for x in rows["n"]]).reshape(-1, FOLDS))
     _, first = np.unique(key, return_index=True)
     high, low = high[first], low[first]
-    made = Shard(high, low, variants(counts)).counts_of_counts()
+    made = Shard(high, low, variants(counts)).counts_of_counts() + np.bincount(_level(counts), minlength=LEVELS).tolist()
     return pd.DataFrame([{"shard": rows["shard"].iloc[0], "grams": _characters(high, low), "n": _small(counts.ravel()), "made": made}])
 
 
+def _level(counts: np.ndarray) -> np.ndarray:
+    """How often grams occur, in steps of the fourth root of two."""
+    return np.minimum(4 * np.log2(np.maximum(counts.sum(axis=1), 1)), LEVELS - 1).astype("int64")
+
+
 def variants(counts: np.ndarray) -> np.ndarray:
     """Counts without each fold, then of all text."""
     total = counts.sum(axis=1, keepdims=True)
@@ -354,12 +381,14 @@ class Base(NamedTuple):
 
 
 def fit_base(trusted: DataFrame) -> Base:
+    @releasing
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = np.zeros(POINTS, dtype="int64")
         for batch in batches:
-            points = np.frombuffer("".join(batch["text"]).encode("utf-32-le", "surrogatepass"), dtype="<u4")
-            found = np.bincount(points)
-            counts[: len(found)] += found
+            for chunk in _chunks(batch[["text"]].iloc[i : i + 200] for i in range(0, len(batch), 200)):
+                points = np.frombuffer("".join(chunk["text"]).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+                found = np.bincount(points)
+                counts[: len(found)] += found
         seen = np.flatnonzero(counts)
         yield pd.DataFrame({"point": seen, "n": counts[seen]})
 
@@ -394,22 +423,32 @@ def fit_grams(trusted: DataFrame, shards: int) -> Model:
     base = fit_base(trusted)
     path = shared_path(spark, "grams")
     found = trusted.select("text", "_fold").mapInPandas(partial(_count_sharded, shards), "shard int, grams binary, n binary")
-    found.groupBy("shard").applyInPandas(_merge, "shard int, grams binary, n binary, made array<bigint>").write.parquet(path)
+    found.groupBy("shard").applyInPandas(lambda rows: _merge(rows), "shard int, grams binary, n binary, made array<bigint>").write.parquet(path)
     counts = spark.read.parquet(path)
-    made = np.array([r["made"] for r in counts.select("made").collect()]).reshape(-1, 3, 4).sum(axis=0)  # a row for each shard
-    steps = [discounts(*map(float, row)) for row in made]
+    sums = counts.select(F.posexplode("made").alias("at", "n")).groupBy("at").agg(F.sum("n").alias("n")).collect()  # 12 + LEVELS rows
+    made = np.zeros(12 + LEVELS, dtype="int64")
+    for row in sums:
+        made[row["at"]] = row["n"]
+    steps = [discounts(*map(float, row)) for row in made[:12].reshape(3, 4)]
+    # The lowest level that may hold one of the HOT most frequent grams.
+    least = LEVELS - 1 - int(np.searchsorted(np.cumsum(made[:11:-1]), HOT))
     sent = spark.sparkContext.broadcast(base)
 
+    @releasing
     def frequent(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples():
-                n = _large(row.n).reshape(-1, FOLDS).sum(axis=1)
+                parts = _large(row.n).reshape(-1, FOLDS)
+                n, high_enough = parts.sum(axis=1), _level(parts) >= least
                 top = np.argsort(-n, kind="stable")[:HOT]
+                top = top[high_enough[top] & (n[top] > 1)]
+                if not len(top):
+                    continue
                 high, low = (x[top] for x in _packed(row.grams))
                 logs = _shard(row).logs(high, low, sent.value.of(high, low), steps)
                 yield pd.DataFrame({"key": mixed(high, low).astype("int64"), "n": n[top], "logs": list(logs)})
 
-    rows = counts.select("grams", "n").mapInPandas(frequent, "key bigint, n bigint, logs array<double>").where(F.col("n") > 1)
+    rows = counts.select("grams", "n").mapInPandas(frequent, "key bigint, n bigint, logs array<double>")
     rows = rows.orderBy(F.desc("n"), "key").limit(HOT).toArrow()  # at most HOT rows
     hot = rows["key"].to_numpy().astype("int64").astype("uint64")
     logs = rows["logs"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype("float64").reshape(-1, VARIANTS)
@@ -417,26 +456,27 @@ def fit_grams(trusted: DataFrame, shards: int) -> Model:
     return Model(counts.select("shard", "grams", "n"), shards, base, steps, hot[order], logs[order])
 
 
+@releasing
 def _post(model: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """What documents hold, by shard; the most frequent grams are scored at once."""
     shards, sent = model
     task, number = TaskContext.get().partitionId(), 0
     for chunk in _chunks(batches):
         hot, hot_logs = sent.value
+        chunk = chunk.sort_values("_fold", kind="stable")  # runs of folds take next to no place
         high, low, owner = packed(chunk["text"].tolist())
-        fold = chunk["_fold"].to_numpy(dtype="int64")
-        key = (mixed(high, low) & ~np.uint64(CHUNK_ROWS - 1)) | owner.astype("uint64")
-        order = np.argsort(key)
-        key = key[order]
-        pairs = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        times, doc = np.diff(np.r_[pairs, len(key)]), owner[order[pairs]]
-        gram = key[pairs] // np.uint64(CHUNK_ROWS)
-        starts = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])
-        held = np.diff(np.r_[starts, len(gram)])
-        first = order[pairs[starts]]
+        fold, sizes = chunk["_fold"].to_numpy(dtype="int64"), np.bincount(owner, minlength=len(chunk))
+        place, new = by_gram(high, low)
+        owner = owner[place]
+        pairs = np.flatnonzero(new | np.r_[True, owner[1:] != owner[:-1]])
+        times, doc = np.diff(np.r_[pairs, len(owner)]), owner[pairs]
+        starts = np.flatnonzero(new[pairs])
+        held = np.diff(np.r_[starts, len(pairs)])
+        first = place[pairs[starts]]
         high, low = high[first], low[first]
+        del place, new, owner, pairs, starts
         sums = np.zeros(len(chunk))
-        is_hot = np.zeros(len(first), dtype=bool)
+        is_hot = np.zeros(len(high), dtype=bool)
         if len(hot):
             names = mixed(high, low)
             at = np.minimum(np.searchsorted(hot, names), len(hot) - 1)
@@ -447,7 +487,7 @@ def _post(model: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFram
         name = f"{task}-{number}"
         ids = b"".join(chunk["_key"])
         meta = {"shard": crc32(name.encode()) % shards, "chunk": name, "keys": ids, "trusted": chunk["_trusted"].to_numpy(dtype="u1").tobytes(), "sums": sums.tobytes(), "folds": fold.astype("u1").tobytes()}
-        meta["sizes"] = np.bincount(owner, minlength=len(chunk)).astype("<i8").tobytes()
+        meta["sizes"] = sizes.astype("<i8").tobytes()
         yield pd.DataFrame([meta]).reindex(columns=POSTED)
         cold = np.flatnonzero(~is_hot)
         begin = np.r_[0, np.cumsum(held)]
@@ -462,6 +502,7 @@ def _post(model: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFram
             yield _by_shard(shards, high[cold], low[cold], rest).reindex(columns=POSTED)
 
 
+@releasing
 def _score_shard(model: tuple, posted: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
     """Sums of log probabilities of one shard's grams, for each document of each chunk."""
     steps, sent = model
@@ -486,6 +527,7 @@ def _score_shard(model: tuple, posted: pd.DataFrame, counts: pd.DataFrame) -> pd
 SCORED = ["chunk", "sums", "keys", "trusted", "sizes"]
 
 
+@releasing
 def _add_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Sums of the shards of a task added up by chunk before they are shuffled, HELD_SUMS numbers at a time."""
     held: dict[str, np.ndarray] = {}
@@ -510,6 +552,7 @@ def _add_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield flush()
 
 
+@releasing
 def _score_chunk(rows: pd.DataFrame) -> pd.DataFrame:
     sums = np.sum([np.frombuffer(x) for x in sorted(rows["sums"])], axis=0)
     row = rows[rows["keys"].notna()].iloc[0]
@@ -534,7 +577,7 @@ def perplexities(marked: DataFrame) -> DataFrame:
     partly = pairs.applyInPandas(lambda a, b: _score_shard((steps, base), a, b), "chunk string, sums binary, keys binary, trusted binary, sizes binary")
     partly = partly.mapInPandas(_add_sums, "chunk string, sums binary, keys binary, trusted binary, sizes binary")
     path = shared_path(spark, "perplexity")
-    whole = partly.groupBy("chunk").applyInPandas(_score_chunk, "_key binary, _trusted boolean, perplexity double")
+    whole = partly.groupBy("chunk").applyInPandas(lambda rows: _score_chunk(rows), "_key binary, _trusted boolean, perplexity double")
     whole.groupBy("_key", "_trusted").agg(F.min("perplexity").alias("perplexity")).write.parquet(path)
     return spark.read.parquet(path)
 

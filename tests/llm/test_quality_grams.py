@@ -2,11 +2,13 @@
 
 import collections
 import math
+from types import SimpleNamespace
 
 import numpy as np
+import pandas as pd
 import pytest
 
-from bookpipe.llm import quality
+from bookpipe.llm import common, quality
 
 LABELS = "doc_id bigint, quality int, toxic int"
 DOCS = "doc_id bigint, text string, lang string"
@@ -92,3 +94,45 @@ def test_shards_chunks_and_frequent_grams_give_the_same(spark, monkeypatch, hot)
     monkeypatch.setattr(quality, "LEAST_SHARDS", 5)
     got = {bytes(r._key): r.perplexity for r in quality.perplexities(marked).collect()}
     assert got.keys() == want.keys() and all(math.isclose(got[k], want[k], rel_tol=1e-9) for k in want)
+
+
+@pytest.mark.parametrize("clash", [False, True])
+def test_places_by_gram_even_if_hashes_clash(monkeypatch, clash):
+    high, low, _ = quality.packed(["abcabcabc", "", "abcabd"])
+    if clash:
+        monkeypatch.setattr(quality, "mixed", lambda high, low: (low % 3).astype("uint64"))
+    place, new = quality.by_gram(high, low)
+    groups = [g.tolist() for g in np.split(place, np.flatnonzero(new)[1:])]
+    want = collections.defaultdict(list)
+    for at, gram in enumerate(zip(high.tolist(), low.tolist())):
+        want[gram].append(at)
+    assert sorted(groups) == sorted(want.values())
+
+
+def test_posted_rows_hold_folds_as_runs(monkeypatch):
+    """Folds go to every shard with every chunk: in any order they are the larger part of small rows."""
+    task = SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 7))
+    monkeypatch.setattr(quality, "TaskContext", task)
+    texts = [sentences("abcdefghij", i, 5 + i) for i in range(40)]
+    chunk = pd.DataFrame({"text": texts, "_key": [bytes([i]) * 16 for i in range(40)], "_trusted": [i % 3 > 0 for i in range(40)], "_fold": [i * 7 % 5 for i in range(40)]})
+    none = SimpleNamespace(value=(np.zeros(0, dtype="uint64"), np.zeros((0, quality.VARIANTS))))
+    rows = pd.concat(quality._post((5, none), iter([chunk])))
+    whole, parts = rows[rows["keys"].notna()].iloc[0], rows[rows["keys"].isna()]
+    for folds in (whole["folds"], *parts["folds"]):
+        assert list(folds) == sorted(i * 7 % 5 for i in range(40))
+    ids = [whole["keys"][i] for i in range(0, len(whole["keys"]), 16)]
+    assert [i * 7 % 5 for i in ids] == list(whole["folds"]) and [i % 3 > 0 for i in ids] == [bool(x) for x in whole["trusted"]]
+    assert np.frombuffer(whole["sizes"], dtype="<i8").tolist() == [len(texts[i]) + 1 for i in ids]
+    assert sum(int(quality._large(x).sum()) for x in parts["times"]) == sum(len(t) + 1 for t in texts)
+
+
+def test_memory_is_given_back_when_a_task_ends(monkeypatch):
+    said = []
+    monkeypatch.setattr(common, "release", lambda: said.append("released"))
+    call, stream = common.releasing(said.append), common.releasing(quality._add_sums.__wrapped__)
+    call("worked")
+    assert said == ["worked", "released"]
+    list(stream(iter([])))
+    assert said[2:] == ["released"]
+    for work in (quality._count, quality._count_sharded, quality._merge, quality._post, quality._score_shard, quality._add_sums, quality._score_chunk):
+        assert hasattr(work, "__wrapped__"), work
