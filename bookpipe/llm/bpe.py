@@ -80,6 +80,7 @@ def decode(ids_column: str, ranks_path: str, pattern: str):
         code = encoding(ranks_path, pattern)
         for ids in batches:
             yield ids.map(lambda raw: None if raw is None else code.decode_bytes(np.frombuffer(raw, dtype="<u4").tolist()))
+            release()
 
     return decoded(F.col(ids_column))
 

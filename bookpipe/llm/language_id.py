@@ -181,7 +181,9 @@ def calibrate(model: Model, kept: list[tuple[str, int]]) -> Model:
 
 def fit(docs: DataFrame, teaches: Column | None = None) -> Model:
     """Train on the rows of ``docs`` (doc_id, text, lang) for which ``teaches`` holds."""
-    return train(sample(docs, F.lit(True) if teaches is None else F.coalesce(teaches, F.lit(False))))
+    model = train(sample(docs, F.lit(True) if teaches is None else F.coalesce(teaches, F.lit(False))))
+    release()
+    return model
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:

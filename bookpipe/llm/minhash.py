@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bookpipe.llm.common import shared_path, ship, text_or_empty
+from bookpipe.llm.common import releasing, shared_path, ship, text_or_empty
 from bookpipe.llm.components import components
 
 BANDS = 30
@@ -41,7 +41,8 @@ ROWS = 5
 BITS = BANDS * ROWS
 #: Differing bits at similarity 0.8: a tenth on average, plus five deviations.
 MOST_BITS = int(BITS * 0.1 + 5 * (BITS * 0.1 * 0.9) ** 0.5)
-BLOCK_BYTES = 1 << 20
+#: Texts hashed at once: several arrays of eight bytes for each of theirs, in each worker.
+BLOCK_BYTES = 1 << 18
 #: Open buckets of up to so many nodes are compared by a join, larger ones by pairs of blocks.
 SMALL = 48
 BLOCK_NODES = 256
@@ -156,6 +157,7 @@ def band_hashes(signature: np.ndarray) -> np.ndarray:
 
 
 def _sign(size: int):
+    @releasing
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             at = 0
@@ -180,6 +182,7 @@ def _sign(size: int):
 
 
 def _sets(size: int):
+    @releasing
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for block in blocks(batch["text"].tolist()):
@@ -330,13 +333,14 @@ def _links_in_blocks(rest: DataFrame, sets: DataFrame, percent: int) -> DataFram
     pairs = blocked.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_cut") - 1)))
     placed = pairs.select("band", F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"), "node", "root").join(sets, "node")
 
+    @releasing
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         nodes = group["node"].tolist()
         roots = np.array([r.hex() for r in map(bytes, group["root"])])
         links = block_links(roots, group["shingles"].tolist(), percent)
         return pd.DataFrame({"a": [nodes[i] for i, _ in links], "b": [nodes[j] for _, j in links]}, columns=["a", "b"])
 
-    return placed.groupBy("band", "_i", "_j").applyInPandas(compare, "a binary, b binary")
+    return placed.groupBy("band", "_i", "_j").applyInPandas(lambda group: compare(group), "a binary, b binary")
 
 
 def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:

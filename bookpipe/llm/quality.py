@@ -453,7 +453,10 @@ def fit_grams(trusted: DataFrame, shards: int) -> Model:
     hot = rows["key"].to_numpy().astype("int64").astype("uint64")
     logs = rows["logs"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype("float64").reshape(-1, VARIANTS)
     order = np.argsort(hot)
-    return Model(counts.select("shard", "grams", "n"), shards, base, steps, hot[order], logs[order])
+    hot, logs = hot[order], logs[order]
+    del rows
+    release()
+    return Model(counts.select("shard", "grams", "n"), shards, base, steps, hot, logs)
 
 
 @releasing
