@@ -15,7 +15,7 @@ from bookpipe.config import RunConfig
 from bookpipe.functions.urls import normalize_url
 from bookpipe.operators.books import parse_books
 from bookpipe.operators.counts import orphans, satisfied_urls, work_target
-from bookpipe.operators.joins import BROADCAST_ROWS, dealt, dealt_to_pages, members, narrow, unseen, with_saved_count, without
+from bookpipe.operators.joins import BROADCAST_ROWS, dealt, dealt_to_pages, likely, members, narrow, unseen, with_saved_count, without
 from bookpipe.operators.listing import all_links, unsatisfied_links
 from bookpipe.operators.ranking import first_k, one_per_key, top_per_group
 from bookpipe.operators.reviews import fill_reviews, read_review_pages, reviews_of, up_to_last
@@ -190,6 +190,14 @@ def page_marks(keys: DataFrame) -> DataFrame:
     )
 
 
+def bodies_of(pages: DataFrame, wanted: DataFrame, small: bool) -> DataFrame:
+    """The given captures of review pages. Of many, only bodies that are likely to be wanted are dealt."""
+    wanted, on = in_buckets(pages, wanted, "book_url")
+    if small:
+        return pages.join(F.broadcast(wanted), [*PAGE, *on[1:]])
+    return likely(pages, wanted, PAGE).join(dealt_to_pages(wanted), [*PAGE, *on[1:]])
+
+
 class Reading(NamedTuple):
     """New reviews of a run, the books of which nothing is left to read, and the pages that were read."""
 
@@ -226,7 +234,8 @@ def missing_reviews(
     counts = narrow(due.counts, books, "isbn", bound, broadcast_rows)
     page_key, order = ["book_url", "page_no"], ("rank", "page_no", "pos")
     wanted, on = in_buckets(pages, books, "book_url")
-    near = narrow(pages.select(*PAGE, *on[1:]), wanted, on, bound, broadcast_rows)
+    near = pages.select(*PAGE, *on[1:])
+    near = narrow(near, wanted, on, bound, broadcast_rows) if bound <= broadcast_rows else likely(near, wanted, on)
     keys = near.groupBy(*page_key).agg(F.max("page_id").alias("page_id"))
     if exhausted is not None:
         old = exhausted.select("book_url", "pages", "mark").distinct()
@@ -234,10 +243,8 @@ def missing_reviews(
     keys = checkpointed(keys.join(dealt(books), "book_url"))
 
     def read(wanted: DataFrame, small: bool) -> DataFrame:
-        wanted, on = in_buckets(pages, wanted, "book_url")
-        bodies = pages.join(F.broadcast(wanted) if small else dealt_to_pages(wanted), [*PAGE, *on[1:]])
         # A capture may land twice: one of equal ones is taken after parsing, on narrow rows, by what it says.
-        rows = read_review_pages(bodies, profile, keep=("isbn", "rank", *PAGE))
+        rows = read_review_pages(bodies_of(pages, wanted, small), profile, keep=("isbn", "rank", *PAGE))
         return one_per_key(rows, ["rank", *PAGE], [F.xxhash64("reviews", "more")])
 
     if known is None:
