@@ -1299,7 +1299,7 @@ select 'ISBN-13-978-' || isbn as isbn, 'user-' || usr as "user",
 def run_increment_stream_query(spark: SparkSession, d: str) -> DataFrame:
     """The same run over a stream of landed captures."""
     landing, store = scratch(spark, "landing"), FileStore(spark, scratch(spark, "streamed"))
-    P.landed(P.all_captures(spark, d)).write.parquet(landing)
+    P.landed(P.all_captures(spark, d)).write.option("compression", "zstd").parquet(landing)
     state = scratch(spark, "stream-state")
     run_increment_stream(spark, landing, state, store, config=first_run_config(spark, d)).awaitTermination()
     return store.reviews().select("isbn", "user", "text")
@@ -1366,7 +1366,7 @@ def stream_in_any_order(spark: SparkSession, d: str) -> DataFrame:
     files = max(1, min(P.table(spark, d, "lineitem").count() // 1_000_000, spark.sparkContext.defaultParallelism))
     review = F.col("kind") == "review"
     for part in (review & (F.col("page_id") % 2 == 1), review & (F.col("page_id") % 2 == 0), F.col("kind") == "book", F.col("kind") == "listing"):
-        pages.where(part).coalesce(files).write.mode("append").parquet(landing)
+        pages.where(part).coalesce(files).write.mode("append").option("compression", "zstd").parquet(landing)
     state = scratch(spark, "pieces-state")
     run_increment_stream(
         spark, landing, state, store, config=first_run_config(spark, d), files_per_batch=files

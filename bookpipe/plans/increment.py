@@ -247,7 +247,7 @@ def missing_reviews(
         rows = read_review_pages(bodies_of(pages, wanted, small), profile, keep=("isbn", "rank", *PAGE))
         return one_per_key(rows, ["rank", *PAGE], [F.xxhash64("reviews", "more")])
 
-    if known is None:
+    if known is None or known.isEmpty():
         head = checkpointed(top_per_group(keys, ["isbn"], ["rank", "page_no"], first, "_place").drop("_place"))
         found, read_now = None, []
     else:

@@ -15,6 +15,9 @@ from bookpipe.schema import CAPTURE, nullable
 from bookpipe.sinks.stores import Store
 from bookpipe.streaming.session import SessionState, session_name, work_batch
 
+# Bytes of a split where they are at Spark's default, and then for landed pages, which are several times larger once read.
+DEFAULT_SPLIT, PAGES_SPLIT = str(128 << 20), "16m"
+
 
 def run_increment_stream(
     spark: SparkSession,
@@ -43,6 +46,10 @@ def run_increment_stream(
     stores = [raw] if relational is None else [raw, relational]
 
     def work(captures: DataFrame, batch_id: int) -> None:
+        # The stream has a session of its own. A split of pages that is small as a file is sorted by bucket in memory.
+        conf, split = captures.sparkSession.conf, "spark.sql.files.maxPartitionBytes"
+        if conf.get(split).rstrip("Bb") == DEFAULT_SPLIT:
+            conf.set(split, PAGES_SPLIT)
         progress = work_batch(archive, state, stores, captures, batch_id, name, config, profile)
         if report is not None:
             report(batch_id, progress)

@@ -72,7 +72,8 @@ class SessionState:
 
     def put(self, name: str, rows: DataFrame, batch: int, by: Sequence[str] = ()) -> None:
         """What a batch adds to a table; a repeated batch replaces it."""
-        rows.write.mode("overwrite").partitionBy(*by).parquet(f"{self.path}/{name}/{BATCH_NO}={batch}")
+        # Pages of one site are much alike: zstd makes far less of them than the default.
+        rows.write.mode("overwrite").option("compression", "zstd").partitionBy(*by).parquet(f"{self.path}/{name}/{BATCH_NO}={batch}")
 
     def get(self, name: str, schema: T.StructType, first: int = 0, last: int | None = None) -> DataFrame:
         """Rows of the batches ``first`` to ``last`` with ``batch_no``."""
