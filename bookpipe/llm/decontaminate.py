@@ -25,6 +25,9 @@ Built-in expressions only. (Arrays made by lambdas are exploded by the outer for
 the others the optimizer infers a filter again and again.) Item shingles meet documents by joins of what passed the
 bit table; equal windows and equal items are compared once.
 
+Each step is written and read again: the driver holds small plans then, none of them
+with the bit table in it, and joins know the sizes of what they read.
+
 Cases: null and empty texts match nothing, nor do items without words. Documents
 shorter than an item are compared whole. Repeated rows are reported once per doc_id and
 text; rows without doc_id are reported with a null one. Extra columns do not matter.
@@ -38,7 +41,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bookpipe.llm.common import shared_path, text_or_empty
+from bookpipe.llm.common import text_or_empty, written
 
 SHINGLE = 5
 PERCENT = 80
@@ -89,20 +92,26 @@ def probes(h: Column, words_: int) -> list[tuple[Column, Column]]:
 
 
 class BitTable(NamedTuple):
-    """A literal array of 64-bit words in which the probes of all shingles are set, and their number."""
+    """One row with an array of 64-bit words in which the probes of all shingles are set, and the number of words."""
 
-    table: Column
+    row: DataFrame
     words: int
 
-    def holds(self, h: Column) -> Column:
-        tests = [F.call_function("shiftright", F.get(self.table, w), b).bitwiseAND(F.lit(1)) == 1 for w, b in probes(h, self.words)]
-        return reduce(Column.__and__, tests)
+    def among(self, table: Column, shingles: Column) -> Column:
+        """Those of ``shingles`` (structs with h) whose probes are all set; ``table`` is the row's array."""
+
+        def holds(bits: Column, h: Column) -> Column:
+            tests = [F.call_function("shiftright", F.get(bits, w), b).bitwiseAND(F.lit(1)) == 1 for w, b in probes(h, self.words)]
+            return reduce(Column.__and__, tests)
+
+        # The table is named once, so that it is looked up where it is tested and no row carries it.
+        return F.get(F.transform(F.array(table), lambda bits: F.filter(shingles, lambda s: holds(bits, s["h"]))), F.lit(0))
 
 
 def bit_table(shingles: DataFrame) -> BitTable | None:
     """The table of all shingles: 64 bits a shingle let one other in 300,000 pass.
 
-    It stands in the plan, so it is no larger than its shingles need, and beyond MOST_WORDS
+    It goes to the tasks whole, so it is no larger than its shingles need, and beyond MOST_WORDS
     there is none: then all shingles of the documents meet those of the items.
     """
     n = shingles.select("h").distinct().count()
@@ -114,7 +123,7 @@ def bit_table(shingles: DataFrame) -> BitTable | None:
     table = [0] * words_
     for row in bits.collect():  # at most MOST_WORDS rows
         table[row["w"]] = row["v"]
-    return BitTable(F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>"), words_)
+    return BitTable(shingles.sparkSession.createDataFrame([(table,)], "bits array<bigint>"), words_)
 
 
 def hits(docs: DataFrame, shingles: DataFrame, size: int) -> DataFrame:
@@ -123,7 +132,9 @@ def hits(docs: DataFrame, shingles: DataFrame, size: int) -> DataFrame:
     hashed = docs.select("doc_id", text_or_empty().alias("text"))
     hashed = hashed.withColumn("words", words(F.col("text"))).withColumn("_h", F.transform("words", lambda w: F.xxhash64(w)))
     listed = hashed.withColumn("_s", F.transform(shingle_hashes("_h", size), lambda h, i: F.struct(h.alias("h"), i.alias("at"))))
-    few = listed if table is None else listed.withColumn("_s", F.filter("_s", lambda s: table.holds(s["h"])))
+    few = listed
+    if table is not None:
+        few = listed.select("*", table.row.scalar().alias("_bits")).select("doc_id", "text", "words", table.among(F.col("_bits"), F.col("_s")).alias("_s"))
     # Rows without hits go after the explode: a filter before it would compute the lambdas' inputs anew for each word.
     rows = few.select("doc_id", F.xxhash64("text").alias("text_key"), "words", F.explode_outer("_s").alias("_s")).where("_s is not null")
     found = rows.select("doc_id", "text_key", "words", F.col("_s.h").alias("h"), F.col("_s.at").alias("at")).join(shingles, "h")
@@ -138,41 +149,27 @@ def simhash(texts: DataFrame, key: str, window: Column) -> DataFrame:
     Two sums of 32 bits share one long, so that 64 bits take 32 sums.
     """
     each = texts.select(key, F.explode(window).alias("_w")).select(key, F.xxhash64("_w").alias("_h"))
-
-    def bit(j: int) -> Column:
-        return F.shiftrightunsigned("_h", j).bitwiseAND(F.lit(1).cast("bigint"))
-
     half = BITS // 2
-    sums = [F.sum(bit(j) + F.shiftleft(bit(j + half), 32)).alias(f"_s{j}") for j in range(half)]
+    sums = [F.expr(f"sum((shiftrightunsigned(_h, {j}) & 1L) + shiftleft(shiftrightunsigned(_h, {j + half}) & 1L, 32)) as _s{j}") for j in range(half)]
     summed = each.groupBy(key).agg(F.count("*").alias("_n"), *sums)
-    low = F.lit((1 << 32) - 1).cast("bigint")
-    bits = []
-    for j in range(half):
-        both = F.col(f"_s{j}")
-        for place, total in ((j, both.bitwiseAND(low)), (j + half, F.shiftrightunsigned(both, 32))):
-            bits.append(F.when(total * 2 > F.col("_n"), F.shiftleft(F.lit(1).cast("bigint"), place)).otherwise(F.lit(0).cast("bigint")))
-    return summed.select(key, reduce(Column.bitwiseOR, bits).alias("hash"))
+    totals = [(j, f"(_s{j} & {(1 << 32) - 1}L)") for j in range(half)] + [(j + half, f"shiftrightunsigned(_s{j}, 32)") for j in range(half)]
+    return summed.select(key, F.expr(" | ".join(f"if({total} * 2 > _n, shiftleft(1L, {place}), 0L)" for place, total in totals)).alias("hash"))
 
 
-def block_values(hash_: Column, near: bool) -> Column:
-    """(block, value) of a fingerprint, with all values a bit away if ``near``."""
+def blocks(hashed: DataFrame, near: bool) -> DataFrame:
+    """``hashed`` with block and value of each fingerprint, and all values a bit away if ``near``."""
     width = BITS // BLOCKS
-    mask = F.lit((1 << width) - 1).cast("bigint")
     flips = [0, *(1 << b for b in range(width))] if near else [0]
-    return F.array(
-        *[
-            F.struct(F.lit(k).alias("block"), F.shiftrightunsigned(hash_, k * width).bitwiseAND(mask).bitwiseXOR(F.lit(flip).cast("bigint")).alias("value"))
-            for k in range(BLOCKS)
-            for flip in flips
-        ]
-    )
+    each = hashed.select("*", F.explode(F.lit(list(range(BLOCKS)))).alias("block"))
+    each = each.select("*", F.explode(F.lit(flips)).alias("_flip"))
+    value = F.expr(f"(shiftrightunsigned(hash, {width} * block) & {(1 << width) - 1}L) ^ cast(_flip as bigint)")
+    return each.withColumn("value", value).drop("_flip")
 
 
 def within_radius(windows: DataFrame, items: DataFrame) -> DataFrame:
     """(wid, item) pairs of equal length with fingerprints at most RADIUS bits apart."""
-    left = windows.select("wid", "n_words", F.col("hash").alias("_hw"), F.explode(block_values(F.col("hash"), False)).alias("_b"))
-    right = items.select("item", "n_words", F.col("hash").alias("_hi"), F.explode(block_values(F.col("hash"), True)).alias("_b"))
-    left, right = (t.select("*", "_b.block", "_b.value").drop("_b") for t in (left, right))
+    left = blocks(windows.select("wid", "n_words", "hash"), False).withColumnRenamed("hash", "_hw")
+    right = blocks(items.select("item", "n_words", "hash"), True).withColumnRenamed("hash", "_hi")
     pairs = left.join(right, ["n_words", "block", "value"])
     return pairs.where(F.bit_count(F.col("_hw").bitwiseXOR(F.col("_hi"))) <= RADIUS).select("wid", "item").distinct()
 
@@ -200,17 +197,18 @@ def verified(pairs: DataFrame, windows: DataFrame, items: DataFrame) -> DataFram
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, text_key, item_id, start, similarity: the best window of each document and item."""
     spark = docs.sparkSession
-    items = items_of(benchmark)
+    items = written(spark, "items", items_of(benchmark))
     sizes = [r["size"] for r in items.select("size").distinct().collect()]  # at most SHINGLE values
     empty = spark.createDataFrame([], "doc_id bigint, text_key bigint, n_words int, start int, window string")
-    found = [hits(docs, item_shingles(items, size), size) for size in sorted(sizes)]
-    path = shared_path(spark, "windows")
-    reduce(DataFrame.unionByName, found, empty).distinct().write.parquet(path)
-    laid = spark.read.parquet(path).withColumn("wid", F.md5(F.col("window").cast("binary")))
+    found = [hits(docs, written(spark, "item-shingles", item_shingles(items, size)), size) for size in sorted(sizes)]
+    laid = written(spark, "windows", reduce(DataFrame.unionByName, found, empty).distinct())
+    laid = laid.withColumn("wid", F.md5(F.col("window").cast("binary")))
     windows = laid.groupBy("wid", "n_words").agg(F.first("window").alias("window")).withColumn("words", F.split("window", " "))
-    hashed = windows.join(simhash(windows, "wid", F.col("words")), "wid")
+    windows = written(spark, "hashed-windows", windows.join(simhash(windows, "wid", F.col("words")), "wid").select("wid", "n_words", "words", "hash"))
     known = items.join(simhash(items, "item", F.col("words")), "item")
-    matches = verified(within_radius(hashed, known), windows.select("wid", "words").dropDuplicates(["wid"]), items.select("item", "words"))
+    pairs = written(spark, "pairs", within_radius(windows, known))
+    matches = verified(pairs, windows.select("wid", "words").dropDuplicates(["wid"]), items.select("item", "words"))
+    matches = written(spark, "matches", matches)
     best = (
         laid.join(matches, "wid")
         .groupBy("doc_id", "text_key", "item")
@@ -223,5 +221,6 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no item, unchanged."""
     bad = leaks(docs, benchmark).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
+    bad = written(docs.sparkSession, "leaks", bad)
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(text_or_empty()) == F.col("_key"))
     return docs.join(bad, same, "left_anti")

@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bookpipe.llm.common import releasing, shared_path, ship, text_or_empty
+from bookpipe.llm.common import releasing, shared_path, ship, text_or_empty, written
 from bookpipe.llm.components import components
 
 BANDS = 30
@@ -248,20 +248,20 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
     stars = shared.where((F.col("node") != F.col("_pivot")) & _near_size("n_shingles", "_size", percent))
     stars = stars.select(F.least("node", "_pivot").alias("a"), F.greatest("node", "_pivot").alias("b")).distinct()
-    stars = _written(spark, "pairs", stars)
-    links = _written(spark, "links", confirmed(stars, candidate_sets(docs, signed, nodes_of(stars), size), percent))
+    stars = written(spark, "pairs", stars)
+    links = written(spark, "links", confirmed(stars, candidate_sets(docs, signed, nodes_of(stars), size), percent))
     roots = components(links)
     # Across the components that a bucket still holds.
     rest = shared.select("band", "node", "n_shingles").join(roots, "node", "left")
     rest = rest.select("band", "node", "n_shingles", F.coalesce("root", "node").alias("root"))
     held = rest.groupBy("band").agg(F.min("root").alias("_low"), F.max("root").alias("_high"), F.count("*").alias("_n"))
-    rest = _written(spark, "open", rest.join(held.where("_low <> _high").select("band", "_n"), "band"))
+    rest = written(spark, "open", rest.join(held.where("_low <> _high").select("band", "_n"), "band"))
     more = _pairs_across(rest.where(F.col("_n") <= SMALL), signed, percent).join(stars, ["a", "b"], "left_anti")
-    more = _written(spark, "pairs", more)
+    more = written(spark, "pairs", more)
     large = rest.where(F.col("_n") > SMALL)
     sets = candidate_sets(docs, signed, nodes_of(more).unionByName(large.select("node")), size)
     found = confirmed(more, sets, percent).unionByName(_links_in_blocks(large, sets, percent))
-    roots = components(links.unionByName(_written(spark, "links", found)))
+    roots = components(links.unionByName(written(spark, "links", found)))
     heads = signed.groupBy("node").agg(F.min("doc_id").alias("_own")).join(roots, "node", "left")
     least = heads.groupBy("root").agg(F.min("_own").alias("_least")).where("root is not null")
     names = heads.join(least, "root", "left").select("node", F.coalesce("_least", "_own").alias("_name"))
@@ -271,13 +271,6 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     return out.select("doc_id", "text_key", "n_shingles", "component_id", kept.alias("kept"))
 
 
-def _written(spark, name: str, rows: DataFrame) -> DataFrame:
-    """The rows as a table in the shared folder."""
-    path = shared_path(spark, name)
-    rows.write.parquet(path)
-    return spark.read.parquet(path)
-
-
 def _near_size(x: str, y: str, percent: int):
     return F.least(x, y) * 100 >= F.greatest(x, y) * percent
 
