@@ -142,18 +142,23 @@ def kneser_ney(counts: np.ndarray) -> np.ndarray:
         levels.append((levels[-1].reshape(CLASSES, -1) > 0).sum(axis=0))
     lower = np.full(1, 1.0 / CLASSES)
     for level in reversed(levels):
-        table = level.reshape(-1, CLASSES).astype("float64")
         n1, n2, n3, n4 = (float((level == k).sum()) for k in (1, 2, 3, 4))
         y = n1 / (n1 + 2 * n2) if n1 and n2 else 0.5
         steps = [1 - 2 * y * n2 / n1 if n1 else 0.5, 2 - 3 * y * n3 / n2 if n2 else 1.0, 3 - 4 * y * n4 / n3 if n3 else 1.5]
         steps = [min(max(d, 0.05), k - 0.05) for k, d in enumerate(steps, 1)]
-        discount = np.select([table == 0, table == 1, table == 2], [0.0, steps[0], steps[1]], steps[2])
-        total = table.sum(axis=1, keepdims=True)
-        seen = np.maximum(total, 1.0)
-        gamma = np.where(total > 0, discount.sum(axis=1, keepdims=True) / seen, 1.0)
-        below = np.tile(lower, level.size // lower.size).reshape(-1, CLASSES)
-        lower = ((table - discount) / seen + gamma * below).ravel()
-    return np.log(lower).astype("float32")
+        parts = level.reshape(-1, max(lower.size, CLASSES))  # one for each first class: the driver holds a single part's numbers
+        out = np.empty(parts.shape, dtype="float32" if level is counts else "float64")
+        for part, to in zip(parts, out, strict=True):
+            table = part.reshape(-1, CLASSES).astype("float64")
+            discount = np.select([table == 0, table == 1, table == 2], [0.0, steps[0], steps[1]], steps[2])
+            total = table.sum(axis=1, keepdims=True)
+            seen = np.maximum(total, 1.0)
+            gamma = np.where(total > 0, discount.sum(axis=1, keepdims=True) / seen, 1.0)
+            below = lower.reshape(-1, min(lower.size, CLASSES))
+            now = ((table - discount) / seen + gamma * below).ravel()
+            to[:] = np.log(now) if level is counts else now
+        lower = out.ravel()
+    return lower
 
 
 def fit(trusted: DataFrame) -> np.ndarray | None:
@@ -163,6 +168,8 @@ def fit(trusted: DataFrame) -> np.ndarray | None:
         return None
     counts = np.zeros(SIZE, dtype="int64")
     counts[rows["gram"].to_numpy()] = rows["n"].to_numpy()
+    del rows
+    release()
     return kneser_ney(counts)
 
 
@@ -393,14 +400,21 @@ def fit_base(trusted: DataFrame) -> Base:
         yield pd.DataFrame({"point": seen, "n": counts[seen]})
 
     rows = trusted.select(text_or_empty().alias("text")).mapInPandas(count, "point int, n bigint").groupBy("point").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(POINTS)  # at most one row for each code point
-    counts[rows["point"].to_numpy()] = rows["n"].to_numpy()
+    share = _shares(rows["point"].to_numpy(), rows["n"].to_numpy())  # at most one row for each code point
+    del rows
+    logs = fit(trusted)
+    release()
+    return Base(np.full(SIZE, -np.log(CLASSES), dtype="float32") if logs is None else logs, share)
+
+
+def _shares(points: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Share of each code point in its class."""
+    counts = np.zeros(POINTS)
+    counts[points] = n
     kind = class_of()[np.minimum(np.arange(POINTS), (1 << 16) - 1)]
     kind[0] = 0
     kinds = np.bincount(kind[counts > 0], minlength=CLASSES) + 1.0  # Witten and Bell: one more kind than seen
-    share = (counts + (kinds / np.maximum(np.bincount(kind, minlength=CLASSES), 1))[kind]) / (np.bincount(kind, counts, CLASSES) + kinds)[kind]
-    logs = fit(trusted)
-    return Base(np.full(SIZE, -np.log(CLASSES), dtype="float32") if logs is None else logs, share)
+    return (counts + (kinds / np.maximum(np.bincount(kind, minlength=CLASSES), 1))[kind]) / (np.bincount(kind, counts, CLASSES) + kinds)[kind]
 
 
 class Model(NamedTuple):
